@@ -4,23 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rivulet.records import as_number, parsed, payload_size, text_at
-
-_RESULTS = ("count", "sum", "avg", "min", "max")
+from rivulet.records import as_number, is_typed, number_at, parsed, payload_size, text_at
 
 
 def _inputs(df: DataFrame, field: str | None, group_by: str | None) -> DataFrame:
     """Group and number of every record: `_all` without a readable payload, `_null` without the field."""
-
-    def typed(path: str) -> bool:
-        return path.split(".")[0] in df.columns
-
-    needs_json = any(path and not typed(path) for path in (field, group_by))
+    needs_json = any(path and not is_typed(df, path) for path in (field, group_by))
     staged = df.withColumn("__json", parsed()) if needs_json else df
 
     if not group_by:
         group = F.lit("_all")
-    elif typed(group_by):
+    elif is_typed(df, group_by):
         group = F.coalesce(F.col(group_by).cast("string"), F.lit("_null"))
     else:
         json = F.col("__json")
@@ -29,10 +23,10 @@ def _inputs(df: DataFrame, field: str | None, group_by: str | None) -> DataFrame
         )
     if not field:
         number = F.lit(None).cast("double")
-    elif typed(field):
+    elif is_typed(df, field):
         number = as_number(F.col(field)) if dict(df.dtypes).get(field) == "string" else F.col(field).try_cast("double")
     else:
-        number = as_number(text_at(F.col("__json"), field))
+        number = number_at(F.col("__json"), field)
     return staged.withColumns({"__group": group, "__number": number})
 
 

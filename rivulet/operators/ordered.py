@@ -59,18 +59,19 @@ def scan(
     running: Mapping[str, Column] | None = None,
     previous: Mapping[str, Column] | None = None,
     latest: Mapping[str, Column] | None = None,
+    highest: Mapping[str, Column] | None = None,
     segment: Column | None = None,
     descending: bool = False,
 ) -> DataFrame:
     """Add ordered results per group: `running` sums up to and including the row,
-    the `previous` row's value, and the `latest` non-null value up to the row.
+    the `previous` row's value, the `latest` non-null value and the `highest` value up to the row.
 
     `order` must be unique in a group. `segment` must never decrease along
     `order`; by default `order` is one integral column and is cut by position.
     """
-    running, previous, latest = dict(running or {}), dict(previous or {}), dict(latest or {})
+    running, previous, latest, highest = (dict(part or {}) for part in (running, previous, latest, highest))
     segment = by_position(order[0]) if segment is None else segment
-    inputs = {f"__in_{name}": col for part in (running, previous, latest) for name, col in part.items()}
+    inputs = {f"__in_{name}": col for part in (running, previous, latest, highest) for name, col in part.items()}
     rows = df.withColumns({_SEGMENT: segment, **inputs})
 
     at = F.struct(*order)
@@ -80,11 +81,13 @@ def scan(
     summaries += [
         pick(f"__in_{n}", F.when(F.col(f"__in_{n}").isNotNull(), at)).alias(f"__in_{n}") for n in latest
     ]
+    summaries += [F.max(f"__in_{n}").alias(f"__in_{n}") for n in highest]
     across = Window.partitionBy(*by).orderBy(F.desc(_SEGMENT) if descending else F.asc(_SEGMENT))
     before = across.rowsBetween(Window.unboundedPreceding, -1)
     inherited = {f"__in_{n}": F.sum(f"__in_{n}").over(before) for n in running}
     inherited |= {f"__in_{n}": F.lag(f"__in_{n}").over(across) for n in previous}
     inherited |= {f"__in_{n}": F.last(f"__in_{n}", ignorenulls=True).over(before) for n in latest}
+    inherited |= {f"__in_{n}": F.max(f"__in_{n}").over(before) for n in highest}
     leading = (
         rows.groupBy(*by, _SEGMENT)
         .agg(*summaries)
@@ -99,6 +102,7 @@ def scan(
     results = {n: F.sum(f"__in_{n}").over(upto) for n in running}
     results |= {n: F.lag(f"__in_{n}").over(inside) for n in previous}
     results |= {n: F.last(f"__in_{n}", ignorenulls=True).over(upto) for n in latest}
+    results |= {n: F.max(f"__in_{n}").over(upto) for n in highest}
     return both.withColumns(results).where(~F.col(_LEADING)).drop(_SEGMENT, _LEADING, *inputs)
 
 
@@ -111,23 +115,18 @@ def top_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], n:
                   salts: int = 64) -> DataFrame:
     """The first `n` rows of every group with their rank.
 
-    Spark cuts each map task to `n` rows per group before the exchange for
-    ranks it can limit early; larger `n` is cut per salted slice first.
+    Up to 1000 rows, Spark limits each map task's groups before the exchange.
+    A larger `n` is first cut per salted slice of the group.
     """
+    groups = Window.partitionBy(*by).orderBy(*order)
     if n > 1000:
-        spread = df.withColumn("__salt", F.pmod(F.xxhash64(*[c for c in order_names(df, order)]), F.lit(salts)))
+        hashable = [f.name for f in df.schema if f.dataType.typeName() not in ("map", "variant")]
+        sliced = df.withColumn("__salt", F.pmod(F.xxhash64(*hashable), F.lit(salts)))
         slices = Window.partitionBy(*by, "__salt").orderBy(*order)
-        df = spread.withColumn(name, F.row_number().over(slices)).where(F.col(name) <= n).drop(name, "__salt")
-    groups = Window.partitionBy(*by).orderBy(*order)
+        df = sliced.withColumn(name, F.row_number().over(slices)).where(F.col(name) <= n).drop(name, "__salt")
     return df.withColumn(name, F.row_number().over(groups)).where(F.col(name) <= n)
 
 
-def order_names(df: DataFrame, order: Sequence[Column]) -> list[Column]:
-    """The bare columns behind sort expressions, for hashing."""
-    ranked = df.select(*[F.col(c) for c in df.columns if not c.startswith("__")])
-    return [F.col(f.name) for f in ranked.schema if not f.dataType.typeName() in ("map", "variant")]
-
-
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key: the last in `order`."""
     reverse = Window.partitionBy(*keys).orderBy(*order)

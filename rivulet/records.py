@@ -39,9 +39,15 @@ def node_at(json: Column, path: str) -> Column:
     return F.try_variant_get(json, json_path(path), "variant")
 
 
-def text_at(json: Column, path: str) -> Column:
-    """The node at a dotted path as text; strings lose their quotes, null stays null."""
-    return F.try_variant_get(json, json_path(path), "string")
+def text_at(json: Column, path: str, source: str | Column = "value") -> Column:
+    """The node at a dotted path as text; strings lose their quotes, null stays null.
+
+    A variant drops trailing zeros of a fraction, so those numbers are read
+    from the source text instead.
+    """
+    fraction = kind_of(node_at(json, path)).rlike("^(DECIMAL|DOUBLE|FLOAT)")
+    written = F.get_json_object(as_text(source), json_path(path))
+    return F.when(fraction, written).otherwise(F.try_variant_get(json, json_path(path), "string"))
 
 
 def kind_of(node: Column) -> Column:
@@ -57,13 +63,18 @@ def as_number(text: Column) -> Column:
 
 
 def number_at(json: Column, path: str) -> Column:
-    return as_number(text_at(json, path))
+    return as_number(F.try_variant_get(json, json_path(path), "string"))
+
+
+def is_typed(df: DataFrame, path: str) -> bool:
+    """Whether a path names a typed column rather than a member of the payload."""
+    head = path.split(".")[0]
+    return head in df.columns and head not in RECORD.names
 
 
 def field(df: DataFrame, path: str) -> Column:
     """A typed column when the frame has one, else the text at that path of `value`."""
-    head = path.split(".")[0]
-    if head in df.columns:
+    if is_typed(df, path):
         return F.col(".".join(f"`{step}`" for step in path.split(".")))
     return F.get_json_object(as_text("value"), json_path(path))
 
