@@ -65,8 +65,9 @@ def replicate(spark, sf):
 
 
 def _mappings(spark, sf):
-    """Every tenth event is a known offset, sharded by event type; views have none."""
-    events = table(spark, sf, "events").where("event_type <> 'view' AND event_id % 10 = 5")
+    """Sync points: events with a small `k`, sharded by event type; views have none."""
+    small = F.get_json_object("props", "$.k").cast("int") < 10
+    events = table(spark, sf, "events").where((F.col("event_type") != "view") & small)
     return events.select(
         F.lit("dc1").alias("cluster"), F.col("event_type").alias("topic"), (F.col("user_id") % 2).cast("int").alias("partition"),
         F.col("event_id").alias("source_offset"), (F.col("event_id") - F.floor(F.col("event_id") / 20)).alias("target_offset"))
@@ -80,7 +81,7 @@ def _commits(spark, sf):
 
 
 _MAPPED = """m AS (SELECT event_type AS topic, CAST(user_id % 2 AS INTEGER) AS "partition", event_id AS source, event_id - event_id // 20 AS target
-  FROM events WHERE event_type <> 'view' AND event_id % 10 = 5),
+  FROM events WHERE event_type <> 'view' AND CAST(json_extract_string(props, '$.k') AS INTEGER) < 10),
 commits AS (SELECT 'g' || user_id % 7 AS "group", event_type AS topic, CAST(user_id % 2 AS INTEGER) AS "partition", event_id - 3 AS "offset", ts FROM events),
 lo AS (SELECT c.*, m.source AS ls, m.target AS lt FROM commits c ASOF LEFT JOIN m
   ON c.topic = m.topic AND c."partition" = m."partition" AND c."offset" >= m.source),
