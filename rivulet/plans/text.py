@@ -32,11 +32,10 @@ def chunk_chars(spark, sf):
 
 @query("chunk_words", f"""WITH t AS (SELECT doc_id, regexp_extract_all(text, '\\s*[^\\s]+') AS spaced FROM documents),
 s AS (SELECT *, list_transform(spaced, lambda x: ltrim(x, {_SPACES})) AS words FROM t),
-u AS (SELECT doc_id, words, generate_subscripts(spaced, 1) AS i, unnest(spaced) AS piece FROM s),
-p AS (SELECT doc_id, words, i, sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY i) AS upto,
-  length(words[i]) AS len FROM u),
-c AS (SELECT a.doc_id, a.i, array_to_string(a.words[a.i : a.i + 99], ' ') AS chunk, a.upto - a.len AS start, b.upto AS stop
-  FROM p a JOIN p b ON a.doc_id = b.doc_id AND b.i = least(a.i + 99, len(a.words)) WHERE (a.i - 1) % 80 = 0)
+w AS (SELECT *, unnest(range(1, len(spaced) + 1, 80)) AS i FROM s),
+c AS (SELECT doc_id, array_to_string(words[i : i + 99], ' ') AS chunk,
+  length(array_to_string(spaced[1 : i], '')) - length(words[i]) AS start,
+  length(array_to_string(spaced[1 : least(i + 99, len(spaced))], '')) AS stop FROM w)
 {_numbered('c')}""")
 def chunk_words(spark, sf):
     return K.chunk(_docs(spark, sf), size=100, overlap=20, unit="words").select(*_OUT)
