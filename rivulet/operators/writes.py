@@ -159,6 +159,41 @@ def delete(target: DataFrame, updates: DataFrame, pk: Sequence[str]) -> DataFram
     return target.join(updates.select(*pk), list(pk), "left_anti").select(*target.columns)
 
 
+def _members(text: str) -> list[tuple[str, str]]:
+    """Top-level (name, type) pairs of `OBJECT<a: BIGINT, b: ARRAY<STRING>>`."""
+    body, pairs, depth, start = text[text.index("<") + 1 : -1], [], 0, 0
+    for i, sign in enumerate(body + ","):
+        depth += (sign in "<(") - (sign in ">)")
+        if sign == "," and depth == 0:
+            name, _, kind = body[start:i].strip().partition(": ")
+            pairs.append((name.strip("`"), kind))
+            start = i + 1
+    return [p for p in pairs if p[0]]
+
+
+def infer(df: DataFrame, value: str = "value") -> T.StructType:
+    """Table schema of JSON payloads from one pass over them: booleans, whole numbers and
+    texts keep their type, other numbers are doubles, arrays and objects stay JSON."""
+    found = df.agg(F.schema_of_variant_agg(F.try_parse_json(as_text(value))).alias("s")).first().s
+    if not found or not found.startswith("OBJECT<"):
+        raise ValueError(f"payloads are not JSON objects but {found}")
+    kinds = {"BOOLEAN": T.BooleanType(), "BIGINT": T.LongType(), "STRING": T.StringType(), "VOID": T.StringType(),
+             "DOUBLE": T.DoubleType(), "FLOAT": T.DoubleType()}
+
+    def column(kind: str) -> T.DataType:
+        if kind.startswith("DECIMAL"):
+            return T.DoubleType()
+        return kinds.get(kind, T.VariantType())
+
+    return T.StructType([T.StructField(name, column(kind)) for name, kind in _members(found)])
+
+
+def typed_payload(df: DataFrame, schema: T.StructType | None = None, value: str = "value") -> DataFrame:
+    """The payload as table columns of the given or inferred schema."""
+    schema = schema or infer(df, value)
+    return df.withColumn("__row", F.from_json(as_text(value), schema)).select("__row.*")
+
+
 CELL = ("row_key", "family", "column")
 
 

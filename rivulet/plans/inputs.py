@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from rivulet.session import checkpoint_dir
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -43,3 +47,8 @@ def plain(df: DataFrame, *names: str) -> DataFrame:
     """Key and value as text, for comparison."""
     names = names or ("topic", "partition", "offset", "key", "value")
     return df.select(*[F.col(n).cast("string").alias(n) if n in ("key", "value") else F.col(n) for n in names])
+
+
+def scratch(spark: SparkSession) -> str:
+    """A fresh folder every executor can reach."""
+    return f"{checkpoint_dir(spark)}/rivulet-{uuid.uuid4().hex}"

@@ -73,14 +73,19 @@ def write_text(df: DataFrame, path: str, value: str = "value", mode: str = "appe
     df.select(F.col(value).cast("string").alias("value")).write.mode(mode).text(path)
 
 
+_FOLDERS = {"time": ["day", "hour"], "day": ["day"], "partition": ["partition"]}
+
+
 def partition_columns(df: DataFrame, by: str = "time") -> DataFrame:
-    """Add the folder columns: topic, then day and hour, the partition, or a payload field.
+    """Add the folder columns: topic, then day and hour (`time`), `day`, `partition`, or a payload field.
 
     A field value keeps letters, digits and `-_.`; a value that is missing,
     empty, nested or not JSON goes to `unknown`.
     """
     if by == "time":
         return df.withColumns({"day": F.date_format("timestamp", "yyyy-MM-dd"), "hour": F.date_format("timestamp", "HH")})
+    if by == "day":
+        return df.withColumn("day", F.date_format("timestamp", "yyyy-MM-dd"))
     if by == "partition":
         return df
     text = field(df, by).cast("string")
@@ -100,7 +105,7 @@ def write_partitioned(df: DataFrame, path: str, by: str = "time", fmt: str = "js
     many tasks, where many folders would give too many small files.
     """
     staged = partition_columns(df, by)
-    folders = ["topic"] + {"time": ["day", "hour"], "partition": ["partition"]}.get(by, [by if by not in df.columns else f"{by}_folder"])
+    folders = ["topic"] + _FOLDERS.get(by, [by if by not in df.columns else f"{by}_folder"])
     if files_per_folder:
         own = [f.name for f in df.schema if f.dataType.typeName() not in ("map", "variant")]
         staged = staged.withColumn("__salt", F.pmod(F.xxhash64(*own), F.lit(files_per_folder)))
