@@ -1,4 +1,8 @@
-"""Registered queries: Structured Streaming over files written from the given tables, each run to completion."""
+"""Registered queries: Structured Streaming over files written from the given tables.
+
+The events arrive in parts. After each part the query runs until nothing is
+left, stops, and goes on from its checkpoint with the next part.
+"""
 
 from __future__ import annotations
 
@@ -12,20 +16,27 @@ from rivulet.sources import files as I
 from rivulet.streaming import queries as Q
 
 
-def _stream(spark, sf, folder, files=4, max_files=2):
-    """`events` as a file stream of several batches, in event order."""
+def _replayed(spark, sf, run, arrivals=3):
+    """Call `run(stream, folder)` after each arrival of the next range of offsets; returns the folder."""
+    folder = scratch(spark)
     rows = records(spark, sf).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
-    rows.repartitionByRange(files, "offset").sortWithinPartitions("offset").write.parquet(f"{folder}/in")
-    return I.stream_files(spark, "parquet", f"{folder}/in", rows.schema, max_files)
+    width = rows.agg(F.max("offset")).first()[0] // arrivals + 1
+    for i in range(arrivals):
+        arrived = rows.where(F.col("offset").between(i * width, (i + 1) * width - 1))
+        arrived.write.mode("append").parquet(f"{folder}/in")
+        run(I.stream_files(spark, "parquet", f"{folder}/in", rows.schema), folder)
+    return folder
+
+
+def _appended(spark, sf, build):
+    """The rows a streaming frame has appended after all arrivals."""
+    folder = _replayed(spark, sf, lambda stream, at: Q.run_available(build(stream), f"{at}/out", f"{at}/checkpoint"))
+    return spark.read.parquet(f"{folder}/out")
 
 
 @query("file_stream", f'WITH {RECORDS} SELECT topic, "offset", key, value FROM records')
 def file_stream(spark, sf):
-    folder = scratch(spark)
-    stream = _stream(spark, sf, folder)
-    Q.run_available(stream, f"{folder}/out", f"{folder}/checkpoint")
-    Q.run_available(stream, f"{folder}/out", f"{folder}/checkpoint")  # a restart finds nothing new
-    return plain(spark.read.parquet(f"{folder}/out"), "topic", "offset", "key", "value")
+    return plain(_appended(spark, sf, lambda stream: stream), "topic", "offset", "key", "value")
 
 
 @query("text_tail", """SELECT line, count(*) AS n FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY line""")
@@ -41,36 +52,35 @@ def text_tail(spark, sf):
 SELECT "group", 'sum' AS operation, result, count, start + INTERVAL 1 HOUR AS window_end FROM w
 WHERE start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""")
 def stream_window(spark, sf):
-    folder = scratch(spark)
-    windows = A.aggregate(_stream(spark, sf, folder, max_files=1), "sum", "value", "type", window="1 hour", watermark="10 minutes")
-    Q.run_available(windows, f"{folder}/out", f"{folder}/checkpoint")
-    out = spark.read.parquet(f"{folder}/out")
+    out = _appended(spark, sf, lambda stream: A.aggregate(stream, "sum", "value", "type", window="1 hour", watermark="10 minutes"))
     return out.withColumns({"result": F.round("result", 4), "window_end": F.col("window_end").cast("timestamp_ntz")})
 
 
 @query("stream_dedupe", f'WITH {RECORDS} SELECT topic, "partition", "offset" FROM records')
 def stream_dedupe(spark, sf):
-    folder = scratch(spark)
-    stream = _stream(spark, sf, folder)
-    twice = stream.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
-    Q.run_available(K.dedupe(twice, ["topic", "partition", "offset"], watermark=("timestamp", "1 hour")), f"{folder}/out", f"{folder}/checkpoint")
-    return spark.read.parquet(f"{folder}/out").select("topic", "partition", "offset")
+    def build(stream):
+        twice = stream.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
+        return K.dedupe(twice, ["topic", "partition", "offset"], watermark=("timestamp", "1 hour"))
+
+    return _appended(spark, sf, build).select("topic", "partition", "offset")
 
 
 @query("stream_state_change", """SELECT user_id, event_id, event_type FROM events
 QUALIFY lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) IS DISTINCT FROM event_type""")
 def stream_state_change(spark, sf):
-    folder = scratch(spark)
-    watched = _stream(spark, sf, folder).select(F.col("key").cast("string").cast("long").alias("user_id"),
-                                                F.col("offset").alias("event_id"), F.col("topic").alias("event_type"))
-    Q.run_available(Q.on_change_stream(watched, ["user_id"], "event_id", ["event_type"]), f"{folder}/out", f"{folder}/checkpoint")
-    return spark.read.parquet(f"{folder}/out").select("user_id", "event_id", "event_type")
+    def build(stream):
+        watched = stream.select(F.col("key").cast("string").cast("long").alias("user_id"),
+                                F.col("offset").alias("event_id"), F.col("topic").alias("event_type"))
+        return Q.on_change_stream(watched, ["user_id"], "event_id", ["event_type"])
+
+    return _appended(spark, sf, build)
 
 
 @query("stream_upsert", f"""WITH {RECORDS}
 SELECT key, max_by(topic, "offset") AS topic, max("offset") AS "offset" FROM records GROUP BY key""")
 def stream_upsert(spark, sf):
-    folder = scratch(spark)
-    updates = _stream(spark, sf, folder).select(F.col("key").cast("string").alias("key"), "topic", "offset")
-    Q.apply_stream(updates, f"{folder}/table", "upsert", ["key"], ["offset"], updates.schema, f"{folder}/checkpoint")
-    return VersionedTable(spark, f"{folder}/table").read()
+    def run(stream, folder):
+        updates = stream.select(F.col("key").cast("string").alias("key"), "topic", "offset")
+        Q.apply_stream(updates, f"{folder}/table", "upsert", ["key"], ["offset"], updates.schema, f"{folder}/checkpoint")
+
+    return VersionedTable(spark, f"{_replayed(spark, sf, run)}/table").read()

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from rivulet.sinks.tables import VersionedTable
 
@@ -32,98 +32,63 @@ def apply_stream(df: DataFrame, table: str, mode: str, pk: Sequence[str], order:
     run_available(df, write, checkpoint)
 
 
-class _Changes(StatefulProcessor):
-    """Holds the last observation of a key and passes on rows that differ from it."""
-
-    def __init__(self, order: str, cols: Sequence[str], state: T.StructType, emit_first: bool):
-        self.order, self.cols, self.state, self.emit_first = order, list(cols), state, emit_first
+def on_change_stream(df: DataFrame, key: Sequence[str], order: str, cols: Sequence[str], emit_first: bool = True) -> DataFrame:
+    """`on_change` on a stream; the state store keeps each key's last observation.
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", self.state)
+    A key's share of a micro-batch is bounded by the source's trigger limits.
+    """
+    watched = list(cols)
+    state_type = T.StructType([df.schema[c] for c in watched])
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(self.order)
-        before = self.last.get() if self.last.exists() else None
+    def run(_, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(frames), ignore_index=True).sort_values(order)
+        before = tuple(state.get) if state.exists else None
         kept = []
-        for i, row in enumerate(batch[self.cols].itertuples(index=False, name=None)):
-            if (before is None and self.emit_first) or (before is not None and tuple(before) != row):
+        for i, row in enumerate(batch[watched].itertuples(index=False, name=None)):
+            if emit_first if before is None else before != row:
                 kept.append(i)
             before = row
         if before is not None:
-            self.last.update(tuple(before))
+            state.update(before)
         yield batch.iloc[kept]
 
-    def close(self) -> None:
-        pass
-
-
-def on_change_stream(df: DataFrame, key: Sequence[str], order: str, cols: Sequence[str], emit_first: bool = True) -> DataFrame:
-    """`on_change` on a stream, its last observations kept in the state store.
-
-    A hot key's micro-batch is bounded by the source's trigger limits.
-    """
-    state = T.StructType([df.schema[c] for c in cols])
-    return df.groupBy(*key).transformWithStateInPandas(
-        statefulProcessor=_Changes(order, cols, state, emit_first), outputStructType=df.schema, outputMode="Append", timeMode="None")
-
-
-class _TimedBatches(StatefulProcessor):
-    """Collects a partition's records until the count or the age of the batch closes it."""
+    return df.groupBy(*key).applyInPandasWithState(run, df.schema, state_type, "append", GroupStateTimeout.NoTimeout)
 
-    def __init__(self, max_messages: int, max_age_ms: int, by: Sequence[str]):
-        self.max_messages, self.max_age_ms, self.by = max_messages, max_age_ms, list(by)
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.values = handle.getListState("values", "offset long, value string")
-
-    def _close(self, key, items: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame({
-            **{k: [v] for k, v in zip(self.by, key)}, "first_offset": [items[0][0]], "message_count": [len(items)],
-            "value": ["[" + ",".join(v for _, v in items) + "]"]})
-
-    def _timers(self) -> list[int]:
-        return [t[0] for t in self.handle.listTimers()]
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values("offset")
-        held = [tuple(item) for item in self.values.get()]
-        opened = not held
+def timed_batches(df: DataFrame, max_messages: int = 100, max_age_ms: int = 1000,
+                  partition_by: Sequence[str] = ("topic", "partition")) -> DataFrame:
+    """JSON-array batches of a stream, closed by count or once the oldest record waited `max_age_ms`."""
+    by = list(partition_by)
+    types = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in by)
+
+    def closed(key: tuple, held: list[tuple[int, str]]) -> pd.DataFrame:
+        text = "[" + ",".join(value for _, value in held) + "]"
+        return pd.DataFrame({**{k: [v] for k, v in zip(by, key)}, "first_offset": [held[0][0]],
+                             "message_count": [len(held)], "value": [text]})
+
+    def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held = list(zip(*state.get)) if state.exists else []
+        if state.hasTimedOut:
+            state.remove()
+            if held:
+                yield closed(key, held)
+            return
+        batch = pd.concat(list(frames), ignore_index=True).sort_values("offset")
         for offset, value in batch[["offset", "value"]].itertuples(index=False, name=None):
             held.append((int(offset), value))
-            if len(held) >= self.max_messages:
-                yield self._close(key, held)
-                held, opened = [], True
+            if len(held) >= max_messages:
+                yield closed(key, held)
+                held = []
         if held:
-            self.values.put(held)
-            if opened:
-                for timer in self._timers():
-                    self.handle.deleteTimer(timer)
-                self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.max_age_ms)
-        else:
-            self.values.clear()
-            for timer in self._timers():
-                self.handle.deleteTimer(timer)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        held = [tuple(item) for item in self.values.get()]
-        self.values.clear()
-        if held:
-            yield self._close(key, held)
-
-    def close(self) -> None:
-        pass
-
+            state.update(([o for o, _ in held], [v for _, v in held]))
+            state.setTimeoutDuration(max_age_ms)
+        elif state.exists:
+            state.remove()
 
-def timed_batches(df: DataFrame, max_messages: int = 100, max_age_ms: int = 1000,
-                  partition_by: Sequence[str] = ("topic", "partition")) -> DataFrame:
-    """JSON-array batches of a stream, closed by count or by a processing-time timer."""
-    types = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in partition_by)
     rows = df.withColumn("value", F.col("value").cast("string"))
-    return rows.groupBy(*partition_by).transformWithStateInPandas(
-        statefulProcessor=_TimedBatches(max_messages, max_age_ms, partition_by),
-        outputStructType=f"{types}, first_offset long, message_count int, value string",
-        outputMode="Append", timeMode="ProcessingTime")
+    return rows.groupBy(*by).applyInPandasWithState(
+        run, f"{types}, first_offset long, message_count int, value string", "offsets array<long>, texts array<string>",
+        "append", GroupStateTimeout.ProcessingTimeTimeout)
 
 
 def heartbeats(spark: SparkSession, source: str, target: str, per_second: int = 1) -> DataFrame:
