@@ -14,7 +14,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from rivulet.operators.ordered import scan
 from rivulet.records import as_text, parsed, payload_size
@@ -199,7 +199,7 @@ def _with_metadata() -> Column:
     )
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def gzipped(payload: pd.Series) -> pd.Series:
     return payload.map(lambda data: None if data is None else gzip.compress(bytes(data), mtime=0))
 

@@ -126,7 +126,7 @@ def merge(frames: Mapping[str, DataFrame] | Sequence[DataFrame], topic: str | No
 
 def flat_map(df: DataFrame, fn: Callable[[dict], Iterator[dict]], schema: str | T.StructType) -> DataFrame:
     """Zero or more output rows per record from a Python function over a record's dict."""
-    names = T._parse_datatype_string(schema).names if isinstance(schema, str) else schema.names
+    names = T.StructType.fromDDL(schema).names if isinstance(schema, str) else schema.names
 
     def run(batches):
         for batch in batches:
@@ -146,7 +146,7 @@ def guarded(df: DataFrame, fn: Callable[[dict], Iterator[dict]], schema: str | T
     """
     if on_error not in ("fail", "skip", "deadletter"):
         raise ValueError(f"unknown error policy {on_error!r}")
-    out = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    out = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     if on_error != "deadletter":
         result = out
     else:

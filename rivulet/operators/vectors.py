@@ -134,7 +134,7 @@ class _Best:
 
     def rows(self) -> pd.DataFrame:
         best = self.kept
-        return pd.DataFrame({"query_id": [self.names[int(q)] for q in best["q"]], "id": best["id"].values,
+        return pd.DataFrame({"query_id": [self.names[int(q)] for q in best["q"]], "id": best["id"].to_list(),
                              "score": best["score"].astype("float64").values})
 
 

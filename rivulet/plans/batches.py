@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from rivulet.operators import batching as B
 from rivulet.plans.inputs import RECORDS, records
@@ -119,7 +120,7 @@ def batch_gzip(spark, sf):
     return _shown(packed, "message_count", "compressed", unzipped_md5("value").alias("digest"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def unzipped_md5(data):
     import gzip
     import hashlib

@@ -269,3 +269,20 @@ def partitioned_sink(spark, sf):
             F.count("*").alias("n"), F.sum("offset").alias("offsets"))
         out = part if out is None else out.unionByName(part)
     return out
+
+
+@query("script_source", "SELECT event_id, upper(event_type) AS kind, value * 2 AS doubled FROM events")
+def script_source(spark, sf):
+    import pyarrow.parquet as pq
+
+    from rivulet.sources.script import register_script
+
+    path = f"{sf}/events.parquet"
+
+    def script(group):
+        rows = pq.ParquetFile(path).read_row_group(group, ["event_id", "event_type", "value"])
+        for row in rows.to_pylist():
+            yield row["event_id"], row["event_type"].upper(), row["value"] * 2
+
+    register_script(spark, "event_script", script, "event_id long, kind string, doubled double")
+    return spark.read.format("event_script").option("partitions", pq.ParquetFile(path).num_row_groups).load()
