@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from collections.abc import Callable, Iterable
+
+import pyarrow as pa
+from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 # Unicode white space (fixed values): controls, spaces, line and paragraph separators.
 WHITESPACE = (
@@ -24,3 +28,27 @@ def words(text: Column) -> Column:
 def counted(tokens: Column, vocabulary: list[str]) -> Column:
     """How many tokens belong to a vocabulary."""
     return F.size(F.filter(tokens, lambda t: t.isin(*vocabulary)))
+
+
+def rows_of(find: Callable[[str], Iterable[tuple]], fields: T.StructType):
+    """An Arrow function from a text to an array of structs, one per tuple that `find` yields.
+
+    Columns are built flat for a whole batch, which is far cheaper than a
+    Python object per struct.
+    """
+    kinds = [to_arrow_type(f.dataType) for f in fields]
+
+    @F.arrow_udf(T.ArrayType(fields))
+    def run(values: pa.Array) -> pa.Array:
+        flat: list[tuple] = []
+        ends = [0]
+        for value in values.to_pylist():
+            if value:
+                flat.extend(find(value))
+            ends.append(len(flat))
+        columns = list(zip(*flat)) if flat else [()] * len(kinds)
+        arrays = [pa.array(column, kind) for column, kind in zip(columns, kinds)]
+        structs = pa.StructArray.from_arrays(arrays, names=fields.names)
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), structs)
+
+    return run

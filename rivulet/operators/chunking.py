@@ -12,12 +12,13 @@ from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 from itertools import accumulate
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from rivulet.functions.text import WHITESPACE, trimmed
+from rivulet.functions.text import WHITESPACE, rows_of, trimmed
+from rivulet.records import unnest
 
-CHUNK = "text string, start_offset int, end_offset int"
+CHUNK = T.StructType([T.StructField("text", T.StringType()), T.StructField("start_offset", T.IntegerType()),
+                      T.StructField("end_offset", T.IntegerType())])
 STRATEGIES = ("fixed-size", "sentence", "paragraph", "recursive")
 
 
@@ -25,13 +26,12 @@ def _char_windows(text: Column, size: int, step: int, trim: bool) -> Column:
     """Windows of `size` characters every `step`. Each match consumes one step and
     looks ahead over the window, so the text is read once."""
     found = F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{1,{size}}})).{{1,{step}}}"), F.lit(1))
-    length = F.length(text)
     return F.transform(
         found,
         lambda w, i: F.struct(
             (trimmed(w) if trim else w).alias("text"),
             (i * step).alias("start_offset"),
-            F.least(i * step + size, length).alias("end_offset"),
+            (i * step + F.length(w)).alias("end_offset"),
         ),
     )
 
@@ -129,24 +129,16 @@ def _recursive(text: str, separators: Sequence[str], size: int, overlap: int, tr
 
 def _packer(strategy: str, size: int, overlap: int, trim: bool, least: int, delimiters: str, separator: str,
             separators: Sequence[str], compat: bool):
-    def chunks(text: str | None) -> list[dict]:
-        if not text:
-            return []
+    def chunks(text: str) -> list[Piece]:
         if strategy == "words":
-            made = _word_windows(text, size, size - overlap)
-        elif strategy == "sentence":
-            made = _packed(_sentences(text, delimiters, trim, least), " ", size, overlap, trim)
-        elif strategy == "paragraph":
-            made = _packed(_paragraphs(text, separator, trim, least), separator, size, overlap, trim)
-        else:
-            made = _recursive(text, separators, size, overlap, trim, least, compat)
-        return [{"text": t, "start_offset": a, "end_offset": b} for t, a, b in made]
+            return _word_windows(text, size, size - overlap)
+        if strategy == "sentence":
+            return _packed(_sentences(text, delimiters, trim, least), " ", size, overlap, trim)
+        if strategy == "paragraph":
+            return _packed(_paragraphs(text, separator, trim, least), separator, size, overlap, trim)
+        return _recursive(text, separators, size, overlap, trim, least, compat)
 
-    @F.pandas_udf(f"array<struct<{CHUNK.replace(' string', ':string').replace(' int', ':int')}>>")
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(chunks)
-
-    return run
+    return rows_of(chunks, CHUNK)
 
 
 def chunk(df: DataFrame, text_col: str = "text", strategy: str = "fixed-size", size: int = 1000, overlap: int = 200,
@@ -180,7 +172,8 @@ def chunk(df: DataFrame, text_col: str = "text", strategy: str = "fixed-size", s
     if not skip_empty:
         found = F.when(F.length(F.coalesce(text, F.lit(""))) == 0, nothing).otherwise(found)
     staged = staged.withColumn("__chunks", found)
-    out = staged.select(*kept, F.size("__chunks").alias("chunk_total"), F.posexplode("__chunks").alias("chunk_index", "__chunk"))
+    counted = staged.withColumn("chunk_total", F.size("__chunks"))
+    out = unnest(counted, [*kept, "chunk_total"], "__chunks", "chunk_index", "__chunk")
     out = out.select(*kept, F.col("__chunk.text").alias("chunk"), "chunk_index", "chunk_total", "__chunk.start_offset", "__chunk.end_offset")
     if skip_empty:
         out = out.where(trimmed(F.col("chunk")) != "")

@@ -47,7 +47,8 @@ def upsert_nodes(nodes: DataFrame, rows: DataFrame, label: str, id_cols: Sequenc
         return nodes.unionByName(made.drop(order))
     # values reduce per property before a node is put together, so many rows of one node spread over the map tasks
     last = (
-        made.select("label", "id", order, F.explode("properties").alias("name", "value"))
+        made.select("label", "id", order, F.explode_outer("properties").alias("name", "value"))
+        .where(F.col("name").isNotNull())
         .groupBy("label", "id", "name")
         .agg(F.max_by("value", order).alias("value"))
         .groupBy("label", "id")

@@ -5,50 +5,48 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from rivulet.functions.text import WHITESPACE, counted, words
+from rivulet.functions.text import WHITESPACE, counted, rows_of, words
 from rivulet.operators.ordered import top_per_group
+from rivulet.records import unnest
 
-SPAN = "array<struct<text:string,begin:int,end:int>>"
+SPAN = T.StructType([T.StructField("text", T.StringType()), T.StructField("begin", T.IntegerType()),
+                     T.StructField("end", T.IntegerType())])
+FIND = T.StructType([T.StructField("type", T.StringType()), T.StructField("begin", T.IntegerType()),
+                     T.StructField("end", T.IntegerType())])
 _SPACES = re.escape(WHITESPACE)
 
 
-def _spans(pattern: str):
-    @F.pandas_udf(SPAN)
-    def run(texts: pd.Series) -> pd.Series:
-        found = re.compile(pattern)
+def _spans(pattern: str, trim: bool):
+    def whole(text: str):
+        return [(m.group(), *m.span()) for m in re.finditer(pattern, text)]
 
-        def spans(text):
-            out = []
-            for m in found.finditer(text or ""):
-                own = m.group().strip(WHITESPACE)
-                if own:
-                    begin = m.start() + m.group().index(own)
-                    out.append({"text": own, "begin": begin, "end": begin + len(own)})
-            return out
+    def inner(text: str):
+        for m in re.finditer(pattern, text):
+            own = m.group().strip(WHITESPACE)
+            if own:
+                begin = m.start() + m.group().index(own)
+                yield own, begin, begin + len(own)
 
-        return texts.map(spans)
+    return rows_of(inner if trim else whole, SPAN)
 
-    return run
 
-
-def _exploded(df: DataFrame, text_col: str, pattern: str, name: str) -> DataFrame:
+def _exploded(df: DataFrame, text_col: str, pattern: str, name: str, trim: bool) -> DataFrame:
     kept = [c for c in df.columns if c != text_col]
-    found = _spans(pattern)(F.col(text_col))
-    out = df.select(*kept, F.posexplode(found).alias("index", "__span"))
+    found = _spans(pattern, trim)(F.col(text_col))
+    out = unnest(df, kept, found, "index", "__span")
     return out.select(*kept, "index", F.col("__span.text").alias(name), "__span.begin", "__span.end")
 
 
 def tokenize(df: DataFrame, text_col: str = "text") -> DataFrame:
     """One row per token: a run of letters, digits and underscores, or one other sign."""
-    return _exploded(df, text_col, f"\\w+|[^\\w{_SPACES}]", "token")
+    return _exploded(df, text_col, f"\\w+|[^\\w{_SPACES}]", "token", trim=False)
 
 
 def sentences(df: DataFrame, text_col: str = "text") -> DataFrame:
     """One row per sentence; `.`, `!` and `?` each end one."""
-    return _exploded(df, text_col, "[^.!?]*[.!?]|[^.!?]+", "sentence")
+    return _exploded(df, text_col, "[^.!?]*[.!?]|[^.!?]+", "sentence", trim=True)
 
 
 # Personal data patterns, applied in this order (fixed values).
@@ -61,38 +59,37 @@ PII = {
 }
 
 
+_MAY_HOLD_PII = "[0-9@]|[a-f]{32}"
+
+
 def pii_redact(df: DataFrame, text_col: str = "text", types: Sequence[str] = tuple(PII), into: str = "redacted") -> DataFrame:
     """The text with each find replaced by its type in brackets."""
     text = F.col(text_col)
     for name in types:
         text = F.regexp_replace(text, PII[name], f"[{name}]")
-    return df.withColumn(into, text)
+    return df.withColumn(into, F.when(F.col(text_col).rlike(_MAY_HOLD_PII), text).otherwise(F.col(text_col)))
 
 
 def pii_spans(df: DataFrame, text_col: str = "text", types: Sequence[str] = tuple(PII)) -> DataFrame:
     """One row per find: type, score, begin, end. A text claimed by one type is not offered to the next."""
     patterns = {name: PII[name] for name in types}
 
-    @F.pandas_udf("array<struct<type:string,begin:int,end:int>>")
-    def run(texts: pd.Series) -> pd.Series:
-        compiled = {name: re.compile(p, re.ASCII) for name, p in patterns.items()}
-
-        def spans(text):
-            out, rest = [], text or ""
-            for name, pattern in compiled.items():
-                found = [m.span() for m in pattern.finditer(rest)]
-                out += [{"type": name, "begin": a, "end": b} for a, b in found]
-                if found:
-                    # same length, so later offsets stay true
-                    rest = pattern.sub(lambda m: "\0" * len(m.group()), rest)
-            return sorted(out, key=lambda s: s["begin"])
-
-        return texts.map(spans)
-
+    def finds(text: str):
+        out, rest = [], text
+        for name, pattern in patterns.items():
+            compiled = re.compile(pattern, re.ASCII)
+            found = [m.span() for m in compiled.finditer(rest)]
+            out += [(name, a, b) for a, b in found]
+            if found:
+                # same length, so later offsets stay true
+                rest = compiled.sub(lambda m: "\0" * len(m.group()), rest)
+        return sorted(out, key=lambda f: f[1])
+
+    run = rows_of(finds, FIND)
     # texts without digits or @ hold none of these, and never reach Python
     kept = [c for c in df.columns if c != text_col]
-    candidates = df.where(F.col(text_col).rlike("[0-9@]|[a-f]{32}"))
-    out = candidates.select(*kept, F.explode(run(F.col(text_col))).alias("__span"))
+    candidates = df.where(F.col(text_col).rlike(_MAY_HOLD_PII))
+    out = unnest(candidates, kept, run(F.col(text_col)), "__at", "__span")
     return out.select(*kept, "__span.type", F.lit(1.0).alias("score"), "__span.begin", "__span.end")
 
 
@@ -150,10 +147,23 @@ def sentiment(df: DataFrame, lexicon: Mapping[str, int] = LEXICON, text_col: str
     }).drop("__words", "__good", "__bad", "__all")
 
 
+TERM = T.StructType([T.StructField("term", T.StringType()), T.StructField("tf", T.IntegerType()),
+                     T.StructField("offset", T.IntegerType())])
+
+
 def term_frequencies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_length: int = 3) -> DataFrame:
-    """(document, term, tf) with counts combined before the exchange."""
-    terms = df.select(id_col, F.explode(words(F.col(text_col))).alias("term"))
-    return terms.where(F.length("term") >= min_length).groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+    """(document, term, tf, offset of the first use). A document is one row, so its terms are
+    counted where it is read and nothing is exchanged."""
+
+    def count(text: str):
+        found: dict[str, list[int]] = {}
+        for m in re.finditer(r"[^\W\d_]+", text.lower()):
+            if m.end() - m.start() >= min_length:
+                found.setdefault(m.group(), [0, m.start()])[0] += 1
+        return [(term, n, first) for term, (n, first) in found.items()]
+
+    rows = unnest(df, [id_col], rows_of(count, TERM)(F.col(text_col)), "__at", "__term")
+    return rows.select(id_col, "__term.*")
 
 
 def inverse_frequencies(tf: DataFrame, documents: int) -> DataFrame:
@@ -166,9 +176,7 @@ def key_phrases(df: DataFrame, n: int = 5, id_col: str = "doc_id", text_col: str
     tf = term_frequencies(df, id_col, text_col)
     weighed = tf.join(inverse_frequencies(tf, df.count()), "term").withColumn("score", F.round(F.col("tf") * F.col("idf"), 6))
     best = top_per_group(weighed, [id_col], [F.desc("score"), F.asc("term")], n)
-    located = best.join(df.select(id_col, F.lower(text_col).alias("__text")), id_col)
-    offset = F.expr("locate(term, __text)") - 1
-    return located.select(id_col, F.col("term").alias("phrase"), "score", "rank", offset.alias("offset"))
+    return best.select(id_col, F.col("term").alias("phrase"), "score", "rank", "offset")
 
 
 def summarize(df: DataFrame, n: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -176,7 +184,7 @@ def summarize(df: DataFrame, n: int = 3, id_col: str = "doc_id", text_col: str =
     tf = term_frequencies(df, id_col, text_col)
     weights = tf.join(inverse_frequencies(tf, df.count()), "term").select(id_col, "term", (F.col("tf") * F.col("idf")).alias("w"))
     found = sentences(df.select(id_col, text_col), text_col)
-    terms = found.select(id_col, "index", F.explode(words(F.col("sentence"))).alias("term"))
+    terms = unnest(found, [id_col, "index"], words(F.col("sentence")), "__at", "term")
     counts = terms.groupBy(id_col, "index", "term").agg(F.count(F.lit(1)).alias("c"))
     scored = counts.join(weights, [id_col, "term"], "left").groupBy(id_col, "index").agg(
         F.round(F.sum(F.col("c") * F.coalesce("w", F.lit(0.0))) / F.sum("c"), 6).alias("score"))

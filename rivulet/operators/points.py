@@ -85,9 +85,8 @@ def to_points(df: DataFrame, measurement: str = "", measurement_field: str | Non
     pairs = [x for c in own for x in (F.lit(c), F.col(c).cast("string"))]
     tag_map = F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull()) if pairs else F.create_map().cast("map<string,string>")
     points = df.select(
-        name.alias("measurement"), tag_map.alias("tags"), _time(df, ts_col, precision).alias("ts"),
-        F.inline(F.filter(F.array(*measured), lambda v: v["set"])))
-    return points.drop("set")
+        name.alias("measurement"), tag_map.alias("tags"), _time(df, ts_col, precision).alias("ts"), F.inline(F.array(*measured)))
+    return points.where("set").drop("set")
 
 
 def series_key(measurement: Column, tags: Column) -> Column:

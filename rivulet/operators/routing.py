@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from rivulet.records import as_text, field, json_path, kind_of, node_at, parsed, text_at
+from rivulet.records import as_text, field, json_path, kind_of, node_at, parsed, text_at, unnest
 
 
 def _expression(condition: str | Column) -> Column:
@@ -95,11 +95,8 @@ def split(df: DataFrame, path: str = ".", include_index: bool = False) -> DataFr
     )
     whole = F.array(as_text("value"))
     pieces = F.when(is_array, texts).otherwise(whole)
-    out = staged.select(
-        *[c for c in df.columns if c != "value"],
-        is_array.alias("__array"),
-        F.posexplode(pieces).alias("__index", "value"),
-    )
+    kept = [*[c for c in df.columns if c != "value"], is_array.alias("__array")]
+    out = unnest(staged, kept, pieces, "__index", "value")
     if include_index:
         mark = F.create_map(F.lit("_index"), F.col("__index").cast("string").cast("binary"))
         headers = F.coalesce(F.col("headers"), F.create_map().cast("map<string,binary>"))

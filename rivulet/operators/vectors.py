@@ -134,8 +134,11 @@ class _Best:
 
     def rows(self) -> pd.DataFrame:
         best = self.kept
-        return pd.DataFrame({"query_id": [self.names[int(q)] for q in best["q"]], "id": best["id"].to_list(),
-                             "score": best["score"].astype("float64").values})
+        return pd.DataFrame({
+            "query_id": pd.Series([self.names[int(q)] for q in best["q"]], dtype=object),
+            "id": pd.Series(best["id"].to_list(), dtype=object),
+            "score": best["score"].astype("float64").values,
+        })
 
 
 def topk(vectors: DataFrame, queries: DataFrame, k: int = 5, min_similarity: float = 0.0, metric: str = "cosine",

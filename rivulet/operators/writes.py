@@ -256,5 +256,6 @@ def to_cells(df: DataFrame, row_key_field: str = "row_key", default_family: str
                 F.coalesce(families, F.create_map(F.lit(default_family), flat)).alias("__families"))
         .where(F.length("row_key") > 0)
     )
-    by_family = staged.select("row_key", "ts", F.explode("__families").alias("family", "__columns"))
-    return by_family.select("row_key", "family", F.explode("__columns").alias("column", "value"), "ts")
+    by_family = staged.select("row_key", "ts", F.explode_outer("__families").alias("family", "__columns"))
+    cells = by_family.select("row_key", "family", F.explode_outer("__columns").alias("column", "value"), "ts")
+    return cells.where(F.col("column").isNotNull())

@@ -13,9 +13,24 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """A scan that arrives in fewer tasks than there are cores, dealt out to all of them.
+
+    A small file is one task however heavy the work on its rows. Large tables
+    scan in far more tasks than cores and stay as they are.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
+def documents(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    rows = table(spark, folder, "documents")
+    return spread(rows.select(*columns) if columns else rows)
+
+
 def records(spark: SparkSession, folder: str) -> DataFrame:
     """`events` as records: the row as a JSON payload, keyed by user."""
-    events = table(spark, folder, "events")
+    events = spread(table(spark, folder, "events"))
     payload = F.concat(
         F.lit('{"event_id":'), F.col("event_id"),
         F.lit(',"user":{"id":'), F.col("user_id"), F.lit(',"name":"u'), F.col("user_id"),

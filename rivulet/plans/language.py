@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rivulet.operators import enrichment as N, language as L
-from rivulet.plans.inputs import table
+from rivulet.plans.inputs import documents, table
 from rivulet.plans.registry import query
 
 _WS = r"\t\n\x0b\x0c\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 
 
 def _docs(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", "text")
+    return documents(spark, sf, "doc_id", "text")
 
 
 def _list(words):
@@ -26,13 +26,11 @@ _WORDS = """w AS (SELECT doc_id, text, list_filter(regexp_split_to_array(lower(t
   regexp_split_to_array(text, '[\\p{{L}}\\p{{N}}_]+|[^\\p{{L}}\\p{{N}}_{_WS}]') AS gaps FROM documents),
 u AS (SELECT doc_id, unnest(tokens) AS token, unnest(gaps[:len(tokens)]) AS gap, generate_subscripts(tokens, 1) AS i FROM t),
 o AS (SELECT doc_id, token, sum(length(token) + length(gap)) OVER (PARTITION BY doc_id ORDER BY i) AS stop FROM u)
-SELECT doc_id, count(*) AS tokens, CAST(sum(stop) AS BIGINT) AS ends, CAST(sum(stop - length(token)) AS BIGINT) AS begins,
-  max(token) AS last, count(DISTINCT token) AS kinds FROM o GROUP BY doc_id""")
+SELECT doc_id, count(*) AS tokens, CAST(sum(stop) AS BIGINT) AS ends, CAST(sum(stop - length(token)) AS BIGINT) AS begins, max(token) AS last FROM o GROUP BY doc_id""")
 def tokens(spark, sf):
     found = L.tokenize(_docs(spark, sf))
     return found.groupBy("doc_id").agg(
-        F.count("*").alias("tokens"), F.sum("end").alias("ends"), F.sum("begin").alias("begins"), F.max("token").alias("last"),
-        F.countDistinct("token").alias("kinds"))
+        F.count("*").alias("tokens"), F.sum("end").alias("ends"), F.sum("begin").alias("begins"), F.max("token").alias("last"))
 
 
 @query("sentences", f"""WITH m AS (SELECT doc_id, regexp_extract_all(text, '[^.!?]*[.!?]|[^.!?]+') AS m FROM documents),
@@ -81,7 +79,7 @@ best AS (SELECT doc_id, language, round(n / total, 6) AS score FROM s WHERE n >
   QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, language) = 1)
 SELECT d.doc_id, lang, language, score, language IS NOT DISTINCT FROM lang AS correct FROM documents d LEFT JOIN best USING (doc_id)""")
 def detect_language(spark, sf):
-    out = L.detect_language(table(spark, sf, "documents"))
+    out = L.detect_language(documents(spark, sf))
     best = F.get(F.col("languages"), F.lit(0))
     return out.select("doc_id", "lang", best["language"].alias("language"), F.round(best["score"], 6).alias("score"),
                       best["language"].eqNullSafe(F.col("lang")).alias("correct"))
@@ -103,9 +101,13 @@ _TF = f"""{_WORDS}, tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_
 idf AS (SELECT term, ln((SELECT count(*) FROM documents) / count(*)) AS idf FROM tf GROUP BY term)"""
 
 
-@query("key_phrases", f"""WITH {_TF}, s AS (SELECT doc_id, term, round(tf * idf, 6) AS score FROM tf JOIN idf USING (term))
+@query("key_phrases", f"""WITH {_TF}, s AS (SELECT doc_id, term, round(tf * idf, 6) AS score FROM tf JOIN idf USING (term)),
+m AS (SELECT doc_id, regexp_extract_all(lower(text), '\\p{{L}}+') AS found, regexp_split_to_array(lower(text), '\\p{{L}}+') AS gaps FROM documents),
+u AS (SELECT doc_id, unnest(found) AS term, unnest(gaps[:len(found)]) AS gap, generate_subscripts(found, 1) AS i FROM m),
+firsts AS (SELECT doc_id, term, min(stop - length(term)) AS first FROM (
+  SELECT doc_id, term, sum(length(term) + length(gap)) OVER (PARTITION BY doc_id ORDER BY i) AS stop FROM u) GROUP BY ALL)
 SELECT s.doc_id, term AS phrase, score, CAST(row_number() OVER (PARTITION BY s.doc_id ORDER BY score DESC, term) AS INTEGER) AS rank,
-  CAST(instr(lower(text), term) - 1 AS INTEGER) AS "offset" FROM s JOIN documents USING (doc_id)
+  CAST(first AS INTEGER) AS "offset" FROM s JOIN firsts USING (doc_id, term)
 QUALIFY row_number() OVER (PARTITION BY s.doc_id ORDER BY score DESC, term) <= 5""")
 def key_phrases(spark, sf):
     return L.key_phrases(_docs(spark, sf))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rivulet.operators import chunking as K
-from rivulet.plans.inputs import table
+from rivulet.plans.inputs import documents, table
 from rivulet.plans.registry import query
 
 _SPACES = "chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||' '||chr(133)||chr(160)||chr(8232)||chr(8233)||chr(12288)"
@@ -13,7 +13,7 @@ _OUT = ["doc_id", "chunk", "chunk_index", "chunk_total", "start_offset", "end_of
 
 
 def _docs(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", "text")
+    return documents(spark, sf, "doc_id", "text")
 
 
 def _numbered(source):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 RECORD = T.StructType(
@@ -84,3 +86,13 @@ def payload_size() -> Column:
     return sum(
         (F.coalesce(F.octet_length(name), F.lit(0)) for name in ("key", "value")), F.lit(0)
     ).cast("long")
+
+
+def unnest(df: DataFrame, kept: Sequence, array: Column | str, position: str, value: str) -> DataFrame:
+    """One row per element of an array, with its position.
+
+    From a plain explode Spark infers a filter on the array's size and so
+    computes the array twice, once before any exchange below. The outer form
+    with a filter on the position computes it once.
+    """
+    return df.select(*kept, F.posexplode_outer(array).alias(position, value)).where(F.col(position).isNotNull())

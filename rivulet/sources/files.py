@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from rivulet.operators.routing import split
-from rivulet.records import kind_of, node_at, parsed
+from rivulet.records import kind_of, node_at, parsed, unnest
 
 
 def listed(paths: str | Sequence[str]) -> list[str]:
@@ -97,7 +97,7 @@ def extract_rows(df: DataFrame, path: str, value: str = "value") -> DataFrame:
     many = F.transform(node.try_cast("array<variant>"), lambda e: F.coalesce(F.to_json(e), F.lit("null")))
     pieces = F.when(node.isNull(), F.array().cast("array<string>")).when(kind_of(node).startswith("ARRAY"), many).otherwise(one)
     kept = [c for c in df.columns if c != value]
-    return staged.select(*kept, F.posexplode(pieces).alias("index", value))
+    return unnest(staged, kept, pieces, "index", value)
 
 
 def concat_sources(sources: Sequence, topic: str, index_col: str = "source_index", continue_on_error: bool = False) -> DataFrame:

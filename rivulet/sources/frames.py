@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+
+from rivulet.functions.text import rows_of
+from rivulet.records import unnest
 
 
 def split_frames(df: DataFrame, col: str = "value", framing: str = "line", delimiter: bytes = b"\n", width: int = 4,
@@ -50,12 +52,11 @@ def split_frames(df: DataFrame, col: str = "value", framing: str = "line", delim
 
     read = {"line": lines, "delimiter": delimited, "length": prefixed, "raw": lambda data: [data]}[framing]
 
-    @F.pandas_udf("array<binary>")
-    def run(blobs: pd.Series) -> pd.Series:
-        return blobs.map(lambda blob: [] if blob is None else read(bytes(blob)))
-
+    frame = T.StructType([T.StructField("frame", T.BinaryType())])
+    found = rows_of(lambda data: [(part,) for part in read(data)], frame)
     kept = [c for c in df.columns if c != col]
-    return df.select(*kept, F.posexplode(run(F.col(col).cast("binary"))).alias("frame_index", "frame"))
+    rows = unnest(df, kept, found(F.col(col).cast("binary")), "frame_index", "__frame")
+    return rows.select(*kept, "frame_index", "__frame.frame")
 
 
 def parse_sse(df: DataFrame, col: str = "value") -> DataFrame:
@@ -68,7 +69,7 @@ def parse_sse(df: DataFrame, col: str = "value") -> DataFrame:
     blocks = F.split(text, "\n\n")
     ended = F.slice(blocks, F.lit(1), F.size(blocks) - 1)
     kept = [c for c in df.columns if c != col]
-    rows = df.select(*kept, F.posexplode(ended).alias("__at", "__block")).withColumn("__lines", F.split("__block", "\n"))
+    rows = unnest(df, kept, ended, "__at", "__block").withColumn("__lines", F.split("__block", "\n"))
 
     def values(name: str) -> Column:
         own = F.filter("__lines", lambda line: (line == name) | line.startswith(f"{name}:"))
@@ -96,7 +97,7 @@ def parse_ics(df: DataFrame, col: str = "value") -> DataFrame:
     text = F.regexp_replace(F.regexp_replace(F.col(col).cast("string"), "\r\n?", "\n"), "\n[ \t]", "")
     bodies = F.regexp_extract_all(text, F.lit("(?s)BEGIN:VEVENT\n(.*?)END:VEVENT"), F.lit(1))
     kept = [c for c in df.columns if c != col]
-    rows = df.select(*kept, F.explode(bodies).alias("__body")).withColumn("__lines", F.split("__body", "\n"))
+    rows = unnest(df, kept, bodies, "__at", "__body").withColumn("__lines", F.split("__body", "\n"))
 
     def every(name: str) -> Column:
         return F.filter("__lines", lambda line: line.rlike(f"(?i)^{name}[:;]"))
