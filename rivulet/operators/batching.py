@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from rivulet.operators.ordered import scan
 from rivulet.records import as_text, parsed, payload_size
+from rivulet.session import settle
 
 ROWS_PER_BLOCK = 200_000
 BLOCKS_PER_RANGE = 1_000
@@ -94,6 +95,8 @@ def _greedy_starts(rows: DataFrame, by: list[str], max_messages: int, max_bytes:
         *(["__clock"] if age is not None else []),
         block.alias("__block"),
     )
+    # read by every later step: keep it, rather than scanning and numbering the records for each
+    narrow = settle(narrow)
     # each block also sees the head of the next one, where its last batch ends
     head = (F.col("__block") > 0) & ((F.col("__n") - 1) % width < max_messages)
     seen_by = F.when(head, F.array("__block", F.col("__block") - 1)).otherwise(F.array("__block"))
@@ -112,9 +115,6 @@ def _greedy_starts(rows: DataFrame, by: list[str], max_messages: int, max_bytes:
         first = frame.iloc[:1]
         return pd.DataFrame({**{k: first[k].values for k in by}, "__block": first["__block"].values, "exits": [at - own]})
 
-    maps = spread.groupBy(*by, "__block").applyInPandas(exits, f"{key_types}, __block long, exits array<long>")
-    maps = maps.withColumn("__range", F.floor(F.col("__block") / BLOCKS_PER_RANGE).cast("long"))
-
     def through(tables: pd.Series, entry: np.ndarray) -> np.ndarray:
         for table in tables:
             # an exit is always an entry of the next block; the last block's exits lead nowhere
@@ -127,12 +127,10 @@ def _greedy_starts(rows: DataFrame, by: list[str], max_messages: int, max_bytes:
         whole = through(frame["exits"], np.arange(max_messages))
         return pd.DataFrame({**{k: first[k].values for k in by}, "__range": first["__range"].values, "exits": [whole]})
 
-    ranges = maps.groupBy(*by, "__range").applyInPandas(compose, f"{key_types}, __range long, exits array<long>")
-
     def entries(unit: str):
-        def run(frame: pd.DataFrame, given: pd.DataFrame | None = None) -> pd.DataFrame:
+        def run(frame: pd.DataFrame) -> pd.DataFrame:
             frame = frame.sort_values(unit)
-            entry = 0 if given is None else int(given["entry"].iloc[0])
+            entry = int(frame["entry"].iloc[0])
             found = []
             for table in frame["exits"]:
                 found.append(entry)
@@ -141,16 +139,11 @@ def _greedy_starts(rows: DataFrame, by: list[str], max_messages: int, max_bytes:
 
         return run
 
-    range_of, block_of = entries("__range"), entries("__block")
-    range_entry = ranges.groupBy(*by).applyInPandas(lambda f: range_of(f), f"{key_types}, __range long, entry long")
-    block_entry = maps.groupBy(*by, "__range").cogroup(range_entry.groupBy(*by, "__range")).applyInPandas(
-        lambda f, g: block_of(f, g), f"{key_types}, __block long, entry long")
-
-    def place(frame: pd.DataFrame, given: pd.DataFrame) -> pd.DataFrame:
+    def place(frame: pd.DataFrame) -> pd.DataFrame:
         frame, own = ordered(frame)
         ends = _next_starts(frame, max_messages, max_bytes, age)
         number = frame["__n"].to_numpy(np.int64)
-        at, starts = int(given["entry"].iloc[0]), []
+        at, starts = int(frame["entry"].iloc[0]), []
         while at < own:
             starts.append(at)
             at = int(ends[at])
@@ -158,13 +151,25 @@ def _greedy_starts(rows: DataFrame, by: list[str], max_messages: int, max_bytes:
         return pd.DataFrame({**{k: found[k].values for k in by}, "__block": found["__block"].values,
                              "batch_start": number[starts]})
 
-    starts = spread.groupBy(*by, "__block").cogroup(block_entry.groupBy(*by, "__block")).applyInPandas(
-        place, f"{key_types}, __block long, batch_start long")
+    beginning = F.lit(0).cast("long")
+    if (narrow.agg(F.max("__block")).first()[0] or 0) == 0:
+        entered = spread.withColumn("entry", beginning)  # every partition is one block
+    else:
+        maps = spread.groupBy(*by, "__block").applyInPandas(exits, f"{key_types}, __block long, exits array<long>")
+        maps = settle(maps.withColumn("__range", F.floor(F.col("__block") / BLOCKS_PER_RANGE).cast("long")))
+        ranges = maps.groupBy(*by, "__range").applyInPandas(compose, f"{key_types}, __range long, exits array<long>")
+        range_entry = ranges.withColumn("entry", beginning).groupBy(*by).applyInPandas(
+            entries("__range"), f"{key_types}, __range long, entry long")
+        block_entry = maps.join(range_entry, [*by, "__range"]).groupBy(*by, "__range").applyInPandas(
+            entries("__block"), f"{key_types}, __block long, entry long")
+        entered = spread.join(block_entry, [*by, "__block"])
+    starts = entered.groupBy(*by, "__block").applyInPandas(place, f"{key_types}, __block long, batch_start long")
     # the batch a block inherits is the last one begun before it
     along = Window.partitionBy(*by).orderBy("__block")
+    starts = settle(starts)
     opened = starts.groupBy(*by, "__block").agg(F.max("batch_start").alias("batch_start"))
     marks = starts.withColumn("__n", F.col("batch_start")).unionByName(
-        maps.select(*by, "__block").join(opened, [*by, "__block"], "left")
+        narrow.select(*by, "__block").distinct().join(opened, [*by, "__block"], "left")
         .withColumn("batch_start", F.last("batch_start", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, -1)))
         .withColumn("__n", F.lit(0).cast("long"))
     ).withColumn("__mark", F.lit(True))

@@ -72,9 +72,9 @@ def lsn_window(log: DataFrame, after: int | None, n: int, table: str = "table",
     """
     pending = log if after is None else log.where(F.col(lsn) > after)
     heads = top_per_group(pending.select(table, lsn, seq), [table], [F.asc(lsn), F.asc(seq)], n + 1)
-    end = heads.where(F.col("rank") == n + 1).agg(F.min(lsn).alias("__end"))
-    # one row, so the join to it is a lookup
-    return pending.join(F.broadcast(end), F.col("__end").isNull() | (F.col(lsn) <= F.col("__end"))).drop("__end")
+    end = heads.where(F.col("rank") == n + 1).agg(F.min(lsn).alias("end")).first().end
+    # as a literal the bound reaches the scan
+    return pending if end is None else pending.where(F.col(lsn) <= end)
 
 
 # Change names of each dialect and the operation they stand for (fixed values).

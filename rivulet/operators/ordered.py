@@ -74,7 +74,8 @@ def scan(
     inputs = {f"__in_{name}": col for part in (running, previous, latest, highest) for name, col in part.items()}
     rows = df.withColumns({_SEGMENT: segment, **inputs})
 
-    at = F.struct(*order)
+    # one fixed-width order column keeps the summary a hash aggregation
+    at = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     pick = F.min_by if descending else F.max_by
     summaries = [F.sum(f"__in_{n}").alias(f"__in_{n}") for n in running]
     summaries += [pick(f"__in_{n}", at).alias(f"__in_{n}") for n in previous]

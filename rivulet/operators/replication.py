@@ -101,26 +101,26 @@ def translate(offsets: DataFrame, mappings: DataFrame, by: Sequence[str] = PARTI
     known = mappings.groupBy(*by, "source_offset").agg(F.max("target_offset").alias("target_offset"))
     if keep is not None:
         known = top_per_group(known, by, [F.desc("source_offset")], keep).drop("rank")
-    point = F.struct(F.col("source_offset").alias("source"), F.col("target_offset").alias("target"))
-    marks = known.select(*by, F.col("source_offset").alias("offset"), point.alias("__point"), F.lit(0).alias("__asked"))
-    asked = offsets.withColumn("__asked", F.lit(1))
-    both = asked.unionByName(marks, allowMissingColumns=True)
+    marks = known.select(*by, F.col("source_offset").alias("offset"), F.col("source_offset").alias("__source"),
+                         F.col("target_offset").alias("__target"), F.lit(0).alias("__asked"))
+    both = offsets.withColumn("__asked", F.lit(1)).unionByName(marks, allowMissingColumns=True)
+    # at one offset the mapping comes before the offsets asked for, in both directions
+    both = both.withColumns({"__up": F.col("offset") * 2 + F.col("__asked"), "__down": F.col("offset") * 2 - F.col("__asked")})
     segment = by_position("offset", segment_rows)
-    point = F.col("__point")
-    lower = scan(both, by, ["offset", "__asked"], latest={"__lower": point}, segment=segment)
-    lower = lower.withColumn("__asked", -F.col("__asked"))
-    found = scan(lower, by, ["offset", "__asked"], latest={"__upper": point}, segment=segment, descending=True)
-
-    at, low, up = F.col("offset"), F.col("__lower"), F.col("__upper")
-    ratio = (at - low["source"]).cast("double") / (up["source"] - low["source"])
-    between = low["target"] + (ratio * (up["target"] - low["target"])).cast("long")
+    point = {"source": F.col("__source"), "target": F.col("__target")}
+    lower = scan(both, by, ["__up"], latest={f"__low_{n}": c for n, c in point.items()}, segment=segment)
+    found = scan(lower, by, ["__down"], latest={f"__high_{n}": c for n, c in point.items()}, segment=segment, descending=True)
+
+    at, low_source, low, high_source, high = (
+        F.col(c) for c in ("offset", "__low_source", "__low_target", "__high_source", "__high_target"))
+    ratio = (at - low_source).cast("double") / (high_source - low_source)
     target = (
-        F.when(low["source"] == at, low["target"])
-        .when(low.isNull(), up["target"])
-        .when(up.isNull(), low["target"] + (at - low["source"]))
-        .otherwise(between)
+        F.when(low_source == at, low)
+        .when(low_source.isNull(), high)
+        .when(high_source.isNull(), low + (at - low_source))
+        .otherwise(low + (ratio * (high - low)).cast("long"))
     )
-    return found.where(F.col("__asked") == -1).withColumn("target_offset", target).select(*offsets.columns, "target_offset")
+    return found.where(F.col("__asked") == 1).withColumn("target_offset", target).select(*offsets.columns, "target_offset")
 
 
 def checkpoints(commits: DataFrame, mappings: DataFrame, order: str = "timestamp", deny: Sequence[str] = (),

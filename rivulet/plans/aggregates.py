@@ -13,13 +13,13 @@ _TYPES = {"count": "count(*)", "sum": "sum(number)", "avg": "sum(number) / count
 
 def _windowed(op):
     return f"""WITH {RECORDS}
-SELECT event_type AS "group", '{op}' AS operation, round(CAST({_TYPES[op]} AS DOUBLE), 4) AS result, count(*) AS count,
+SELECT event_type AS "group", '{op}' AS operation, round(CAST({_TYPES[op]} AS DOUBLE), 9) AS result, count(*) AS count,
        time_bucket(INTERVAL 1 HOUR, "timestamp") + INTERVAL 1 HOUR AS window_end
 FROM records GROUP BY event_type, time_bucket(INTERVAL 1 HOUR, "timestamp")"""
 
 
 def _rounded(df):
-    return df.withColumn("result", F.round("result", 4))
+    return df.withColumn("result", F.round("result", 9))
 
 
 def _register(op):
@@ -52,10 +52,10 @@ def agg_null_group(spark, sf):
 
 @query("agg_nested", f"""WITH {RECORDS}
 SELECT 'u' || user_id AS "group", 'avg' AS operation,
-       round(sum(CAST(json_extract_string(props, '$.k') AS DOUBLE)) / count(*), 6) AS result, count(*) AS count
+       round(sum(CAST(json_extract_string(props, '$.k') AS DOUBLE)) / count(*), 9) AS result, count(*) AS count
 FROM records GROUP BY user_id""")
 def agg_nested(spark, sf):
-    return A.aggregate(records(spark, sf), "avg", "props.k", "user.name").withColumn("result", F.round("result", 6))
+    return A.aggregate(records(spark, sf), "avg", "props.k", "user.name").withColumn("result", F.round("result", 9))
 
 
 @query("agg_window", """SELECT CAST(user_id AS VARCHAR) AS "group", 'max' AS operation, max(value) AS result, count(*) AS count,
@@ -65,7 +65,7 @@ def agg_window(spark, sf):
     return A.aggregate(records(spark, sf), "max", "value", "user.id", window="60 seconds")
 
 
-@query("agg_merge", """SELECT event_type AS "group", 'avg' AS operation, round(sum(value) / count(*), 4) AS result, count(*) AS count
+@query("agg_merge", """SELECT event_type AS "group", 'avg' AS operation, round(sum(value) / count(*), 9) AS result, count(*) AS count
 FROM events GROUP BY event_type""")
 def agg_merge(spark, sf):
     rows = records(spark, sf)
