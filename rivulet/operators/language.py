@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from rivulet.functions.text import WHITESPACE, counted, rows_of, words
 from rivulet.operators.ordered import top_per_group
 from rivulet.records import unnest
+from rivulet.session import settle
 
 SPAN = T.StructType([T.StructField("text", T.StringType()), T.StructField("begin", T.IntegerType()),
                      T.StructField("end", T.IntegerType())])
@@ -171,18 +172,28 @@ def inverse_frequencies(tf: DataFrame, documents: int) -> DataFrame:
     return tf.groupBy("term").agg(F.log(F.lit(documents) / F.count(F.lit(1))).alias("idf"))
 
 
+def weighted(tf: DataFrame, documents: int) -> DataFrame:
+    """Term frequencies with their TF-IDF `weight`.
+
+    Rows made from documents are estimated far below their real size, so the
+    join is asked to exchange and sort both sides and never to broadcast one.
+    """
+    joined = tf.join(inverse_frequencies(tf, documents).hint("merge"), "term")
+    return joined.withColumn("weight", F.col("tf") * F.col("idf"))
+
+
 def key_phrases(df: DataFrame, n: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The `n` terms of each document with the highest TF-IDF, ties by term, with their first offset."""
-    tf = term_frequencies(df, id_col, text_col)
-    weighed = tf.join(inverse_frequencies(tf, df.count()), "term").withColumn("score", F.round(F.col("tf") * F.col("idf"), 6))
+    tf = settle(term_frequencies(df, id_col, text_col))  # read twice, costly to make
+    weighed = weighted(tf, df.count()).withColumn("score", F.round("weight", 6))
     best = top_per_group(weighed, [id_col], [F.desc("score"), F.asc("term")], n)
     return best.select(id_col, F.col("term").alias("phrase"), "score", "rank", "offset")
 
 
 def summarize(df: DataFrame, n: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The `n` sentences of each document with the highest mean TF-IDF, in text order with their rank score."""
-    tf = term_frequencies(df, id_col, text_col)
-    weights = tf.join(inverse_frequencies(tf, df.count()), "term").select(id_col, "term", (F.col("tf") * F.col("idf")).alias("w"))
+    tf = settle(term_frequencies(df, id_col, text_col))  # read twice, costly to make
+    weights = weighted(tf, df.count()).select(id_col, "term", F.col("weight").alias("w"))
     found = sentences(df.select(id_col, text_col), text_col)
     terms = unnest(found, [id_col, "index"], words(F.col("sentence")), "__at", "term")
     counts = terms.groupBy(id_col, "index", "term").agg(F.count(F.lit(1)).alias("c"))
