@@ -15,7 +15,7 @@ from rivulet.session import local_session
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "2"))
 HEADLINE = (
     "filter if_route switch_route map split merge render_template partition_assign "
     "agg_sum agg_nested agg_window ledger_balance incr_ts_id keyset_page incr_per_group recent_n rowkey_range select_expand "

@@ -11,13 +11,26 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from rivulet.sinks.tables import VersionedTable
 
 
-def run_available(df: DataFrame, sink: Callable[[DataFrame, int], None] | str, checkpoint: str, mode: str = "append") -> None:
-    """Process everything available, then stop; a later call goes on from the checkpoint."""
+def run_available(df: DataFrame, sink: Callable[[DataFrame, int], None] | str, checkpoint: str, mode: str = "append",
+                  state_partitions: int | None = None) -> None:
+    """Process everything available, then stop; a later call goes on from the checkpoint.
+
+    The first run fixes how many partitions the query's state has, by default
+    one per core of the cluster.
+    """
+    spark = df.sparkSession
+    setting = "spark.sql.shuffle.partitions"
+    usual = spark.conf.get(setting)
     writer = df.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if isinstance(sink, str):
-        query = writer.outputMode("append").format("parquet").option("path", sink).start()
+        writer = writer.outputMode("append").format("parquet").option("path", sink)
     else:
-        query = writer.outputMode(mode).foreachBatch(sink).start()
+        writer = writer.outputMode(mode).foreachBatch(sink)
+    spark.conf.set(setting, state_partitions or spark.sparkContext.defaultParallelism)
+    try:
+        query = writer.start()  # takes a copy of the settings
+    finally:
+        spark.conf.set(setting, usual)
     query.awaitTermination()
 
 
