@@ -14,13 +14,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def spread(rows: DataFrame) -> DataFrame:
-    """A scan that arrives in fewer tasks than there are cores, dealt out to all of them.
+    """A scan that arrives in few tasks for the cores there are, dealt out to all of them.
 
-    A small file is one task however heavy the work on its rows. Large tables
-    scan in far more tasks than cores and stay as they are.
+    A row group is one task however heavy the work on its rows, and the other
+    splits of its file are empty. Large tables scan in far more tasks than
+    cores and stay as they are.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+    return rows if rows.rdd.getNumPartitions() >= 4 * cores else rows.repartition(cores)
 
 
 def documents(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
