@@ -26,8 +26,11 @@ def _digest(*parts: Column) -> Column:
 
 def masked(line: Column) -> Column:
     """The line with single spaces between tokens, and fields for those with digits."""
-    even = F.trim(F.regexp_replace(line, r"[\s\x0b]+", " "))
-    return F.when(even.rlike("[0-9]"), F.regexp_replace(even, r"[^ ]*[0-9][^ ]*", FIELD)).otherwise(even)
+    uneven = F.lit(False)
+    for mark in ("  ", "\t", "\r", "\f", "\x0b"):
+        uneven |= F.contains(line, F.lit(mark))
+    even = F.trim(F.when(uneven, F.regexp_replace(line, r"[ \t\r\f\x0b]+", " ")).otherwise(line))
+    return F.when(even.rlike("[0-9]"), F.regexp_replace(even, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", FIELD)).otherwise(even)
 
 
 def _leaf(line: Column, depth: int) -> Column:
@@ -37,9 +40,11 @@ def _leaf(line: Column, depth: int) -> Column:
 
 def _lines(docs: DataFrame, key: str, text: str, depth: int) -> DataFrame:
     """`rid` (of the document), `key`, `pos`, `line`, `h` (the line), `leaf`; lines without tokens are left out."""
-    cut = docs.select(
-        _digest(F.col(key), F.col(text)).alias("rid"), F.col(key).alias("key"),
-        F.posexplode(F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1), masked)).alias("pos", "line"),
+    # the digest comes first, or it would be computed for each line of the document; the outer form, because Spark
+    # would compute the lines twice to leave out empty arrays, of which there are none
+    named = docs.select(_digest(F.col(key), F.col(text)).alias("rid"), F.col(key).alias("key"), F.col(text).alias("text"))
+    cut = named.select(
+        "rid", "key", F.posexplode_outer(F.transform(F.split(F.coalesce("text", F.lit("")), "\n", -1), masked)).alias("pos", "line")
     ).where("line <> ''")
     return cut.select("*", _digest(F.col("line")).alias("h"), F.xxhash64(_leaf(F.col("line"), depth)).alias("leaf"))
 
@@ -95,7 +100,9 @@ def dedup_lines(
     count, = fresh(docs, dropped)
     lost = stored(duplicate_lines(docs, key, text, depth, constant)).select(F.col("rid").alias(rid + "_"), F.col("drop").alias(drop))
     joined = docs.withColumn(rid, _digest(F.col(key), F.col(text))).join(lost, F.col(rid) == F.col(rid + "_"), "left")
-    kept = F.array_join(F.filter(F.split(F.col(text), "\n", -1), lambda _, i: ~F.array_contains(drop, i)), "\n")
+    # the lines are bound by a transform of one, so that they are split once
+    kept = F.transform(F.array(F.split(F.col(text), "\n", -1)), lambda lines: F.array_join(
+        F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(drop)), lambda i: lines[i]), "\n"))[0]
     shorter = F.when(F.col(drop).isNull(), F.col(text)).otherwise(kept)
     columns = [shorter.alias(c) if c == text else F.col(c) for c in docs.columns]
     return joined.select(*columns, F.coalesce(F.size(drop), F.lit(0)).alias(count))
