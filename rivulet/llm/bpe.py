@@ -195,24 +195,24 @@ def encode(docs: DataFrame, content: str, text: str = "text", ids: str = "ids")
 
 
 def decode(docs: DataFrame, content: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """Add the text that the ids stand for: their vocabulary strings joined by spaces. Null ids give null."""
+    """Add the text that the ids stand for: their vocabulary strings joined by spaces. Null ids give null.
+
+    The other columns pass through; one named like the new column gives way.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(content)
-    if text.lower() in {c.lower() for c in docs.columns}:
-        raise ValueError(f"{text} must be a new column, the frame has {docs.columns}")
-    schema = T.StructType([*docs.schema.fields, T.StructField(text, T.StringType())])
+    kept = [i for i, c in enumerate(docs.columns) if c.lower() != text.lower()]
+    schema = T.StructType([*[docs.schema.fields[i] for i in kept], T.StructField(text, T.StringType())])
 
     def run(batches):
         vocabulary = _vocabulary(shared.value)
         for batch in batches:
             column = batch.column(ids)
             for begin, count in _runs(column):
-                part = column.slice(begin, count)
-                numbers, ends = part.flatten().to_numpy(zero_copy_only=False), np.cumsum(pc.fill_null(pc.list_value_length(part), 0).to_numpy())
-                made = [
-                    vocabulary.decode(numbers[end - n : end]) if valid else None
-                    for end, n, valid in zip(ends, pc.fill_null(pc.list_value_length(part), 0).to_numpy(), part.is_valid().to_pylist())
-                ]
-                yield pa.RecordBatch.from_arrays([*batch.slice(begin, count).columns, pa.array(made, pa.string())], names=schema.names)
+                part, rest = column.slice(begin, count), batch.slice(begin, count)
+                lengths = pc.fill_null(pc.list_value_length(part), 0).to_numpy()
+                numbers, ends = part.flatten().to_numpy(zero_copy_only=False), np.cumsum(lengths)
+                made = [vocabulary.decode(numbers[end - n : end]) if there else None for end, n, there in zip(ends, lengths, part.is_valid().to_pylist())]
+                yield pa.RecordBatch.from_arrays([*[rest.column(i) for i in kept], pa.array(made, pa.string())], names=schema.names)
 
     return docs.mapInArrow(run, schema)
 

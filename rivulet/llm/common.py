@@ -59,26 +59,22 @@ def adding(
     """The frame with columns that `fn` makes of one text column, a few megabytes of it at a time.
 
     `fn` gets the column's values (None for null) and returns one Arrow array
-    per field. The other columns pass through as they are.
+    per field. The other columns pass through as they are; one that has the
+    name of a new column gives way to it.
     """
-    if {f.name.lower() for f in fields} & {c.lower() for c in df.columns}:
-        raise ValueError(f"{[f.name for f in fields]} must be new columns, the frame has {df.columns}")
-    schema = T.StructType([*df.schema.fields, *fields])
+    new = {f.name.lower() for f in fields}
+    kept = [i for i, f in enumerate(df.schema.fields) if f.name.lower() not in new]
+    schema = T.StructType([*[df.schema.fields[i] for i in kept], *fields])
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, source, most):
                 made = fn(part.column(source).to_pylist())
-                yield pa.RecordBatch.from_arrays([*part.columns, *made], names=names)
+                yield pa.RecordBatch.from_arrays([*[part.column(i) for i in kept], *made], names=names)
 
     return df.mapInArrow(run, schema)
 
 
-def words_hash(*columns: str):
-    """A 64-bit hash of a whole row that no column order or null can confuse."""
-    return F.xxhash64(*[F.col(c) for c in columns])
-
-
 def parts(rows: int, most: int) -> int:
     return max(1, math.ceil(rows / most))

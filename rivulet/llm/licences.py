@@ -129,7 +129,8 @@ class Index:
 def licences(text: str | None, index: Index) -> list[tuple[str, float, int, int]]:
     """(licence, coefficient, first line, last line) of runs of lines, without overlaps, in order.
 
-    All runs of lines with a template's size are compared. Of overlapping
+    All runs of a template's size that begin and end in a line with a word of
+    some template are compared. Of overlapping
     finds the more similar one stays, then the longer, then the earlier one.
     """
     if not text:

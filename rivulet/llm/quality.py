@@ -29,6 +29,9 @@ ACCEPT = 0.5
 SCALE = 10.0
 SYMBOLS = "#*%&$|{}<>=~^\\_@+"
 
+UNSEEN = 2
+#: Letters of the votes -1, 0, 1 and UNSEEN in a combination.
+SIGNS = "-0+ "
 #: Labellers: measure, fewest words to vote on, good from and bad from. None: no vote on that side.
 LABELLERS = [
     ("repeats", 5, None, 0.25),
@@ -64,11 +67,11 @@ def measures(text: str | None) -> tuple[int, list[float]]:
 
 
 def votes(n: int, measured: list[float]) -> list[int]:
-    """1 for good, -1 for bad, 0 for no vote."""
+    """1 for good, -1 for bad, 0 for neither, UNSEEN if the text is too short for the labeller to look at."""
     found = []
     for value, (_, fewest, good, bad) in zip(measured, LABELLERS):
         if n < fewest:
-            found.append(0)
+            found.append(UNSEEN)
         elif good is None:
             found.append(-1 if value >= bad else 0)
         else:
@@ -77,21 +80,23 @@ def votes(n: int, measured: list[float]) -> list[int]:
 
 
 def fit_labellers(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[float, np.ndarray]:
-    """Share of good documents, and rates [vote (no, good, bad), labeller, class] of each vote, by EM.
+    """Share of good documents, and rates [vote (neither, good, bad), labeller, class] of each vote, by EM.
 
-    No vote counts as an outcome of its own, as most labellers know one kind
-    of bad document only. The start calls a document bad that has any bad
-    vote; each rate has one pseudo-vote. Without documents all rates are even.
+    Voting neither counts as an outcome of its own, as most labellers know one
+    kind of bad document only; what a labeller did not look at counts for
+    nothing. The start calls a document bad that has any bad vote; each rate
+    has one pseudo-vote. Without documents all rates are even.
     """
     if not counts.sum():
         return 0.5, np.full((3, len(LABELLERS), 2), 1 / 3)
     good = np.where((patterns < 0).any(axis=1), 0.1, 0.9)
-    outcomes = np.stack([patterns == 0, patterns > 0, patterns < 0]).astype(float)
+    outcomes = np.stack([patterns == 0, patterns == 1, patterns == -1]).astype(float)
     share = rates = None
     for _ in range(rounds):
         weight = np.stack([good, 1 - good], axis=1) * counts[:, None]
         share = (weight[:, 0].sum() + 1) / (counts.sum() + 2)
-        rates = (np.einsum("opl,pc->olc", outcomes, weight) + 1) / (weight.sum(axis=0) + 3)
+        cast = np.einsum("opl,pc->olc", outcomes, weight) + 1
+        rates = cast / cast.sum(axis=0)
         after = posterior(patterns, share, rates)
         if np.abs(after - good).max() < 1e-9:
             break
@@ -101,7 +106,9 @@ def fit_labellers(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -
 
 def posterior(patterns: np.ndarray, share: float, rates: np.ndarray) -> np.ndarray:
     """Probability of good for each row of votes."""
-    logs = np.log([share, 1 - share]) + np.log(rates[patterns, np.arange(patterns.shape[1])]).sum(axis=1)
+    seen = np.where(patterns == UNSEEN, 0, patterns)
+    each = np.log(rates[seen, np.arange(patterns.shape[1])]) * (patterns != UNSEEN)[:, :, None]
+    logs = np.log([share, 1 - share]) + each.sum(axis=1)
     return 1 / (1 + np.exp(np.clip(logs[:, 1] - logs[:, 0], -700, 700)))
 
 
@@ -137,13 +144,10 @@ def train(texts: list, targets: np.ndarray, rounds: int = 150, rate: float = 0.3
     found = [features(t) for t in texts]
     rows = np.repeat(np.arange(len(found)), [len(p) for p, _ in found])
     places, values = np.concatenate([p for p, _ in found]), np.concatenate([v for _, v in found])
-    # both classes weigh the same
-    mass = max(targets.sum(), 1e-9), max((1 - targets).sum(), 1e-9)
-    balance = len(texts) / 2 * (targets / mass[0] + (1 - targets) / mass[1])
     seen = np.full(FEATURES + 1, 1e-8)
     for _ in range(rounds):
         score = np.bincount(rows, weights[places] * values, minlength=len(texts)) + weights[-1]
-        error = (1 / (1 + np.exp(-score)) - targets) * balance / len(texts)
+        error = (1 / (1 + np.exp(-score)) - targets) / len(texts)
         step = np.append(np.bincount(places, error[rows] * values, minlength=FEATURES), error.sum())
         step[:-1] += shrink * weights[:-1]
         seen += step * step
@@ -169,17 +173,17 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int =
     The sample is the documents with the smallest hashes of key and text;
     rows that repeat both count once in it. It is the only part that one task
     holds. What reaches the driver are the counts of vote combinations (at
-    most 3 to the number of labellers) and the weights.
+    most 4 to the number of labellers) and the weights.
     """
     plain = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
 
     def vote(texts: list) -> list[pa.Array]:
-        return [pa.array(["".join("-0+"[v + 1] for v in votes(*measures(t))) for t in texts], pa.string())]
+        return [pa.array(["".join(SIGNS[v + 1] for v in votes(*measures(t))) for t in texts], pa.string())]
 
     voted = adding(plain, "text", [T.StructField("votes", T.StringType())], vote)
     counted = stored(voted.select(_row(F.col("key"), F.col("text")).alias("row"), "votes"))
     found = counted.groupBy("votes").count().collect()
-    patterns = np.array([["-0+".index(c) - 1 for c in r["votes"]] for r in found], dtype=np.int64).reshape(-1, len(LABELLERS))
+    patterns = np.array([[SIGNS.index(c) - 1 for c in r["votes"]] for r in found], dtype=np.int64).reshape(-1, len(LABELLERS))
     share, rates = fit_labellers(patterns, np.array([r["count"] for r in found], dtype=np.float64))
     last = counted.select("row").distinct().orderBy("row").limit(sample).agg(F.max("row")).first()[0]
     if last is None:
