@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from rivulet.records import as_number, is_typed, number_at, parsed, payload_size, text_at
 
@@ -92,14 +92,19 @@ def aggregate(df: DataFrame, op: str = "count", field: str | None = None, group_
 def balances(transfers: DataFrame, accounts: DataFrame | None = None) -> DataFrame:
     """Posted debits and credits per account.
 
-    Transfers need an id, both accounts and an amount; ledger and code default
-    to 1. Ids stay text, amounts are exact decimals.
+    Transfers need an id, both accounts and an unsigned whole amount; the others
+    are left to `invalid_transfers`. An id posts once: of several transfers with
+    one id the least by accounts, amount and ledger counts. Ledger and code
+    default to 1. Ids stay text, amounts are exact decimals.
     """
-    complete = transfers.where(
-        "id IS NOT NULL AND debit_account_id IS NOT NULL AND credit_account_id IS NOT NULL AND amount IS NOT NULL"
-    )
     ledger = F.coalesce(F.col("ledger"), F.lit(1)) if "ledger" in transfers.columns else F.lit(1)
-    amount = F.col("amount").try_cast("decimal(38,0)")
+    fields = F.struct(
+        F.col("debit_account_id").cast("string").alias("debit_account_id"), F.col("credit_account_id").cast("string").alias("credit_account_id"),
+        F.col("amount").try_cast("decimal(38,0)").alias("amount"), ledger.cast("int").alias("ledger"),
+    )
+    sound = transfers.withColumn("__reason", _rejection(transfers)).where("__reason = ''")
+    complete = sound.groupBy(F.col("id").cast("string").alias("id")).agg(F.min(fields).alias("t")).select("id", "t.*")
+    ledger, amount = F.col("ledger"), F.col("amount")
     none = F.lit(0).cast("decimal(38,0)")
     legs = F.array(
         F.struct(F.col("debit_account_id").cast("string").alias("account"), amount.alias("debit"), none.alias("credit")),
@@ -126,13 +131,24 @@ def balances(transfers: DataFrame, accounts: DataFrame | None = None) -> DataFra
     )
 
 
+def _rejection(transfers: DataFrame) -> Column:
+    """Why a transfer cannot post; empty if it can."""
+    amount = F.col("amount")
+    if isinstance(transfers.schema["amount"].dataType, T.NumericType):
+        negative, whole = amount < 0, amount == F.floor(amount)
+    else:
+        negative, whole = F.trim(amount).startswith("-"), F.trim(amount).rlike("^[+]?[0-9]+$")
+    missing = [F.when(F.col(name).isNull(), F.lit(f"{name} missing")) for name in ("id", "debit_account_id", "credit_account_id", "amount")]
+    wrong = (
+        F.when(amount.isNull(), None).when(negative, F.lit("amount negative")).when(~whole, F.lit("amount not whole"))
+        .when(amount.try_cast("decimal(38,0)").isNull(), F.lit("amount out of range"))
+    )
+    return F.concat_ws(",", *missing, wrong)
+
+
 def invalid_transfers(transfers: DataFrame) -> DataFrame:
-    """Transfers the ledger rejects, with the reason."""
-    problems = {name: F.col(name).isNull() for name in ("id", "debit_account_id", "credit_account_id", "amount")}
-    reason = F.concat_ws(",", *[F.when(bad, F.lit(f"{name} missing")) for name, bad in problems.items()],
-                         F.when(F.col("amount").isNotNull() & F.col("amount").try_cast("decimal(38,0)").isNull(),
-                                F.lit("amount out of range")))
-    return transfers.withColumn("reason", reason).where("reason <> ''")
+    """Transfers the ledger rejects, with every reason."""
+    return transfers.withColumn("reason", _rejection(transfers)).where("reason <> ''")
 
 
 def replication_metrics(df: DataFrame) -> DataFrame:

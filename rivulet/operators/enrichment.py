@@ -6,9 +6,10 @@ import json
 import time
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from rivulet.functions.rows import arrow_batch, arrow_schema, python_rows
 from rivulet.records import as_text, parsed, text_at
 
 Enrich = Callable[[list[str]], Sequence[dict]]
@@ -60,11 +61,13 @@ def enrich(df: DataFrame, make: Callable[[], Enrich], text_path: str | None = No
         payload["_metadata"] = {c: record[c] for c in ("topic", "partition", "offset") if c in record} | {"mode": mode}
         return json.dumps(payload, ensure_ascii=False, separators=(",", ":"), default=int)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    kinds = arrow_schema(result)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
         for batch in batches:
             rows = []
-            records = batch.to_dict("records")
+            records = python_rows(batch)
             for i in range(0, len(records), batch_size):
                 part = records[i : i + batch_size]
                 try:
@@ -82,6 +85,6 @@ def enrich(df: DataFrame, make: Callable[[], Enrich], text_path: str | None = No
                     record["value"] = value.encode() if isinstance(kind, T.BinaryType) else value
                     record["error"] = error
                     rows.append(record)
-            yield pd.DataFrame(rows, columns=result.names, dtype=object)
+            yield arrow_batch(rows, kinds)
 
-    return staged.mapInPandas(run, result)
+    return staged.mapInArrow(run, result)

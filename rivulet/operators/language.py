@@ -185,7 +185,7 @@ def weighted(tf: DataFrame, documents: int) -> DataFrame:
 def key_phrases(df: DataFrame, n: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The `n` terms of each document with the highest TF-IDF, ties by term, with their first offset."""
     tf = settle(term_frequencies(df, id_col, text_col))  # read twice, costly to make
-    weighed = weighted(tf, df.count()).withColumn("score", F.round("weight", 6))
+    weighed = weighted(tf, df.count()).withColumn("score", F.round("weight", 12))
     best = top_per_group(weighed, [id_col], [F.desc("score"), F.asc("term")], n)
     return best.select(id_col, F.col("term").alias("phrase"), "score", "rank", "offset")
 
@@ -198,7 +198,7 @@ def summarize(df: DataFrame, n: int = 3, id_col: str = "doc_id", text_col: str =
     terms = unnest(found, [id_col, "index"], words(F.col("sentence")), "__at", "term")
     counts = terms.groupBy(id_col, "index", "term").agg(F.count(F.lit(1)).alias("c"))
     scored = counts.join(weights, [id_col, "term"], "left").groupBy(id_col, "index").agg(
-        F.round(F.sum(F.col("c") * F.coalesce("w", F.lit(0.0))) / F.sum("c"), 6).alias("score"))
+        F.round(F.sum(F.col("c") * F.coalesce("w", F.lit(0.0))) / F.sum("c"), 12).alias("score"))
     best = top_per_group(scored, [id_col], [F.desc("score"), F.asc("index")], n)
     return found.join(best, [id_col, "index"]).select(id_col, "index", "sentence", "score", "rank", "begin", "end")
 

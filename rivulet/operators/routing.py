@@ -5,9 +5,9 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from rivulet.functions.rows import arrow_batch, arrow_schema, python_rows
 from rivulet.records import as_text, field, json_path, kind_of, node_at, parsed, text_at, unnest
 
 
@@ -36,12 +36,16 @@ def if_route(df: DataFrame, condition: str | Column, true_topic: str, false_topi
     records are left out, or kept with a null topic when `errors` is set.
     """
     test = _expression(condition)
-    topic = F.when(test, F.lit(true_topic)).when(~test, F.lit(false_topic or None))
-    routed = _with_json(df).withColumns({"__undecided": test.isNull(), "topic": topic}).drop("json")
-    keep = F.col("topic").isNotNull()
-    if errors:
-        keep = keep | F.col("__undecided")
-    return routed.where(keep).drop("__undecided")
+    # the verdict is an array of one, which Spark does not fold into its readers: the payload is parsed once
+    judged = _with_json(df).withColumn("__verdict", F.array(test)).drop("json")
+    verdict = F.col("__verdict")[0]
+    keep = F.lit(True)
+    if not errors:
+        keep = verdict.isNotNull() if false_topic else F.coalesce(verdict, F.lit(False))
+    elif not false_topic:
+        keep = F.coalesce(verdict, F.lit(True))
+    topic = F.when(verdict, F.lit(true_topic)).when(~verdict, F.lit(false_topic or None))
+    return judged.where(keep).withColumn("topic", topic).drop("__verdict")
 
 
 def switch_route(df: DataFrame, path: str, cases: Mapping[str, str] | str, default: str | None = None) -> DataFrame:
@@ -123,15 +127,16 @@ def merge(frames: Mapping[str, DataFrame] | Sequence[DataFrame], topic: str | No
 
 def flat_map(df: DataFrame, fn: Callable[[dict], Iterator[dict]], schema: str | T.StructType) -> DataFrame:
     """Zero or more output rows per record from a Python function over a record's dict."""
-    names = T.StructType.fromDDL(schema).names if isinstance(schema, str) else schema.names
+    result = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    kinds = arrow_schema(result)
 
     def run(batches):
         for batch in batches:
-            rows = [out for record in batch.to_dict("records") for out in fn(record)]
+            rows = [out for record in python_rows(batch) for out in fn(record)]
             if rows:
-                yield pd.DataFrame(rows, columns=names, dtype=object)
+                yield arrow_batch(rows, kinds)
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, result)
 
 
 def guarded(df: DataFrame, fn: Callable[[dict], Iterator[dict]], schema: str | T.StructType,
@@ -150,12 +155,12 @@ def guarded(df: DataFrame, fn: Callable[[dict], Iterator[dict]], schema: str | T
         originals = [T.StructField(f"original_{f.name}", f.dataType) for f in df.schema if f.name in carry]
         errors = [T.StructField("error", T.StringType()), T.StructField("error_type", T.StringType())]
         result = T.StructType([*out.fields, *originals, *errors])
-    names = result.names
+    kinds = arrow_schema(result)
 
     def run(batches):
         for batch in batches:
             rows = []
-            for record in batch.to_dict("records"):
+            for record in python_rows(batch):
                 try:
                     made = list(fn(record))
                 except Exception as problem:
@@ -167,9 +172,9 @@ def guarded(df: DataFrame, fn: Callable[[dict], Iterator[dict]], schema: str | T
                                  "error": str(problem), "error_type": type(problem).__name__}]
                 rows.extend(made)
             if rows:
-                yield pd.DataFrame(rows, columns=names, dtype=object)
+                yield arrow_batch(rows, kinds)
 
-    return df.mapInPandas(run, result)
+    return df.mapInArrow(run, result)
 
 
 def dead_letters(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:

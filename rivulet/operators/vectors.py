@@ -77,6 +77,10 @@ def _unit(matrix: np.ndarray) -> np.ndarray:
     return matrix / np.where(norms == 0, 1.0, norms)
 
 
+#: Scores that agree to these decimals tie: what is beyond is rounding that depends on how rows are batched.
+DIGITS = {"cosine": 12, "dot": 12, "euclid": 9}
+
+
 def _scores(queries: np.ndarray, vectors: np.ndarray, metric: str) -> np.ndarray:
     if metric == "euclid":
         gaps = (queries * queries).sum(1)[:, None] - 2 * queries @ vectors.T + (vectors * vectors).sum(1)[None, :]
@@ -107,7 +111,7 @@ class _Best:
             block = np.array([vectors[i] for i in at], dtype=np.float64).reshape(len(at), size)
             for dim, (rows, queries) in self.by_size.items():
                 if dim == size:
-                    scores = np.round(_scores(queries, block, self.metric), 6)
+                    scores = np.round(_scores(queries, block, self.metric), DIGITS[self.metric])
                 elif self.metric == "cosine":
                     scores = np.zeros((len(rows), len(at)))  # another dimension has no similarity
                 else:
@@ -148,8 +152,7 @@ def topk(vectors: DataFrame, queries: DataFrame, k: int = 5, min_similarity: flo
 
     Entries of another dimension score 0 under `cosine`. Each task keeps only
     its k best rows per query, so at most k rows per query and task are
-    exchanged. Queries are sent along while they are provably small, else both
-    sides meet in blocks of bounded size.
+    exchanged. Blocks of queries meet slices of entries, both of bounded size.
     """
     if metric not in ("cosine", "dot", "euclid"):
         raise ValueError(f"unknown metric {metric!r}")
@@ -162,26 +165,14 @@ def topk(vectors: DataFrame, queries: DataFrame, k: int = 5, min_similarity: flo
 
     if k <= 0:
         return entries_.sparkSession.createDataFrame([], schema + ", rank int")
-    if size.numbers <= query_numbers:
-        rows = asked.collect()
-        names, given = [r.query_id for r in rows], [np.asarray(r.q, dtype=np.float64) for r in rows]
-
-        def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            best = _Best(names, given, k, min_similarity, metric)
-            for batch in batches:
-                best.add(batch["id"].to_numpy(), batch["v"].to_list())
-            yield best.rows()
-
-        found = entries_.mapInPandas(local, schema)
-    else:
-        found = _blocked(entries_, asked, size, k, min_similarity, metric, schema, query_numbers)
+    found = _blocked(entries_, asked, size, k, min_similarity, metric, schema, query_numbers)
     order = F.asc("score") if metric == "euclid" else F.desc("score")
     return top_per_group(found, ["query_id"], [order, F.asc("id")], k)
 
 
 def _blocked(entries_: DataFrame, asked: DataFrame, size, k: int, least: float, metric: str, schema: str, query_numbers: int) -> DataFrame:
-    """Local best rows where neither side fits a task: blocks of queries meet slices of entries."""
-    blocks = -(-size.numbers // query_numbers)
+    """Best rows of each slice of entries for each block of queries."""
+    blocks = max(1, -(-size.numbers // query_numbers))
     slices = max(1, -(-entries_.count() // ROWS_PER_SLICE))
     left = entries_.withColumn("slice", F.pmod(F.xxhash64("id"), F.lit(slices))).withColumn(
         "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))

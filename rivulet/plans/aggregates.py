@@ -94,6 +94,20 @@ def ledger_balance(spark, sf):
     return out.withColumns({c: F.col(c).cast("long") for c in ("debits_posted", "credits_posted")})
 
 
+@query("ledger_rejects", """WITH t AS (
+  SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey AS id, l_suppkey AS account,
+         l_quantity - 25 + CASE WHEN l_linenumber = 2 THEN 0.5 ELSE 0 END AS amount FROM lineitem)
+SELECT id, CASE WHEN amount < 0 THEN 'amount negative' ELSE 'amount not whole' END AS reason
+FROM t WHERE amount < 0 OR amount <> floor(amount)""")
+def ledger_rejects(spark, sf):
+    transfers = table(spark, sf, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey").alias("id"),
+        F.col("l_suppkey").alias("debit_account_id"), F.col("l_partkey").alias("credit_account_id"),
+        (F.col("l_quantity") - 25 + F.when(F.col("l_linenumber") == 2, 0.5).otherwise(0.0)).alias("amount"),
+    )
+    return A.invalid_transfers(transfers).select("id", "reason")
+
+
 @query("replication_metrics", f"""WITH {RECORDS}
 SELECT topic, "partition", count(*) AS records, CAST(sum(strlen(key) + strlen(value)) AS BIGINT) AS bytes,
        max("offset") AS last_offset FROM records GROUP BY topic, "partition\"""")

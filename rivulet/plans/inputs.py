@@ -13,15 +13,19 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: Scans of this many tasks or more are never dealt out, however many cores there are.
+FEW = 64
+
+
 def spread(rows: DataFrame) -> DataFrame:
-    """A scan that arrives in few tasks for the cores there are, dealt out to all of them.
+    """A text table that arrives in a handful of tasks, dealt out to all cores.
 
     A row group is one task however heavy the work on its rows, and the other
-    splits of its file are empty. Large tables scan in far more tasks than
-    cores and stay as they are.
+    splits of its file are empty. Only work on whole texts is worth this; an
+    exchange moves fewer than `FEW` splits at most.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= 4 * cores else rows.repartition(cores)
+    return rows if rows.rdd.getNumPartitions() >= min(cores, FEW) else rows.repartition(cores)
 
 
 def documents(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
@@ -31,7 +35,7 @@ def documents(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
 
 def records(spark: SparkSession, folder: str) -> DataFrame:
     """`events` as records: the row as a JSON payload, keyed by user."""
-    events = spread(table(spark, folder, "events"))
+    events = table(spark, folder, "events")
     payload = F.concat(
         F.lit('{"event_id":'), F.col("event_id"),
         F.lit(',"user":{"id":'), F.col("user_id"), F.lit(',"name":"u'), F.col("user_id"),

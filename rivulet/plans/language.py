@@ -101,27 +101,27 @@ _TF = f"""{_WORDS}, tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_
 idf AS (SELECT term, ln((SELECT count(*) FROM documents) / count(*)) AS idf FROM tf GROUP BY term)"""
 
 
-@query("key_phrases", f"""WITH {_TF}, s AS (SELECT doc_id, term, round(tf * idf, 6) AS score FROM tf JOIN idf USING (term)),
+@query("key_phrases", f"""WITH {_TF}, s AS (SELECT doc_id, term, round(tf * idf, 12) AS score FROM tf JOIN idf USING (term)),
 m AS (SELECT doc_id, regexp_extract_all(lower(text), '\\p{{L}}+') AS found, regexp_split_to_array(lower(text), '\\p{{L}}+') AS gaps FROM documents),
 u AS (SELECT doc_id, unnest(found) AS term, unnest(gaps[:len(found)]) AS gap, generate_subscripts(found, 1) AS i FROM m),
 firsts AS (SELECT doc_id, term, min(stop - length(term)) AS first FROM (
   SELECT doc_id, term, sum(length(term) + length(gap)) OVER (PARTITION BY doc_id ORDER BY i) AS stop FROM u) GROUP BY ALL)
-SELECT s.doc_id, term AS phrase, score, CAST(row_number() OVER (PARTITION BY s.doc_id ORDER BY score DESC, term) AS INTEGER) AS rank,
+SELECT s.doc_id, term AS phrase, round(score, 6) AS score, CAST(row_number() OVER (PARTITION BY s.doc_id ORDER BY score DESC, term) AS INTEGER) AS rank,
   CAST(first AS INTEGER) AS "offset" FROM s JOIN firsts USING (doc_id, term)
 QUALIFY row_number() OVER (PARTITION BY s.doc_id ORDER BY score DESC, term) <= 5""")
 def key_phrases(spark, sf):
-    return L.key_phrases(_docs(spark, sf))
+    return L.key_phrases(_docs(spark, sf)).withColumn("score", F.round("score", 6))
 
 
 @query("summary_extract", f"""WITH {_TF}, m AS (SELECT doc_id, list_filter(list_transform(regexp_extract_all(text, '[^.!?]*[.!?]|[^.!?]+'),
   lambda x: regexp_replace(x, '^[{_WS}]+|[{_WS}]+$', '', 'g')), lambda x: x <> '') AS m FROM documents),
 u AS (SELECT doc_id, unnest(m) AS sentence, generate_subscripts(m, 1) - 1 AS i FROM m),
 t AS (SELECT doc_id, i, unnest(list_filter(regexp_split_to_array(lower(sentence), '[^\\p{{L}}]+'), lambda x: x <> '')) AS term FROM u),
-s AS (SELECT t.doc_id, i, round(sum(coalesce(tf * idf, 0)) / count(*), 6) AS score FROM t LEFT JOIN tf USING (doc_id, term) LEFT JOIN idf USING (term) GROUP BY ALL),
+s AS (SELECT t.doc_id, i, round(sum(coalesce(tf * idf, 0)) / count(*), 12) AS score FROM t LEFT JOIN tf USING (doc_id, term) LEFT JOIN idf USING (term) GROUP BY ALL),
 b AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, i) AS rank FROM s)
-SELECT doc_id, CAST(i AS INTEGER) AS index, sentence, score, CAST(rank AS INTEGER) AS rank FROM b JOIN u USING (doc_id, i) WHERE rank <= 3""")
+SELECT doc_id, CAST(i AS INTEGER) AS index, sentence, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM b JOIN u USING (doc_id, i) WHERE rank <= 3""")
 def summary_extract(spark, sf):
-    return L.summarize(_docs(spark, sf)).select("doc_id", "index", "sentence", "score", "rank")
+    return L.summarize(_docs(spark, sf)).select("doc_id", "index", "sentence", F.round("score", 6).alias("score"), "rank")
 
 
 @query("moderation", f"""WITH {_WORDS}, c AS (SELECT doc_id, len(list_filter(words, lambda x: x IN ({_list(L.RULES['harassment'][0])}))) / greatest(len(words), 1) AS h,

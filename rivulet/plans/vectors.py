@@ -46,25 +46,25 @@ v AS (SELECT vec_id AS id, embedding::DOUBLE[] AS e FROM embeddings)"""
 
 
 def _topk_sql(score, keep, order, k):
-    return f"""WITH {_CENTRES}, s AS (SELECT query_id, id, round({score}, 6) AS score FROM queries, v)
-SELECT query_id, id, score, CAST(rank AS INTEGER) AS rank FROM (
+    return f"""WITH {_CENTRES}, s AS (SELECT query_id, id, round({score}, 12) AS score FROM queries, v)
+SELECT query_id, id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score {order}, id) AS rank FROM s WHERE {keep}) WHERE rank <= {k}"""
 
 
 @query("vector_topk", _topk_sql("list_cosine_similarity(q, e)", "score >= 0.1", "DESC", 20))
 def vector_topk(spark, sf):
     vectors = table(spark, sf, "embeddings").withColumnRenamed("vec_id", "id")
-    return V.topk(vectors, _centres(spark, sf), k=20, min_similarity=0.1)
+    return V.topk(vectors, _centres(spark, sf), k=20, min_similarity=0.1).withColumn("score", F.round("score", 6))
 
 
 @query("vector_metrics", f"""WITH {_CENTRES},
-s AS (SELECT query_id, id, round(list_dot_product(q, e), 6) AS dot, round(list_distance(q, e), 6) AS euclid FROM queries, v),
+s AS (SELECT query_id, id, round(list_dot_product(q, e), 12) AS dot, round(list_distance(q, e), 9) AS euclid FROM queries, v),
 d AS (SELECT 'dot' AS metric, query_id, id, dot AS score, row_number() OVER (PARTITION BY query_id ORDER BY dot DESC, id) AS rank FROM s WHERE dot >= 0),
 e AS (SELECT 'euclid' AS metric, query_id, id, euclid AS score, row_number() OVER (PARTITION BY query_id ORDER BY euclid, id) AS rank FROM s)
-SELECT metric, query_id, id, score, CAST(rank AS INTEGER) AS rank FROM (SELECT * FROM d UNION ALL SELECT * FROM e) WHERE rank <= 10""")
+SELECT metric, query_id, id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM (SELECT * FROM d UNION ALL SELECT * FROM e) WHERE rank <= 10""")
 def vector_metrics(spark, sf):
     vectors, queries = table(spark, sf, "embeddings").withColumnRenamed("vec_id", "id"), _centres(spark, sf)
-    found = [V.topk(vectors, queries, k=10, metric=m).withColumn("metric", F.lit(m)) for m in ("dot", "euclid")]
+    found = [V.topk(vectors, queries, k=10, metric=m).withColumn("metric", F.lit(m)).withColumn("score", F.round("score", 6)) for m in ("dot", "euclid")]
     return found[0].unionByName(found[1])
 
 

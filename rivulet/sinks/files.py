@@ -65,7 +65,10 @@ def write_json(df: DataFrame, path: str, lines: bool = True, mode: str = "append
         yield pd.DataFrame({"value": ["]" if sep == "," else "[]"]})
 
     rows = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
-    rows.mapInPandas(bracketed, "value string").write.mode(mode).text(path)
+    made = rows.mapInPandas(bracketed, "value string")
+    if rows.isEmpty():  # a frame without partitions would write a file without an array
+        made = df.sparkSession.createDataFrame([("[]",)], "value string").coalesce(1)
+    made.write.mode(mode).text(path)
 
 
 def write_text(df: DataFrame, path: str, value: str = "value", mode: str = "append") -> None:

@@ -16,10 +16,11 @@ class VersionedTable:
     """A table whose every change is a new folder; a row in the version log makes it current.
 
     Readers see the last logged version, a failed write is never logged, and a
-    batch that was logged is not applied again.
+    batch that its writer (a stream's query) has logged is not applied again.
+    Two writers may not make the same version: the second one fails.
     """
 
-    _LOG = "version long, batch long, folder string"
+    _LOG = "version long, writer string, batch long, folder string"
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
@@ -38,28 +39,29 @@ class VersionedTable:
         last = self._last()
         return None if last is None else self.spark.read.parquet(f"{self.path}/{last.folder}")
 
-    def commit(self, df: DataFrame, batch: int | None = None) -> int:
+    def commit(self, df: DataFrame, batch: int | None = None, writer: str = "", after: int | None = None) -> int:
         last = self._last()
         version = 1 if last is None else last.version + 1
+        if after is not None and version != after + 1:
+            raise RuntimeError(f"version {version - 1} was written meanwhile, the change was made on version {after}")
         folder = f"v{version}-{uuid.uuid4().hex[:8]}"
         df.write.parquet(f"{self.path}/{folder}")
-        row = [(version, batch, folder)]
+        row = [(version, writer, batch, folder)]
         self.spark.createDataFrame(row, self._LOG).coalesce(1).write.mode("append").json(f"{self.path}/_versions")
         return version
 
-    def applied(self, batch: int) -> bool:
+    def applied(self, batch: int, writer: str = "") -> bool:
         log = self._log()
-        return log is not None and log.where(F.col("batch") == batch).limit(1).count() > 0
+        return log is not None and log.where((F.col("batch") == batch) & (F.col("writer") == writer)).limit(1).count() > 0
 
     def apply(self, updates: DataFrame, mode: str, pk: Sequence[str], order: Sequence[str], schema: T.StructType,
-              batch: int | None = None) -> None:
-        """Run a write mode against the current version; a batch already applied is skipped."""
-        if batch is not None and self.applied(batch):
+              batch: int | None = None, writer: str = "") -> None:
+        """Run a write mode against the current version; a batch that this writer has applied is skipped."""
+        if batch is not None and self.applied(batch, writer):
             return
-        current = self.read()
-        if current is None:
-            current = self.spark.createDataFrame([], schema)
-        self.commit(write_mode(current, updates, mode, pk, order), batch)
+        last = self._last()
+        current = self.spark.createDataFrame([], schema) if last is None else self.spark.read.parquet(f"{self.path}/{last.folder}")
+        self.commit(write_mode(current, updates, mode, pk, order), batch, writer, 0 if last is None else last.version)
 
 
 def load(df: DataFrame, path: str, disposition: str = "append") -> None:

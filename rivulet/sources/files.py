@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from rivulet.functions.text import trimmed
 from rivulet.operators.routing import split
 from rivulet.records import kind_of, node_at, parsed, unnest
 
@@ -35,22 +37,40 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], delimiter: str = "
              key_field: str | None = None) -> DataFrame:
     """Delimited files as text columns, with `source_file`; without a header the columns are `field_0`, `field_1`, ...
 
-    Blank lines are dropped. Values with line breaks need whole-file parsing; turn
+    Each file's own header names its columns; files are read per header and
+    joined by column name, with null where a file lacks a column. Blank lines
+    are dropped. Values with line breaks need whole-file parsing; turn
     `quoted_newlines` off to let Spark split large files.
     """
     found = existing(spark, paths)
     if not found:
         return spark.createDataFrame([], T.StructType([T.StructField("source_file", T.StringType())]))
-    reader = spark.read.options(
+    options = dict(
         sep=delimiter, header=header, encoding=encoding, multiLine=quoted_newlines, quote='"', escape='"',
         ignoreLeadingWhiteSpace=trim, ignoreTrailingWhiteSpace=trim, inferSchema=False)
-    rows = reader.csv(found)
-    names = {c: f"field_{i}" for i, c in enumerate(rows.columns)} if not header else {}
-    columns = [F.col(f"`{c}`").alias(names.get(c, c)) for c in rows.columns]
-    out = rows.select(*columns, F.col("_metadata.file_path").alias("source_file"))
+    out = None
+    for group in _by_header(spark, found, encoding) if header else [found]:
+        rows = spark.read.options(**options).csv(group)
+        names = {c: f"field_{i}" for i, c in enumerate(rows.columns)} if not header else {}
+        columns = [F.col(f"`{c}`").alias(names.get(c, c)) for c in rows.columns]
+        rows = rows.select(*columns, F.col("_metadata.file_path").alias("source_file"))
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
     return out.withColumn("key", F.col(key_field)) if key_field else out
 
 
+def _by_header(spark: SparkSession, paths: list[str], encoding: str) -> list[list[str]]:
+    """The files in groups of equal first lines. One file needs no look; of more, only first blocks are searched."""
+    lines = spark.read.option("encoding", encoding).text(paths)
+    files = lines.inputFiles()
+    if len(files) <= 1:
+        return [paths]
+    first = lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+                         F.monotonically_increasing_id().alias("at"))
+    heads = first.where("start = 0 AND trim(value) <> ''").groupBy("file").agg(F.min_by("value", "at").alias("head"))
+    groups = heads.groupBy("head").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy(F.col("files")[0])
+    return [[unquote(f) for f in row["files"]] for row in groups.collect()] or [paths]  # file names, which the driver lists anyway
+
+
 def read_parquet(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Columnar files with `source_file` and `row_index`, the row's place in its file."""
     rows = spark.read.parquet(*listed(paths))
@@ -65,7 +85,7 @@ def read_json_objects(spark: SparkSession, path: str) -> DataFrame:
 
 def read_jsonl(spark: SparkSession, path: str) -> DataFrame:
     """One row per non-empty line, trimmed, keyed by its file."""
-    lines = spark.read.text(path).select(F.trim("value").alias("value"), F.col("_metadata.file_path").alias("key"))
+    lines = spark.read.text(path).select(trimmed(F.col("value")).alias("value"), F.col("_metadata.file_path").alias("key"))
     return lines.where("value <> ''")
 
 

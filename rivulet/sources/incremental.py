@@ -7,11 +7,12 @@ aggregate over the rows it returned and is stored only after they are written.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from rivulet.operators.ordered import top_per_group
 
@@ -51,7 +52,7 @@ def incremental(df: DataFrame, mode: str = "timestamp+incrementing", *, id_col:
     elif mode == "inclusive":
         order, test = [ts_col, id_col], None if last is None else F.col(ts_col) >= F.lit(last)
         if seen is not None:
-            df = df.join(seen.select(id_col), id_col, "left_anti")
+            df = df.join(seen.select(id_col, F.lit(last).cast(df.schema[ts_col].dataType).alias(ts_col)).distinct(), [id_col, ts_col], "left_anti")
     elif mode == "keyset":
         order, test = list(cols), None if last is None else after(cols, last)
     else:
@@ -142,28 +143,43 @@ _COMPARE = {
 }
 
 
+_INTEGER = re.compile(r"[+-]?[0-9]+")
+_NUMBER = re.compile(r"[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?")
+
+
 def literal(text: str) -> Any:
     """A filter value: integer, else double, else boolean, else text."""
-    for read in (int, float):
-        try:
-            return read(text)
-        except ValueError:
-            pass
+    if _INTEGER.fullmatch(text):
+        return int(text)
+    if _NUMBER.fullmatch(text):
+        return float(text)
     return {"true": True, "false": False}.get(text.lower(), text)
 
 
-def predicate(text: str) -> Column | None:
-    """`field:op:value` as a filter; anything else filters nothing."""
+def predicate(text: str, schema: T.StructType) -> Column | None:
+    """`field:op:value` as a filter; anything else filters nothing.
+
+    A value of another kind than the column matches nothing: a number only
+    compares with numbers, text only with text, dates and times.
+    """
     parts = text.split(":", 2)
     if len(parts) < 3 or parts[1].strip().lower() not in _COMPARE:
         return None
-    return _COMPARE[parts[1].strip().lower()](F.col(parts[0].strip()), F.lit(literal(parts[2].strip())))
+    name, value = parts[0].strip(), literal(parts[2].strip())
+    kind = next((f.dataType for f in schema.fields if f.name == name), None)  # nested fields compare as they are
+    number, truth = isinstance(value, (int, float)) and not isinstance(value, bool), isinstance(value, bool)
+    if isinstance(kind, T.NumericType) != number and kind is not None or isinstance(kind, T.BooleanType) != truth and kind is not None:
+        return F.lit(False)
+    given = F.lit(value)
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        given = given.try_cast(kind)
+    return _COMPARE[parts[1].strip().lower()](F.col(name), given)
 
 
 def query(df: DataFrame, where: str | None = None, order_by: str | None = None, descending: bool = False,
           limit: int | None = None) -> DataFrame:
     """A collection query of one predicate, one order and a limit."""
-    test = predicate(where) if where else None
+    test = predicate(where, df.schema) if where else None
     rows = df if test is None else df.where(test)
     if order_by:
         rows = rows.orderBy(F.desc(order_by) if descending else F.asc(order_by))

@@ -36,11 +36,15 @@ def run_available(df: DataFrame, sink: Callable[[DataFrame, int], None] | str, c
 
 def apply_stream(df: DataFrame, table: str, mode: str, pk: Sequence[str], order: Sequence[str], schema: T.StructType,
                  checkpoint: str) -> None:
-    """Keep a versioned table up to date from a stream; replayed batches are recognised."""
+    """Keep a versioned table up to date from a stream; replayed batches are recognised.
+
+    The query's id, which its checkpoint keeps, tells its batches from those of other queries.
+    """
     spark = df.sparkSession
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        VersionedTable(spark, table).apply(batch, mode, pk, order, schema, batch_id)
+        writer = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or checkpoint
+        VersionedTable(spark, table).apply(batch, mode, pk, order, schema, batch_id, writer)
 
     run_available(df, write, checkpoint)
 
