@@ -73,9 +73,12 @@ def agg_merge(spark, sf):
     return _rounded(A.finish(A.merge_partials(*parts), "avg"))
 
 
-@query("ledger_balance", """WITH legs AS (
-  SELECT l_suppkey AS account, CAST(round(l_extendedprice * 100) AS BIGINT) AS debit, 0 AS credit FROM lineitem
-  UNION ALL SELECT 1000000 + l_partkey, 0, CAST(round(l_extendedprice * 100) AS BIGINT) FROM lineitem),
+@query("ledger_balance", """WITH given AS (
+  SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey AS id, CAST(l_suppkey AS VARCHAR) AS debtor,
+         CAST(1000000 + l_partkey AS VARCHAR) AS creditor, CAST(round(l_extendedprice * 100) AS BIGINT) AS amount FROM lineitem),
+once AS (SELECT * FROM given QUALIFY row_number() OVER (PARTITION BY id ORDER BY debtor, creditor, amount) = 1),
+legs AS (SELECT CAST(debtor AS BIGINT) AS account, amount AS debit, 0 AS credit FROM once
+  UNION ALL SELECT CAST(creditor AS BIGINT), 0, amount FROM once),
 accounts AS (SELECT s_suppkey AS account FROM supplier UNION ALL SELECT 1000000 + p_partkey FROM part),
 sums AS (SELECT account, sum(debit) AS d, sum(credit) AS c, count(*) AS legs FROM legs GROUP BY account)
 SELECT CAST(a.account AS VARCHAR) AS account, 1 AS ledger, 1 AS code, CAST(coalesce(d, 0) AS BIGINT) AS debits_posted,
