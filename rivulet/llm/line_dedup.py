@@ -17,6 +17,8 @@ from rivulet.llm.common import fresh, stored
 DEPTH = 3
 CONSTANT = 0.8
 FIELD = "<*>"
+#: Leaves up to this number (eight bytes each) are sent to all tasks; more meet the lines in a shuffle.
+SENT = 1_000_000
 
 
 def _digest(*parts: Column) -> Column:
@@ -52,7 +54,8 @@ def _lines(docs: DataFrame, key: str, text: str, depth: int) -> DataFrame:
 def _generalised(lines: DataFrame, known: DataFrame, constant: float) -> DataFrame:
     """`h`, `template` of the lines that have variable fields besides those with digits."""
     crowded = stored(known.groupBy("leaf").agg(F.count("*").alias("n")).where("n > 1").select("leaf"))
-    texts = stored(lines.join(crowded, "leaf", "left_semi").select("leaf", "h", "line").groupBy("leaf", "h").agg(F.first("line").alias("line")))
+    wanted = F.broadcast(crowded) if crowded.count() <= SENT else crowded
+    texts = stored(lines.join(wanted, "leaf", "left_semi").select("leaf", "h", "line").groupBy("leaf", "h").agg(F.first("line").alias("line")))
     tokens = texts.select("leaf", "h", F.posexplode(F.split("line", " ")).alias("place", "token"))
     support = stored(tokens.groupBy("leaf", "place", "token").agg(F.count("*").alias("n")).where("n = 1").drop("n"))
     # a token on its own is in one line only, so this finds each such line once per place

@@ -247,7 +247,9 @@ def test_lines_against_brute_force(spark, data, texts):
     assert Counter(map(tuple, got)) == brute_lines(texts)
 
 
-def test_lines_with_fields(spark):
+@pytest.mark.parametrize("sent", [0, line_dedup.SENT])
+def test_lines_with_fields(spark, monkeypatch, sent):
+    monkeypatch.setattr(line_dedup, "SENT", sent)
     rows = [
         (1, "login of user 17 at 10:05 from host a\nown first line\n\nx"), (2, "login of user 9 at 11:00 from host a\nown second line\n\nx"),
         (3, "the report of the board was sent to all members by mail today\n  spaced   out\tline "),
