@@ -9,6 +9,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rivulet.operators.writes import patched
+
 
 def _properties(df: DataFrame, without: Sequence[str], keep_null: bool) -> Column:
     dropped = {c.lower() for c in without}
@@ -54,7 +56,7 @@ def upsert_nodes(nodes: DataFrame, rows: DataFrame, label: str, id_cols: Sequenc
         .groupBy("label", "id")
         .agg(F.map_from_entries(F.collect_list(F.struct("name", "value"))).alias("__patch"))
     )
-    joined = nodes.join(last, ["label", "id"], "full_outer")
+    joined = patched(nodes, last, ["label", "id"])
     none = F.create_map().cast("map<string,string>")
     patch = F.coalesce("__patch", none)
     kept = F.map_filter(F.coalesce("properties", none), lambda k, _: ~F.map_contains_key(patch, k))

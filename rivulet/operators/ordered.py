@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 ROWS_PER_SEGMENT = 1_000_000
 _SEGMENT = "__segment"
@@ -112,6 +112,13 @@ def numbered(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str =
     return scan(df, by, order, running={name: F.lit(1).cast("long")}, **kwargs)
 
 
+def _hashable(field: T.StructField) -> Column:
+    """The column, as JSON where it holds a map or variant at any depth: Spark does not hash those."""
+    kind = field.dataType.simpleString()
+    column = F.col(f"`{field.name}`")
+    return F.to_json(F.struct(column)) if "map<" in kind or "variant" in kind else column
+
+
 def top_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int, name: str = "rank",
                   salts: int = 64) -> DataFrame:
     """The first `n` rows of every group with their rank.
@@ -121,8 +128,7 @@ def top_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], n:
     """
     groups = Window.partitionBy(*by).orderBy(*order)
     if n > 1000:
-        hashable = [f.name for f in df.schema if f.dataType.typeName() not in ("map", "variant")]
-        sliced = df.withColumn("__salt", F.pmod(F.xxhash64(*hashable), F.lit(salts)))
+        sliced = df.withColumn("__salt", F.pmod(F.xxhash64(*[_hashable(f) for f in df.schema]), F.lit(salts)))
         slices = Window.partitionBy(*by, "__salt").orderBy(*order)
         df = sliced.withColumn(name, F.row_number().over(slices)).where(F.col(name) <= n).drop(name, "__salt")
     return df.withColumn(name, F.row_number().over(groups)).where(F.col(name) <= n)

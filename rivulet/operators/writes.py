@@ -54,6 +54,21 @@ def insert(target: DataFrame, updates: DataFrame) -> DataFrame:
     return target.unionByName(align(updates, target.schema))
 
 
+def _unknown(target: DataFrame, patch: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The patch's rows whose key the target does not hold.
+
+    The keys found in the target are at most as many as the patch's, so a small patch is sent to the table's tasks.
+    """
+    found = target.select(*by).join(patch.select(*by), list(by), "left_semi")
+    return patch.join(found, list(by), "left_anti")
+
+
+def patched(target: DataFrame, patch: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Every row of the target with its patch, and the patch's other rows: a full outer join that
+    moves the table only if the patch is too large to be sent to its tasks."""
+    return target.join(patch, list(by), "left").unionByName(_unknown(target, patch, by), allowMissingColumns=True)
+
+
 def create(target: DataFrame, updates: DataFrame, pk: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Insert only keys the table does not hold; the first of several updates counts."""
     fresh = _first(_checked(updates, pk), pk, order).join(target.select(*pk), list(pk), "left_anti")
@@ -66,7 +81,8 @@ def upsert(target: DataFrame, updates: DataFrame, pk: Sequence[str], order: Sequ
     if set(target.columns) <= set(last.columns):
         kept = target.join(last.select(*pk), list(pk), "left_anti").select(*target.columns)
         return kept.unionByName(align(last, target.schema))
-    return _combine(target, last, pk, {c: F.lit(True) for c in last.columns}, "full_outer")
+    known = _combine(target, last, pk, {c: F.lit(True) for c in last.columns}, "left")
+    return known.unionByName(align(_unknown(target, last, pk).select(*[c for c in last.columns if c in target.columns]), target.schema))
 
 
 def replace(target: DataFrame, updates: DataFrame, pk: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -132,7 +148,7 @@ def merge(target: DataFrame, updates: DataFrame, pk: Sequence[str], order: Seque
         aggs += [F.max_by(F.col(path), when).alias(f"__v{i}"), F.max(named(path)).alias(f"__p{i}")]
     patch = checked.groupBy(*pk).agg(*aggs) if aggs else checked.select(*pk).distinct()
     index = {path: i for i, (path, _) in enumerate(leaves)}
-    joined = target.join(patch, list(pk), "full_outer")
+    joined = patched(target, patch, pk)
 
     def build(schema: T.StructType, prefix: str = "") -> list[Column]:
         made = []
@@ -203,7 +219,7 @@ def increment(target: DataFrame, deltas: DataFrame, by: Sequence[str] = CELL, va
     failed = F.raise_error(F.concat(F.lit("not an integer: "), F.coalesce(F.col(value).cast("string"), F.lit("null"))))
     amount = F.when(number.isNotNull(), number).otherwise(failed.cast("long"))
     sums = deltas.groupBy(*by).agg(F.sum(amount).alias("__delta"))
-    joined = target.join(sums, list(by), "full_outer")
+    joined = patched(target, sums, by)
     kind = target.schema[value].dataType
     total = F.coalesce(F.col(value).cast("long"), F.lit(0)) + F.coalesce("__delta", F.lit(0))
     return joined.select(*[total.cast(kind).alias(value) if c == value else F.col(c) for c in target.columns])
@@ -215,7 +231,7 @@ def append_cell(target: DataFrame, pieces: DataFrame, order: Sequence[str], by:
     listed = F.array_sort(F.collect_list(F.struct(*order, F.col(value).cast("string").alias("__piece"))))
     added = pieces.where(F.col(value).isNotNull()).groupBy(*by).agg(listed.alias("__pieces"))
     text = F.array_join(F.transform("__pieces", lambda p: p["__piece"]), "")
-    joined = target.join(added.select(*by, text.alias("__tail")), list(by), "full_outer")
+    joined = patched(target, added.select(*by, text.alias("__tail")), by)
     whole = F.concat(F.coalesce(F.col(value).cast("string"), F.lit("")), F.coalesce("__tail", F.lit("")))
     kind = target.schema[value].dataType
     return joined.select(*[whole.cast(kind).alias(value) if c == value else F.col(c) for c in target.columns])

@@ -63,7 +63,9 @@ def split(spark, sf):
 SELECT 'all' AS topic, "offset", key, value, event_type AS _source_topic FROM records""")
 def merge(spark, sf):
     rows = records(spark, sf)
-    parts = {t: rows.where(F.col("topic") == t) for t in ("click", "view", "error", "purchase", "signup")}
+    named = ["click", "view", "error", "purchase"]
+    parts = {t: rows.where(F.col("topic") == t) for t in named}
+    parts["signup"] = rows.where(~F.coalesce(F.col("topic").isin(named), F.lit(False)))  # and whatever else there is
     return plain(R.merge(parts, "all", add_source=True), "topic", "offset", "key", "value", "_source_topic")
 
 

@@ -74,7 +74,12 @@ def on_change_stream(df: DataFrame, key: Sequence[str], order: str, cols: Sequen
 
 def timed_batches(df: DataFrame, max_messages: int = 100, max_age_ms: int = 1000,
                   partition_by: Sequence[str] = ("topic", "partition")) -> DataFrame:
-    """JSON-array batches of a stream, closed by count or once the oldest record waited `max_age_ms`."""
+    """JSON-array batches of a stream, closed by count or once the oldest record waited `max_age_ms`.
+
+    The time at which a batch's first record came is part of the state. Later
+    records do not move it: a batch that has come of age is closed by the
+    timer, or by the next records if they come first.
+    """
     by = list(partition_by)
     types = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in by)
 
@@ -84,27 +89,33 @@ def timed_batches(df: DataFrame, max_messages: int = 100, max_age_ms: int = 1000
                              "message_count": [len(held)], "value": [text]})
 
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held = list(zip(*state.get)) if state.exists else []
+        opened, *lists = state.get if state.exists else (0, [], [])
+        held = list(zip(*lists))
         if state.hasTimedOut:
             state.remove()
             if held:
                 yield closed(key, held)
             return
+        now = state.getCurrentProcessingTimeMs()
+        if held and now - opened >= max_age_ms:
+            yield closed(key, held)
+            held = []
         batch = pd.concat(list(frames), ignore_index=True).sort_values("offset")
         for offset, value in batch[["offset", "value"]].itertuples(index=False, name=None):
+            opened = opened if held else now
             held.append((int(offset), value))
             if len(held) >= max_messages:
                 yield closed(key, held)
                 held = []
         if held:
-            state.update(([o for o, _ in held], [v for _, v in held]))
-            state.setTimeoutDuration(max_age_ms)
+            state.update((opened, [o for o, _ in held], [v for _, v in held]))
+            state.setTimeoutDuration(max(1, opened + max_age_ms - now))
         elif state.exists:
             state.remove()
 
     rows = df.withColumn("value", F.col("value").cast("string"))
     return rows.groupBy(*by).applyInPandasWithState(
-        run, f"{types}, first_offset long, message_count int, value string", "offsets array<long>, texts array<string>",
+        run, f"{types}, first_offset long, message_count int, value string", "opened long, offsets array<long>, texts array<string>",
         "append", GroupStateTimeout.ProcessingTimeTimeout)
 
 

@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import Window, functions as F
 
-from rivulet.operators import batching as B, cdc as C, keyed as K, ordered as O, replication as M, vectors as V
+from rivulet.operators import batching as B, cdc as C, keyed as K, ordered as O, replication as M, vectors as V, writes as W
 
 
 def skewed(spark, n=600, seed=1):
@@ -52,6 +52,27 @@ def test_top_per_group(spark, n):
     assert sorted(got.select(want.columns).collect(), key=str) == sorted(want.collect(), key=str)
 
 
+def test_top_per_group_with_nested_maps(spark):
+    df = skewed(spark, 3000).withColumn("s", F.struct(F.create_map("k", "n").alias("m"), F.array(F.create_map("k", "at")).alias("a")))
+    got = O.top_per_group(df, ["k"], [F.desc("at")], 1200)
+    sizes = {r["k"]: r["count"] for r in df.groupBy("k").count().collect()}
+    assert {r["k"]: r["count"] for r in got.groupBy("k").count().collect()} == {k: min(n, 1200) for k, n in sizes.items()}
+    assert got.where("k = 'hot'").agg(F.max("rank"), F.countDistinct("at")).first() == (1200, 1200)
+
+
+def test_patching_a_table_is_no_full_outer_join(spark):
+    table = spark.createDataFrame([(1, 10), (2, None), (None, 5)], "id long, value long")
+    deltas = spark.createDataFrame([(2, 3), (2, 4), (9, 1), (None, 2)], "id long, value long")
+    got = W.increment(table, deltas, ["id"])
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([(1, 10), (2, 7), (None, 5), (9, 1), (None, 2)], key=str)
+    part = spark.createDataFrame([(1, 7, 0), (4, 8, 1)], "id long, value long, offset long")
+    wide = table.withColumn("note", F.lit("n"))
+    merged = W.upsert(wide, part, ["id"], ["offset"])
+    assert sorted(map(tuple, merged.collect()), key=str) == sorted([(1, 7, "n"), (2, None, "n"), (None, 5, "n"), (4, 8, None)], key=str)
+    for made in (got, merged):
+        assert "FullOuter" not in made._jdf.queryExecution().optimizedPlan().toString()
+
+
 def greedy(rows, max_messages, max_bytes, max_age, on_key):
     starts, count, size, opened, last, clock = [], 0, 0, None, None, None
     for i, (key, value, ts) in enumerate(rows, start=1):

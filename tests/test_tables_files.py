@@ -241,6 +241,23 @@ def test_timed_batches(spark, tmp_path):
     assert got == [(0, "[0,1,2]"), (3, "[3,4,5]"), (6, "[6]")]
 
 
+def test_timed_batches_close_by_age_while_records_keep_coming(spark, tmp_path):
+    for i in range(8):
+        spark.range(i, i + 1).coalesce(1).selectExpr("'t' topic", "0 partition", "id offset", "cast(id as string) value").write.mode(
+            "append").parquet(f"{tmp_path}/in")
+    stream = I.stream_files(spark, "parquet", f"{tmp_path}/in", "topic string, partition int, offset long, value string", max_files=1)
+    query = Q.timed_batches(stream, max_messages=100, max_age_ms=600).writeStream.format("memory").queryName("trickle").option(
+        "checkpointLocation", f"{tmp_path}/c").trigger(processingTime="400 milliseconds").start()
+    try:
+        wait = datetime.now() + timedelta(seconds=60)
+        while sum(r.message_count for r in spark.table("trickle").collect()) < 8 and datetime.now() < wait:
+            query.awaitTermination(0.5)
+    finally:
+        query.stop()
+    counts = [r.message_count for r in spark.table("trickle").collect()]
+    assert sum(counts) == 8 and max(counts) < 8
+
+
 def test_heartbeat_stream(spark):
     assert Q.heartbeats(spark, "a", "b").isStreaming
     assert Gen.generate(spark, value="${sequence}", rate=1).isStreaming
