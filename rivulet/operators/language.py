@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import heapq
+import math
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -19,18 +21,25 @@ FIND = T.StructType([T.StructField("type", T.StringType()), T.StructField("begin
 _SPACES = re.escape(WHITESPACE)
 
 
+#: A sentence with its end mark, or the rest of the text; a run of letters.
+SENTENCE = "[^.!?]*[.!?]|[^.!?]+"
+LETTERS = r"[^\W\d_]+"
+
+
+def _trimmed(pattern: str, text: str) -> Iterator[tuple[str, int, int]]:
+    """Matches without white space at their ends, where anything is left, and where they lie."""
+    for m in re.finditer(pattern, text):
+        own = m.group().strip(WHITESPACE)
+        if own:
+            begin = m.start() + m.group().index(own)
+            yield own, begin, begin + len(own)
+
+
 def _spans(pattern: str, trim: bool):
     def whole(text: str):
         return [(m.group(), *m.span()) for m in re.finditer(pattern, text)]
 
-    def inner(text: str):
-        for m in re.finditer(pattern, text):
-            own = m.group().strip(WHITESPACE)
-            if own:
-                begin = m.start() + m.group().index(own)
-                yield own, begin, begin + len(own)
-
-    return rows_of(inner if trim else whole, SPAN)
+    return rows_of((lambda text: _trimmed(pattern, text)) if trim else whole, SPAN)
 
 
 def _exploded(df: DataFrame, text_col: str, pattern: str, name: str, trim: bool) -> DataFrame:
@@ -47,7 +56,7 @@ def tokenize(df: DataFrame, text_col: str = "text") -> DataFrame:
 
 def sentences(df: DataFrame, text_col: str = "text") -> DataFrame:
     """One row per sentence; `.`, `!` and `?` each end one."""
-    return _exploded(df, text_col, "[^.!?]*[.!?]|[^.!?]+", "sentence", trim=True)
+    return _exploded(df, text_col, SENTENCE, "sentence", trim=True)
 
 
 # Personal data patterns, applied in this order (fixed values).
@@ -158,7 +167,7 @@ def term_frequencies(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def count(text: str):
         found: dict[str, list[int]] = {}
-        for m in re.finditer(r"[^\W\d_]+", text.lower()):
+        for m in re.finditer(LETTERS, text.lower()):
             if m.end() - m.start() >= min_length:
                 found.setdefault(m.group(), [0, m.start()])[0] += 1
         return [(term, n, first) for term, (n, first) in found.items()]
@@ -190,17 +199,36 @@ def key_phrases(df: DataFrame, n: int = 5, id_col: str = "doc_id", text_col: str
     return best.select(id_col, F.col("term").alias("phrase"), "score", "rank", "offset")
 
 
+RANKED = T.StructType([T.StructField("index", T.IntegerType()), T.StructField("sentence", T.StringType()),
+                       T.StructField("score", T.DoubleType()), T.StructField("rank", T.IntegerType()),
+                       T.StructField("begin", T.IntegerType()), T.StructField("end", T.IntegerType())])
+
+
 def summarize(df: DataFrame, n: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The `n` sentences of each document with the highest mean TF-IDF, in text order with their rank score."""
+    """The `n` sentences of each document with the highest mean TF-IDF, ties by text order, with their rank.
+
+    The weights of a document's terms are gathered into its row, which is no
+    larger than its text, so sentences are cut and scored where they are.
+    """
     tf = settle(term_frequencies(df, id_col, text_col))  # read twice, costly to make
-    weights = weighted(tf, df.count()).select(id_col, "term", F.col("weight").alias("w"))
-    found = sentences(df.select(id_col, text_col), text_col)
-    terms = unnest(found, [id_col, "index"], words(F.col("sentence")), "__at", "term")
-    counts = terms.groupBy(id_col, "index", "term").agg(F.count(F.lit(1)).alias("c"))
-    scored = counts.join(weights, [id_col, "term"], "left").groupBy(id_col, "index").agg(
-        F.round(F.sum(F.col("c") * F.coalesce("w", F.lit(0.0))) / F.sum("c"), 12).alias("score"))
-    best = top_per_group(scored, [id_col], [F.desc("score"), F.asc("index")], n)
-    return found.join(best, [id_col, "index"]).select(id_col, "index", "sentence", "score", "rank", "begin", "end")
+    pairs = F.collect_list(F.struct("term", "weight"))
+    weights = weighted(tf, df.count()).groupBy(id_col).agg(pairs.alias("__weights"))
+    rows = df.select(id_col, text_col).join(weights, id_col)
+
+    def best(row: dict) -> list[tuple]:
+        weight = dict(zip(row["terms"], row["weights"]))
+        scored = []
+        for index, (sentence, begin, end) in enumerate(_trimmed(SENTENCE, row["text"])):
+            terms = re.findall(LETTERS, sentence.lower())
+            if terms:
+                score = round(math.fsum(weight.get(t, 0.0) for t in terms) / len(terms), 12)
+                scored.append((-score, index, sentence, begin, end))
+        chosen = heapq.nsmallest(n, scored)
+        return [(index, sentence, -score, rank, begin, end) for rank, (score, index, sentence, begin, end) in enumerate(chosen, 1)]
+
+    given = F.struct(F.col(text_col).alias("text"), F.col("__weights.term").alias("terms"), F.col("__weights.weight").alias("weights"))
+    found = unnest(rows, [id_col], rows_of(best, RANKED)(given), "__at", "__best")
+    return found.select(id_col, "__best.*")
 
 
 # Categories with the words that raise them and the share of words that flags (fixed values).

@@ -90,6 +90,10 @@ def _scores(queries: np.ndarray, vectors: np.ndarray, metric: str) -> np.ndarray
     return queries @ vectors.T
 
 
+#: Scores held at once: more queries than that allows are scored in turn.
+SCORES = 1 << 23
+
+
 class _Best:
     """The k best rows per query seen so far in one task."""
 
@@ -109,14 +113,17 @@ class _Best:
         for size in np.unique(sizes):
             at = np.flatnonzero(sizes == size)
             block = np.array([vectors[i] for i in at], dtype=np.float64).reshape(len(at), size)
+            step = max(1, SCORES // len(at))
             for dim, (rows, queries) in self.by_size.items():
-                if dim == size:
-                    scores = np.round(_scores(queries, block, self.metric), DIGITS[self.metric])
-                elif self.metric == "cosine":
-                    scores = np.zeros((len(rows), len(at)))  # another dimension has no similarity
-                else:
-                    continue
-                found.append(self._top(np.array(rows), ids[at], scores))
+                for i in range(0, len(rows), step):
+                    tile = np.array(rows[i : i + step])
+                    if dim == size:
+                        scores = np.round(_scores(queries[i : i + step], block, self.metric), DIGITS[self.metric])
+                    elif self.metric == "cosine":
+                        scores = np.zeros((len(tile), len(at)))  # another dimension has no similarity
+                    else:
+                        continue
+                    found.append(self._best(self._top(tile, ids[at], scores)))
         if found:
             self.kept = self._best(pd.concat(found, ignore_index=True))
 

@@ -151,12 +151,16 @@ def _meetings(spark, sf):
         F.col("o_orderdate").alias("start"), F.col("o_orderstatus").alias("status"))
 
 
-@query("ics_sink", """SELECT topic, file, CAST(count(*) AS INTEGER) AS events, 'BEGIN:VCALENDAR' AS head FROM (
-  SELECT o_orderpriority AS topic, (row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) - 1) // 200 AS file FROM orders)
-GROUP BY topic, file""")
+@query("ics_sink", """WITH o AS (SELECT *, (row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) - 1) // 200 AS file,
+  'SUMMARY:Order' || chr(92) || ', ' || o_orderstatus || chr(92) || '; ' || o_totalprice || ' ' || chr(92) || chr(92) || ' ' || repeat('more ', 20) AS s FROM orders),
+e AS (SELECT *, array_to_string(['BEGIN:VEVENT', 'UID:order-' || o_orderkey,
+  array_to_string(list_transform(range(0, (length(s) + 72) // 73), lambda i: substr(s, 73 * i + 1, 73)), chr(13) || chr(10) || ' '),
+  'DTSTART:' || strftime(o_orderdate, '%Y%m%dT%H%M%S'), 'DTEND:' || strftime(o_orderdate + INTERVAL 1 HOUR, '%Y%m%dT%H%M%S'),
+  'STATUS:' || o_orderstatus, 'END:VEVENT'], chr(13) || chr(10)) AS event FROM o)
+SELECT o_orderpriority AS topic, file, CAST(count(*) AS INTEGER) AS events, array_to_string(['BEGIN:VCALENDAR', 'VERSION:2.0',
+  'PRODID:-//rivulet//EN', 'X-WR-CALNAME:Events', string_agg(event, chr(13) || chr(10) ORDER BY o_orderkey), 'END:VCALENDAR', ''], chr(13) || chr(10)) AS value FROM e GROUP BY ALL""")
 def ics_sink(spark, sf):
-    made = S.to_ics(_meetings(spark, sf), max_events=200)
-    return made.select("topic", "file", "events", F.substring("value", 1, 15).alias("head"))
+    return S.to_ics(_meetings(spark, sf), max_events=200)
 
 
 @query("ics_events", """SELECT 'order-' || o_orderkey AS uid, 'Order, ' || o_orderstatus || '; ' || o_totalprice || ' \\ ' || repeat('more ', 20) AS summary,

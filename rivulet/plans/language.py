@@ -44,9 +44,9 @@ def sentences(spark, sf):
     return L.sentences(_docs(spark, sf)).select("doc_id", "sentence", "begin", "end")
 
 
-def _redacted(text):
-    for name, pattern in L.PII.items():
-        text = f"regexp_replace({text}, '{pattern}', '[{name}]', 'g')"
+def _redacted(text, names=tuple(L.PII)):
+    for name in names:
+        text = f"regexp_replace({text}, '{L.PII[name]}', '[{name}]', 'g')"
     return text
 
 
@@ -55,19 +55,23 @@ def pii_redact(spark, sf):
     return L.pii_redact(_docs(spark, sf)).select("doc_id", "redacted")
 
 
-def _span_counts():
-    """Finds per type: how often each label appears once the text is redacted."""
+def _finds():
+    """What each type finds in the text once the types before it are redacted."""
+    names = list(L.PII)
     rows = [
-        f"SELECT doc_id, '{name}' AS type, len(regexp_extract_all(redacted, '\\[{name}\\]')) - len(regexp_extract_all(text, '\\[{name}\\]')) AS finds FROM r"
-        for name in L.PII
+        f"SELECT doc_id, '{name}' AS type, regexp_extract_all({_redacted('text', names[:i])}, '{L.PII[name]}') AS m FROM documents"
+        for i, name in enumerate(names)
     ]
-    return f"WITH r AS (SELECT doc_id, text, {_redacted('text')} AS redacted FROM documents), f AS (" + " UNION ALL ".join(rows) + """)
-SELECT doc_id, type, CAST(finds AS BIGINT) AS finds, 1.0::DOUBLE AS score FROM f WHERE finds > 0"""
+    return f"""WITH f AS ({" UNION ALL ".join(rows)})
+SELECT doc_id, type, len(m) AS finds, array_to_string(m, '|') AS found, 1.0::DOUBLE AS score FROM f WHERE len(m) > 0"""
 
 
-@query("pii_spans", _span_counts())
+@query("pii_spans", _finds())
 def pii_spans(spark, sf):
-    return L.pii_spans(_docs(spark, sf)).groupBy("doc_id", "type").agg(F.count("*").alias("finds"), F.max("score").alias("score"))
+    out = L.pii_spans(_docs(spark, sf).withColumn("whole", F.col("text")))
+    found = F.struct("begin", F.substring(F.col("whole"), F.col("begin") + 1, F.col("end") - F.col("begin")).alias("text"))
+    return out.groupBy("doc_id", "type").agg(
+        F.count("*").alias("finds"), F.array_join(F.array_sort(F.collect_list(found))["text"], "|").alias("found"), F.max("score").alias("score"))
 
 
 _LANGUAGES = ",\n".join(f"CAST(len(list_filter(words, lambda x: x IN ({_list(v)}))) AS INTEGER) AS {k}_n" for k, v in L.STOP_WORDS.items())

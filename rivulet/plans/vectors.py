@@ -68,6 +68,18 @@ def vector_metrics(spark, sf):
     return found[0].unionByName(found[1])
 
 
+@query("vector_responses", f"""WITH {_CENTRES},
+l AS (SELECT vec_id // 2 AS k, arg_max(label, vec_id) AS label, arg_max(embedding, vec_id)::DOUBLE[] AS e FROM embeddings GROUP BY 1),
+s AS (SELECT query_id, 'k' || k AS id, label, round(list_cosine_similarity(q, l.e), 12) AS score FROM queries, l WHERE label <> 3),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM s WHERE score >= 0.1)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, id, round(score, 6) AS score, 'c' || label AS content,
+  '{{"label":"' || label || '"}}' AS metadata FROM r WHERE rank <= 5""")
+def vector_responses(spark, sf):
+    vectors = V.upsert_vectors(_records(spark, sf))
+    found = V.responses(V.topk(vectors, _centres(spark, sf), k=5, min_similarity=0.1), vectors)
+    return found.select("query_id", F.inline("results")).withColumn("score", F.round("score", 6))
+
+
 @query("query_vector_parse", """SELECT CAST(vec_id AS VARCHAR) AS query_id, len(embedding) AS size, round(embedding[2]::DOUBLE, 4) AS second
 FROM embeddings WHERE label <> 4""")
 def query_vector_parse(spark, sf):

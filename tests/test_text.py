@@ -1,5 +1,6 @@
 """Chunkers and text analysis on small cases."""
 
+import math
 import random
 
 import pytest
@@ -161,3 +162,32 @@ def test_enrichment_errors_and_output(spark):
     alone = N.enrich(df.where("offset = 0"), make, "text", output="separate").first().value
     assert alone.startswith('{"enrichment":{"n":3}')
     assert N.enrich(df, make, "text", retries=0, backoff=0).where(F.col("error").isNull()).count() == 3
+
+
+def test_summaries_take_the_heaviest_sentences(spark):
+    rows = docs(spark, "Rare zebra words. Common line here!  Common line here? 12 34.", "Common line here.", "", None)
+    found = [tuple(r) for r in L.summarize(rows, 2).orderBy("doc_id", "rank").collect()]
+    first = rows.first().doc_id
+    mine = [f for f in found if f[0] == first]
+    assert [(i, s, k, b, e) for _, i, s, _, k, b, e in mine] == [(0, "Rare zebra words.", 1, 0, 17), (1, "Common line here!", 2, 18, 35)]
+    assert mine[0][3] == pytest.approx(math.log(4)) and mine[1][3] == pytest.approx(2 * math.log(2))
+    assert len(found) == 3
+
+
+def test_scores_in_tiles_find_the_same(spark, monkeypatch):
+    import numpy as np
+
+    from rivulet.operators import vectors as V
+
+    rng = np.random.default_rng(5)
+    queries, entries = rng.normal(size=(23, 4)), rng.normal(size=(40, 4))
+    ids = np.arange(40)
+
+    def found():
+        best = V._Best(range(23), list(queries), 3, 0.0, "cosine")
+        best.add(ids, [*entries[:30], *[np.ones(3)] * 10])
+        return best.rows().values.tolist()
+
+    whole = found()
+    monkeypatch.setattr(V, "SCORES", 100)
+    assert found() == whole
