@@ -1,21 +1,25 @@
 """Line dedup by a log-template tree.
 
 Lines go down a tree of fixed depth: number of tokens, then the leading
-tokens, with tokens that hold digits as one variable field. Within a leaf a
-token that no other line has at its place is a variable field as well, as long
-as most tokens stay. Lines with the same fields and constants share a
-template; a template that occurs in several documents stays in the first
-place only. All of it is Spark SQL expressions.
+tokens, with tokens that hold digits as one variable field; a line with too
+few other tokens is taken as it is. Within a leaf, lines that agree but for a
+few places share a template, which has variable fields there. A template that
+occurs in several documents stays in the first place only. All of it is Spark
+SQL expressions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rivulet.llm.common import fresh, stored
 
 DEPTH = 3
 CONSTANT = 0.8
+#: Share of tokens without digits from which lines that differ in their digits are alike.
+WORDED = 0.75
+#: Lines below this number of tokens have all pairs of places tried as fields.
+PAIRED = 15
 FIELD = "<*>"
 #: Leaves up to this number (eight bytes each) are sent to all tasks; more meet the lines in a shuffle.
 SENT = 1_000_000
@@ -32,7 +36,24 @@ def masked(line: Column) -> Column:
     for mark in ("  ", "\t", "\r", "\f", "\x0b"):
         uneven |= F.contains(line, F.lit(mark))
     even = F.trim(F.when(uneven, F.regexp_replace(line, r"[ \t\r\f\x0b]+", " ")).otherwise(line))
-    return F.when(even.rlike("[0-9]"), F.regexp_replace(even, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", FIELD)).otherwise(even)
+    marked = F.regexp_replace(even, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", FIELD)
+    return F.when(even.rlike("[0-9]"), F.transform(F.array(F.struct(even.alias("even"), marked.alias("marked"))), lambda x: F.when(
+        _within(_fields(x["marked"]), _words(x["marked"]), WORDED), x["marked"]).otherwise(x["even"]))[0]).otherwise(even)
+
+
+def _words(line: Column) -> Column:
+    return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1
+
+
+def _fields(line: Column) -> Column:
+    """How many tokens are fields; runs of spaces do not occur, so each has a space of its own once they are doubled."""
+    padded = F.concat(F.lit(" "), F.replace(line, F.lit(" "), F.lit("  ")), F.lit(" "))
+    return ((F.length(padded) - F.length(F.replace(padded, F.lit(f" {FIELD} "), F.lit("")))) / (len(FIELD) + 2)).cast("int")
+
+
+def _within(fields: Column, words: Column, constant: float) -> Column:
+    """Whether the other tokens make up the share `constant`; in whole numbers, as 0.2 * 5 is below 1 otherwise."""
+    return fields * 10_000 <= words * round((1 - constant) * 10_000)
 
 
 def _leaf(line: Column, depth: int) -> Column:
@@ -51,20 +72,66 @@ def _lines(docs: DataFrame, key: str, text: str, depth: int) -> DataFrame:
     return cut.select("*", _digest(F.col("line")).alias("h"), F.xxhash64(_leaf(F.col("line"), depth)).alias("leaf"))
 
 
-def _generalised(lines: DataFrame, known: DataFrame, constant: float) -> DataFrame:
-    """`h`, `template` of the lines that have variable fields besides those with digits."""
+def _generalised(lines: DataFrame, known: DataFrame, depth: int, constant: float) -> DataFrame:
+    """`h`, `template` of the lines that have variable fields besides those with digits.
+
+    Each line tries as fields: each place, each pair of places (lines below
+    `PAIRED` tokens), and its rarest places together, two or more. Of the
+    patterns that several lines of the leaf have, it takes the one with the
+    most lines, or one that others took if nobody else takes that.
+    """
     crowded = stored(known.groupBy("leaf").agg(F.count("*").alias("n")).where("n > 1").select("leaf"))
     wanted = F.broadcast(crowded) if crowded.count() <= SENT else crowded
-    texts = stored(lines.join(wanted, "leaf", "left_semi").select("leaf", "h", "line").groupBy("leaf", "h").agg(F.first("line").alias("line")))
-    tokens = texts.select("leaf", "h", F.posexplode(F.split("line", " ")).alias("place", "token"))
-    support = stored(tokens.groupBy("leaf", "place", "token").agg(F.count("*").alias("n")).where("n = 1").drop("n"))
-    # a token on its own is in one line only, so this finds each such line once per place
-    alone = tokens.join(support, ["leaf", "place", "token"], "left_semi")
-    fields = alone.groupBy("h").agg(F.collect_list("place").alias("fields"))
-    words = F.split("line", " ")
-    found = texts.join(fields, "h").where(F.size("fields") <= (1 - constant) * F.size(words))
-    template = F.array_join(F.transform(words, lambda w, i: F.when(F.array_contains("fields", i), FIELD).otherwise(w)), " ")
-    return found.select("h", _digest(template).alias("template"))
+    # lines that still hold digits have too few constants to be generalised
+    open_ = F.floor(_words(F.col("line")) * round((1 - constant) * 10_000) / 10_000) - _fields(F.col("line"))
+    texts = stored(
+        lines.where(~F.col("line").rlike("[0-9]")).join(wanted, "leaf", "left_semi")
+        .select("leaf", "h", "line", open_.cast("int").alias("room"), _fields(F.col("line")).alias("had"))
+        .where("room > 0 or had > 0").groupBy("leaf", "h").agg(*[F.first(c).alias(c) for c in ("line", "room", "had")])
+    )
+    tokens = texts.select("leaf", "h", "room", "had", _words(F.col("line")).alias("words"), F.posexplode(F.split("line", " ")).alias("place", "token"))
+    tokens = tokens.where(F.col("place") >= depth)
+    support = tokens.groupBy("leaf", "place", "token").agg(F.count("*").alias("n"))
+    # a pattern's hash is the exclusive or over its places, so that a field changes it by `delta`
+    digest = F.xxhash64("place", "token")
+    free = F.col("token") != FIELD
+    rows = tokens.join(support, ["leaf", "place", "token"]).select(
+        "leaf", "h", "room", "had", "words", "place", free.alias("free"), "n", digest.alias("x"),
+        F.when(free, digest.bitwiseXOR(F.xxhash64("place", F.lit(FIELD)))).alias("delta"))
+    line = Window.partitionBy("leaf", "h")
+    rarest = line.orderBy(F.desc("free"), "n", "place")
+    before = rarest.rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.select(
+        "*", F.bit_xor("x").over(line).alias("whole"), F.row_number().over(rarest).alias("j"),
+        F.bit_xor("delta").over(rarest.rowsBetween(Window.unboundedPreceding, 0)).alias("run"),
+        F.collect_list(F.when((F.col("words") < PAIRED) & (F.col("room") > 1), F.col("delta"))).over(before).alias("others"))
+
+    def pattern(when: Column, fields, *deltas: Column) -> Column:
+        sig = F.col("whole")
+        for delta in deltas:
+            sig = sig.bitwiseXOR(delta)
+        return F.when(when, F.struct(F.lit(fields).cast("int").alias("fields"), sig.alias("sig")))
+
+    may = F.col("free") & (F.col("room") > 0)
+    tried = F.array_compact(F.concat(
+        F.array(
+            pattern((F.col("j") == 1) & (F.col("had") > 0), 0),
+            pattern(may, 1, F.col("delta")),
+            pattern(may & (F.col("words") >= PAIRED) & (F.col("j") > 1) & (F.col("j") <= F.col("room")), F.col("j"), F.col("run")),
+        ),
+        F.transform("others", lambda other: pattern(may, 2, F.col("delta"), other)),
+    ))
+    patterns = stored(rows.select("leaf", "h", F.explode(tried).alias("p")).select("leaf", "h", "p.fields", "p.sig"))
+    shared = patterns.groupBy("leaf", "sig").agg(F.count("*").alias("n")).where("n > 1")
+    choices = stored(patterns.join(shared, ["leaf", "sig"]))
+    best = F.min(F.struct((-F.col("n")).alias("most"), "fields", "sig")).alias("best")
+    first = stored(choices.groupBy("leaf", "h").agg(best).select("leaf", "h", "best.sig"))
+    taken = stored(first.groupBy("leaf", "sig").agg(F.count("*").alias("takers")))
+    settled = first.join(taken.where("takers > 1"), ["leaf", "sig"]).select("leaf", "h", "sig")
+    left = first.join(taken.where("takers = 1"), ["leaf", "sig"]).select("leaf", "h")
+    late = choices.join(left, ["leaf", "h"]).join(taken.where("takers > 1").select("leaf", "sig"), ["leaf", "sig"])
+    found = settled.unionByName(late.groupBy("leaf", "h").agg(best).select("leaf", "h", "best.sig"))
+    return found.select("h", _digest(F.col("leaf"), F.col("sig")).alias("template"))
 
 
 def duplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", depth: int = DEPTH, constant: float = CONSTANT) -> DataFrame:
@@ -74,7 +141,7 @@ def duplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", de
     # null keys come after all others
     first = F.struct(F.col("key").isNull().alias("null"), F.col("key").alias("key"), F.col("rid").alias("rid"), F.col("pos").alias("pos"))
     known = stored(places.groupBy("leaf", "h").agg(F.min(first).alias("first"), F.min("rid").alias("low"), F.max("rid").alias("high")))
-    wider = stored(_generalised(lines, known, constant))
+    wider = stored(_generalised(lines, known, depth, constant))
     # each side has one row per line; a line without further fields is its own template
     templated = stored(known.join(wider, "h", "left").select("h", F.coalesce("template", "h").alias("template"), "first", "low", "high"))
     spread = templated.groupBy("template").agg(F.min("first").alias("first"), F.min("low").alias("low"), F.max("high").alias("high"))

@@ -268,6 +268,39 @@ def test_lines_odd_rows(odd):
     assert line_dedup.dedup_lines(odd.limit(0)).count() == 0
 
 
+def test_lines_with_recurring_fields(spark):
+    names, kinds = ["Ann", "Bob", "Cid", "Dora"], ["sports", "local", "travel"]
+    story = "This story was posted by {} in our {} pages and may not be copied"
+    rows = [(i, story.format(n, k) + f"\nonly {'abcdefghijkl'[i]} has this") for i, (n, k) in enumerate((n, k) for n in names for k in kinds)]
+    rows += [(20, "the page was red"), (21, "all texts here are red"), (22, "all texts here are blue"), (23, "all texts here were red again")]
+    long = "we send a weekly letter from {} about {} to all the readers of {} who did ask us for it some time ago"
+    rows += [(30 + 4 * a + 2 * b + c, long.format(x, y, z)) for a, x in enumerate(("Rome", "Oslo")) for b, y in enumerate(("art", "food"))
+             for c, z in enumerate(("north", "south"))]
+    got = {r["doc_id"]: r for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+
+    def alike(a, b):  # by the pair, without signatures: the rows make no chains
+        a, b = a.split(), b.split()
+        return len(a) == len(b) and a[:3] == b[:3] and 5 * sum(x != y for x, y in zip(a, b)) <= len(a)
+
+    seen = []
+    for key, text in rows:
+        kept = [x for x in text.split("\n") if not any(alike(x, y) for y in seen)]
+        seen += text.split("\n")
+        assert got[key]["text"] == "\n".join(kept), key
+    assert sum(r["dropped_lines"] for r in got.values()) == 11 + 1 + 7
+
+
+def test_lines_of_numbers(spark):
+    import corpus_pipeline as pipeline
+
+    tables = [(1, "2019 412 7.5\n1:30 200 x1"), (2, "3 4 5\n2020 17 8"), (3, "3 4 5\nBerlin 12 13 15 16"), (4, "Berlin 12 13 15 17"), (5, "7 8 9 10 11 12"),
+              (6, "on page 4 we list all of the sources"), (7, "on page 9 we list all of the sources")]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in tables], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(docs).collect()}
+    assert got == {**dict(tables), 3: "Berlin 12 13 15 16", 7: ""}
+    assert {r["doc_id"] for r in pipeline.new_lines(spark, docs, "").collect()} == {1, 2, 3, 4, 5, 6}
+
+
 # pages
 
 
