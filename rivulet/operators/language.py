@@ -213,10 +213,11 @@ def summarize(df: DataFrame, n: int = 3, id_col: str = "doc_id", text_col: str =
     tf = settle(term_frequencies(df, id_col, text_col))  # read twice, costly to make
     pairs = F.collect_list(F.struct("term", "weight"))
     weights = weighted(tf, df.count()).groupBy(id_col).agg(pairs.alias("__weights"))
-    rows = df.select(id_col, text_col).join(weights, id_col)
+    # sentences of documents without such terms score 0
+    rows = df.select(id_col, text_col).where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).join(weights, id_col, "left")
 
     def best(row: dict) -> list[tuple]:
-        weight = dict(zip(row["terms"], row["weights"]))
+        weight = dict(zip(row["terms"] or (), row["weights"] or ()))
         scored = []
         for index, (sentence, begin, end) in enumerate(_trimmed(SENTENCE, row["text"])):
             terms = re.findall(LETTERS, sentence.lower())

@@ -174,6 +174,16 @@ def test_summaries_take_the_heaviest_sentences(spark):
     assert len(found) == 3
 
 
+def test_summaries_of_short_words(spark):
+    rows = docs(spark, "Rare zebra words.", "Up we go. He is in it! 12.", "你好。 大家")
+    found = {}
+    for r in L.summarize(rows, 2).collect():
+        found.setdefault(r.doc_id, []).append((r["rank"], r.sentence, r.score, r["index"]))
+    ids = [r.doc_id for r in rows.orderBy("doc_id").collect()]
+    assert sorted(found[ids[1]]) == [(1, "Up we go.", 0.0, 0), (2, "He is in it!", 0.0, 1)]
+    assert sorted(found[ids[2]]) == [(1, "你好。 大家", 0.0, 0)]
+
+
 def test_scores_in_tiles_find_the_same(spark, monkeypatch):
     import numpy as np
 
