@@ -3,8 +3,10 @@
 A page is read once as a stream of events into lines: the text between two
 block tags, with the number of tags met on the way. The text-to-tag ratios of
 the lines, smoothed by a Gaussian, are clustered into high and low by an
-iterated threshold; the container that holds most of the high text is the
-content region.
+iterated threshold; the container that holds most of the high text, with the
+headings and paragraphs beside it, is the content region. Containers named
+like what stands around an article are left out unless they hold the article
+or most of the high text.
 """
 
 from __future__ import annotations
@@ -44,6 +46,10 @@ AROUND = set(
     "subscription signup login search pagination pager toolbar widget hidden".split()
 )
 WORD = re.compile(r"[a-z]+")
+#: Names that only say how the page looks ('has-sidebar', 'comments-open') mark nothing.
+LOOKS = re.compile(r"(has|no|with|without|show|hide|hides|overflow)[-_].*|.*[-_](open|opened|closed|on|off|enabled|disabled|page|layout|left|right)")
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+BLOCKS = HEADINGS | set("p li dt dd blockquote pre td th figcaption caption summary details ul ol dl".split())
 
 
 class _Lines(HTMLParser):
@@ -51,12 +57,15 @@ class _Lines(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, int, bool]] = []  # element, container number, left out
+        self.open: list[tuple[str, int, bool]] = []  # element, container number, never seen
         self.parents: list[int] = [-1]  # of each container; 0 is the page
         self.kinds: list[str] = [""]
+        self.marked: list[bool] = [False]
         self.text: list[str] = []
         self.tags = 0
-        self.lines: list[tuple[str, int, int]] = []  # text, tags, container
+        self.lines: list[tuple[str, int, int, bool]] = []  # text, tags, container, mostly links
+        self.linking = False
+        self.linked = 0
 
     def _place(self) -> tuple[int, bool]:
         return (self.open[-1][1], self.open[-1][2]) if self.open else (0, False)
@@ -64,17 +73,20 @@ class _Lines(HTMLParser):
     def end_line(self) -> None:
         line = " ".join("".join(self.text).split())
         if line:
-            self.lines.append((line, self.tags, self._place()[0]))
+            self.lines.append((line, self.tags, self._place()[0], 2 * self.linked > len(line)))
             self.tags = 0
-        self.text = []
+        self.text, self.linked = [], 0
 
     def handle_starttag(self, tag, attrs):
         self.tags += 1
         if tag == "br":
             self.text.append(" ")
-        # an inline element that stands around the article is left out like any other
+        if tag == "a":
+            self.linking = True
+        # an inline element that stands around the article is marked like any other
         marked = tag not in CONTENT and tag not in ("html", "body") and any(
-            not AROUND.isdisjoint(WORD.findall(value.lower())) for name, value in attrs if value and name in ("class", "id", "role")
+            not AROUND.isdisjoint(WORD.findall(part)) and not LOOKS.fullmatch(part)
+            for name, value in attrs if value and name in ("class", "id", "role") for part in value.lower().split()
         )
         if tag in VOID:
             if tag not in INLINE:
@@ -92,9 +104,10 @@ class _Lines(HTMLParser):
                     break
         parent, out = self._place()
         inside = any(name in CONTENT for name, _, _ in self.open)
-        out = out or marked or tag in UNSEEN or (tag == "header" and not inside)
+        out = out or tag in UNSEEN or (tag == "header" and not inside)
         self.parents.append(parent)
         self.kinds.append(tag)
+        self.marked.append(marked)
         self.open.append((tag, len(self.parents) - 1, out))
 
     def handle_startendtag(self, tag, attrs):
@@ -102,6 +115,8 @@ class _Lines(HTMLParser):
 
     def handle_endtag(self, tag):
         self.tags += 1
+        if tag == "a":
+            self.linking = False
         for depth in range(len(self.open) - 1, -1, -1):
             if self.open[depth][0] == tag:
                 self.end_line()
@@ -113,6 +128,7 @@ class _Lines(HTMLParser):
     def handle_data(self, data):
         if not self._place()[1]:
             self.text.append(data)
+            self.linked += len(data.strip()) * self.linking
 
 
 def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -137,35 +153,77 @@ def high(values: np.ndarray) -> np.ndarray:
     return values >= cut
 
 
-def _region(lines: list[tuple[str, int, int]], parents: list[int], kinds: list[str]) -> set[int]:
-    """The containers of the content region."""
-    ratios = np.array([len(text) / max(1, tags) for text, tags, _ in lines])
-    content = high(smoothed(ratios))
+def _chosen(lines: list[tuple]) -> np.ndarray:
+    """Which lines are in the upper cluster of the smoothed text-to-tag ratios."""
+    return high(smoothed(np.array([len(text) / max(1, tags) for text, tags, *_ in lines])))
+
+
+def _weights(lines: list[tuple], content: np.ndarray, parents: list[int]) -> list[float]:
+    """The high text in each container."""
     weight = [0.0] * len(parents)
-    for (text, _, container), chosen in zip(lines, content):
+    for (text, _, container, _), chosen in zip(lines, content):
         if chosen:
             while container >= 0:
                 weight[container] += len(text)
                 container = parents[container]
-    tops = [c for c, kind in enumerate(kinds) if kind in CONTENT and weight[c] > 0]
-    if not tops:  # the page marks no article: go down while one child holds nearly all of the high text
-        children: list[list[int]] = [[] for _ in parents]
-        for child, parent in enumerate(parents):
-            if parent >= 0:
-                children[parent].append(child)
-        top = 0
-        while children[top]:
-            best = max(children[top], key=weight.__getitem__)
-            # stop above the blocks themselves: one long paragraph is not the article
-            if weight[best] < SHARE * weight[top] or not children[best]:
-                break
-            top = best
-        tops = [top]
-    held = set(tops)
+    return weight
+
+
+def _seen(page: _Lines) -> list[tuple]:
+    """The lines outside of marked containers; those that hold the article or most of the high text count as unmarked."""
+    lines, parents = page.lines, page.parents
+    if not any(page.marked):
+        return lines
+    weight = _weights(lines, _chosen(lines), parents)
+    under = list(page.marked)  # in a marked container
     for container, parent in enumerate(parents):  # parents come first
-        if parent in held:
+        under[container] = under[container] or (parent >= 0 and under[parent])
+    holds: set[int] = set()  # containers with lines of an article
+    plain = False  # an article that no mark concerns
+    for _, _, container, _ in lines:
+        path, inside = container, False
+        while path >= 0:
+            if inside:
+                holds.add(path)
+            if page.kinds[path] in CONTENT:
+                inside = True
+                plain = plain or not under[path]
+            path = parents[path]
+    left_out = [False] * len(parents)
+    for container, parent in enumerate(parents):
+        article = container in holds and not plain
+        marked = page.marked[container] and not article and 2 * weight[container] <= weight[0]
+        left_out[container] = marked or (parent >= 0 and left_out[parent])
+    return [line for line in lines if not left_out[line[2]]]
+
+
+def _region(lines: list[tuple], parents: list[int], kinds: list[str]) -> list[str]:
+    """The texts of the content region."""
+    held: set[int] = set()  # in any article
+    for container, parent in enumerate(parents):  # parents come first
+        if kinds[container] in CONTENT or parent in held:
+            held.add(container)
+    marked = [text for text, _, container, _ in lines if container in held]
+    if marked:
+        return marked
+    # the page marks no article: go down while one child holds nearly all of the high text
+    content = _chosen(lines)
+    weight = _weights(lines, content, parents)
+    children: list[list[int]] = [[] for _ in parents]
+    for child, parent in enumerate(parents):
+        if parent >= 0:
+            children[parent].append(child)
+    top = 0
+    while children[top]:
+        best = max(children[top], key=weight.__getitem__)
+        # stop above the blocks themselves: one long paragraph is not the article
+        if weight[best] < SHARE * weight[top] or not children[best]:
+            break
+        top = best
+    for container, parent in enumerate(parents):
+        if container == top or parent in held:
             held.add(container)
-    return held
+    return [text for text, _, container, _ in lines if container in held]
 
 
 def main_text(html: str | None) -> str:
@@ -181,8 +239,8 @@ def main_text(html: str | None) -> str:
     page.end_line()
     if not page.lines:
         return ""
-    region = _region(page.lines, page.parents, page.kinds)
-    return "\n".join(text for text, _, container in page.lines if container in region)
+    seen = _seen(page)
+    return "\n".join(_region(seen, page.parents, page.kinds)) if seen else ""
 
 
 def extract(pages: DataFrame, html: str = "html", text: str = "text") -> DataFrame:

@@ -329,6 +329,18 @@ def test_page_cases(source, want):
     assert html_text.main_text(source) == want
 
 
+LINES = ["A first long line of the story with many words in it.", "A second one that is just as long as the first line."]
+STORY = "".join(f"<p>{line}</p>" for line in LINES)
+SIDE = "<div class=widget><p>Buy this now.</p></div>"
+
+
+@pytest.mark.parametrize("name", ["layout has-sidebar", "no-sidebar", "comments-open", "overflow-hidden", "with-ads", "search-page", "sidebar", "widget"])
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+def test_pages_in_marked_wrappers(name, tag):
+    page = f"<body><div class='{name}'><{tag}>{STORY}</{tag}>{SIDE}</div><div class='comments'><p>Nice.</p></div></body>"
+    assert html_text.main_text(page) == "\n".join(LINES)
+
+
 def test_page_methods(odd):
     flat = html_text.smoothed(np.ones(7))
     assert np.allclose(flat, 1)
