@@ -197,6 +197,41 @@ def _seen(page: _Lines) -> list[tuple]:
     return [line for line in lines if not left_out[line[2]]]
 
 
+def _widened(lines: list[tuple], content: np.ndarray, parents: list[int], kinds: list[str], top: int) -> range:
+    """The lines of a container and of the content beside it, upwards while all that stands beside it is content."""
+    def child(container: int, ancestor: int) -> int | None:
+        """The ancestor's child that holds the container, or the ancestor itself."""
+        before = container
+        while container >= 0 and container != ancestor:
+            before, container = container, parents[container]
+        return before if container == ancestor else None
+
+    held = [i for i, line in enumerate(lines) if child(line[2], top) is not None]
+    first, last = held[0], held[-1]
+    while top and (top := parents[top]) >= 0:
+        groups: dict[tuple, list[int]] = {}
+        for i, line in enumerate(lines):
+            unit = child(line[2], top)
+            if unit is not None and not first <= i <= last:
+                groups.setdefault((unit, i if unit == top else -1), []).append(i)
+        good = {}
+        for group in groups.values():
+            fits = all(content[i] or (kinds[lines[i][2]] in BLOCKS and not lines[i][3]) for i in group)
+            firm = fits and any(content[i] or kinds[lines[i][2]] in HEADINGS for i in group)
+            good.update({i: (fits, firm) for i in group})
+        before, after = [i for i in good if i < first], [i for i in good if i > last]
+        # what stands between the region and a heading or high text belongs to it
+        first = min([i for i in before if good[i][1]], default=first)
+        last = max([i for i in after if good[i][1]], default=last)
+        while good.get(first - 1, (False,))[0]:
+            first -= 1
+        while good.get(last + 1, (False,))[0]:
+            last += 1
+        if any(not first <= i <= last for i in good):
+            break
+    return range(first, last + 1)
+
+
 def _region(lines: list[tuple], parents: list[int], kinds: list[str]) -> list[str]:
     """The texts of the content region."""
     held: set[int] = set()  # in any article
@@ -220,10 +255,7 @@ def _region(lines: list[tuple], parents: list[int], kinds: list[str]) -> list[st
         if weight[best] < SHARE * weight[top] or not children[best]:
             break
         top = best
-    for container, parent in enumerate(parents):
-        if container == top or parent in held:
-            held.add(container)
-    return [text for text, _, container, _ in lines if container in held]
+    return [lines[i][0] for i in _widened(lines, content, parents, kinds, top)]
 
 
 def main_text(html: str | None) -> str:

@@ -341,6 +341,16 @@ def test_pages_in_marked_wrappers(name, tag):
     assert html_text.main_text(page) == "\n".join(LINES)
 
 
+def test_pages_of_several_blocks():
+    long = "<p>" + "Long text of the body. " * 30 + "</p>"
+    body = ("Long text of the body. " * 30).strip()
+    page = f"<body><div>Site</div><div id=c><h1>Title</h1><div class=lead><p>The lead.</p></div><div class=body>{long}{long}</div></div></body>"
+    assert html_text.main_text(page) == f"Title\nThe lead.\n{body}\n{body}"
+    nested = f"<div><h1>T</h1><div>By me</div><div><h2>Sub</h2><div>{long}{long}</div><ul><li>One</ul></div></div><div><ul><li><a>Home</a></ul></div>"
+    assert html_text.main_text(nested) == f"T\nBy me\nSub\n{body}\n{body}\nOne"
+    assert html_text.main_text(f"<article>{long}</article><article><p>Short.</p></article><p>Out</p>") == f"{body}\nShort."
+
+
 def test_page_methods(odd):
     flat = html_text.smoothed(np.ones(7))
     assert np.allclose(flat, 1)
