@@ -1,10 +1,10 @@
-"""Licence scans: runs of lines against licence templates by Dice coefficient over word bigrams."""
+"""Licence scans: runs of words against licence templates by Dice coefficient over word bigrams."""
 
 from __future__ import annotations
 
-import math
 import re
-from collections import Counter
+from bisect import bisect_left
+from collections import Counter, defaultdict
 from functools import lru_cache
 
 import pyarrow as pa
@@ -94,8 +94,25 @@ def dice(a: Counter, b: Counter) -> float:
     return 2 * (a & b).total() / total if total else 0.0
 
 
+#: Words that tell a licence from one with nearly the same text.
+VARIANT = set("lesser library affero sharealike sa noncommercial nc noderivatives noderivs nd neither".split())
+#: Words after which a number is a version.
+BEFORE_VERSION = set("version v by sa nc nd attribution sharealike noncommercial noderivatives noderivs zero gpl lgpl agpl cc0".split())
+
+
+def marks(words: list[str]) -> frozenset[str]:
+    """The words of a text that tell versions and variants apart; '2.0' and '2' are the same version."""
+    found = VARIANT.intersection(words)
+    for i, word in enumerate(words[:-1]):
+        number = words[i + 1]
+        if word in BEFORE_VERSION and number.isdigit() and len(number) < 3:
+            minor = words[i + 2] if i + 2 < len(words) and words[i + 2] in ("1", "5") else ""
+            found.add(f"{number}.{minor}" if minor else number)
+    return frozenset(found)
+
+
 class Index:
-    """Templates by size, and the bigrams that any of them has."""
+    """Templates by size, and which of them have a bigram."""
 
     def __init__(self, templates: dict[str, list[str]], similarity: float):
         if not 0 < similarity <= 1:
@@ -107,57 +124,94 @@ class Index:
                 found = Counter(bigrams(normalised(text)))
                 if found:
                     self.all.append((found.total(), name, found))
-        self.known = {pair for _, _, found in self.all for pair in found}
-        self.words = {word for pair in self.known for word in pair if word}
-        sizes = [size for size, _, _ in self.all]
-        # the coefficient is at most 2 min / sum, so sizes bound which texts can reach the similarity
-        self.least = math.ceil(min(sizes) * similarity / (2 - similarity) - 1e-9)
-        self.most = math.floor(max(sizes) * (2 - similarity) / similarity + 1e-9)
-
-    def best(self, found: Counter) -> tuple[float, str] | None:
-        """The most similar template, the first in ties, if similar enough."""
-        size, at_best = found.total(), None
-        for other, name, template in self.all:
-            if 2 * min(size, other) < self.similarity * (size + other):
+        self.words = {word for _, _, found in self.all for pair in found for word in pair if word}
+        self.marks = []
+        self.ends: list[tuple[set, set]] = []  # first and last word of each template
+        self.holders: dict[tuple[str, str], list[int]] = defaultdict(list)
+        for number, (_, _, found) in enumerate(self.all):
+            for pair in found:
+                if all(pair):
+                    self.holders[pair].append(number)
+            self.ends.append(({b for a, b in found if not a}, {a for a, b in found if not b}))
+        self.marks = [marks(normalised(text)) for texts in templates.values() for text in texts if normalised(text)]
+
+
+def _at(template: int, words: list[str], hits: list[int], index: Index) -> list[tuple]:
+    """(-coefficient, -words, first word, last word, template) of the runs that are similar enough.
+
+    `hits` are the words that begin a bigram of the template. A run begins and
+    ends with a bigram or an end of the template; others are more similar without their first or last word.
+    """
+    size, _, bag = index.all[template]
+    firsts, lasts = index.ends[template]
+    similarity = index.similarity
+    # the coefficient is at most 2 min / sum, so sizes bound which runs can reach the similarity
+    most = int(size * (2 - similarity) / similarity + 1e-9) - 1  # words; a run has one bigram more
+    least = size * similarity / (2 - similarity) - 1e-9  # bigrams that are shared at least
+    known, finds = set(hits), []
+    starts = known | {i for hit in hits for i in (hit, hit + 1) if words[i] in firsts} if hits else {i for i, w in enumerate(words) if w in firsts}
+    for begin in sorted(starts):
+        stop = min(len(words), begin + most)
+        if bisect_left(hits, stop) - bisect_left(hits, begin) + 2 < least:
+            continue
+        opens = words[begin] in firsts
+        seen: Counter = Counter()
+        shared = 0
+        for end in range(begin, stop):
+            if end > begin and end - 1 in known:
+                pair = (words[end - 1], words[end])
+                seen[pair] += 1
+                shared += seen[pair] <= bag[pair]
+            closes = words[end] in lasts
+            if not closes and (end == begin or end - 1 not in known):
                 continue
-            value = dice(found, template)
-            if value >= self.similarity and (at_best is None or value > at_best[0]):
-                at_best = (value, name)
-        return at_best
+            value = 2 * (shared + opens + closes) / (size + end - begin + 2)
+            if value >= similarity:
+                finds.append((-value, begin - end, begin, end, template))
+    return finds
 
 
-def licences(text: str | None, index: Index) -> list[tuple[str, float, int, int]]:
-    """(licence, coefficient, first line, last line) of runs of lines, without overlaps, in order.
+def spans(text: str | None, index: Index) -> list[tuple[str, float, int, int, int, int]]:
+    """(licence, coefficient, first line, last line, first character, end) of runs of words, without overlaps, in order.
 
-    All runs of a template's size that begin and end in a line with a word of
-    some template are compared. Of overlapping
-    finds the more similar one stays, then the longer, then the earlier one.
+    Of overlapping finds the more similar one stays, then the longer, then the
+    earlier one, then the earlier template. Words that tell versions and
+    variants apart agree with the template's.
     """
     if not text:
         return []
-    lines = [normalised(line) for line in text.split("\n")]
-    own = [sum(map(index.words.__contains__, words)) for words in lines]
+    lower = text.lower()
+    if len(lower) != len(text):  # places must stay
+        lower = "".join(low if len(low := c.lower()) == 1 else c for c in text)
+    words = TOKEN.findall(lower)
+    hits: dict[int, list[int]] = defaultdict(list)
+    holders = index.holders
+    for place, pair in enumerate(zip(words, words[1:])):
+        for template in holders.get(pair, ()):
+            hits[template].append(place)
     finds = []
-    for begin, words in enumerate(lines):
-        if not own[begin]:
-            continue  # a run that begins with no template word is no better than the one without this line
-        run, shared = [], 0
-        for end in range(begin, len(lines)):
-            run += lines[end]
-            if len(run) + 1 > index.most:
-                break
-            shared += own[end]
-            # words bound the shared bigrams: each lies between two of them, or a word and an end
-            if not own[end] or len(run) + 1 < index.least or 2 * (shared + 1) < index.similarity * (len(run) + 1):
+    for template, (size, _, _) in enumerate(index.all):
+        if len(hits.get(template, ())) + 2 >= size * index.similarity / (2 - index.similarity) - 1e-9:
+            finds += _at(template, words, hits.get(template, []), index)
+    if not finds:
+        return []
+    places = [(m.start(), m.end()) for m in TOKEN.finditer(lower)]
+    chosen: list[tuple] = []
+    for value, _, begin, end, template in sorted(finds):
+        if all(end < b or e < begin for *_, b, e in chosen):
+            # a clause that comes next belongs to another variant
+            if marks(words[begin : end + 1]) != index.marks[template] or ("neither" in words[end + 1 : end + 7] and "neither" not in index.marks[template]):
                 continue
-            found = index.best(Counter(bigrams(run)))
-            if found:
-                finds.append((-found[0], begin - end, begin, end, found[1]))
-    chosen = []
-    for value, _, begin, end, name in sorted(finds):
-        if all(end < b or e < begin for _, _, b, e in chosen):
-            chosen.append((name, -value, begin, end))
-    return sorted(chosen, key=lambda x: x[2])
+            chosen.append((index.all[template][1], -value, begin, end))
+    return [
+        (name, value, text.count("\n", 0, places[begin][0]), text.count("\n", 0, places[end][0]), places[begin][0], places[end][1])
+        for name, value, begin, end in sorted(chosen, key=lambda x: x[2])
+    ]
+
+
+def licences(text: str | None, index: Index) -> list[tuple[str, float, int, int]]:
+    """(licence, coefficient, first line, last line) of `spans`."""
+    return [found[:4] for found in spans(text, index)]
 
 
 @lru_cache(maxsize=4)
@@ -168,23 +222,25 @@ def _index(templates: tuple, similarity: float) -> Index:
 FOUND = T.ArrayType(T.StructType([
     T.StructField("licence", T.StringType()), T.StructField("dice", T.DoubleType()),
     T.StructField("first_line", T.IntegerType()), T.StructField("last_line", T.IntegerType()),
+    T.StructField("begin", T.IntegerType()), T.StructField("end", T.IntegerType()),
 ]))
 
 
 def scan(
     docs: DataFrame, text: str = "text", found: str = "licences", templates: dict[str, list[str]] | None = None, similarity: float = SIMILARITY
 ) -> DataFrame:
-    """Add the licences in each whole text: licence, coefficient, first and last line (from 0).
+    """Add the licences in each whole text: licence, coefficient, first and last line and the characters
+    from `begin` to before `end` (all from 0).
 
     Null and empty texts have none. Repeated rows have the same ones each,
     other columns pass through, an empty table stays empty. Templates are
     named lists of texts; they are sent to the tasks with the plan.
     """
     fixed = tuple((name, tuple(texts)) for name, texts in (TEMPLATES if templates is None else templates).items())
-    kind = pa.list_(pa.struct([("licence", pa.string()), ("dice", pa.float64()), ("first_line", pa.int32()), ("last_line", pa.int32())]))
+    kind = pa.list_(pa.struct([("licence", pa.string()), ("dice", pa.float64()), *[(n, pa.int32()) for n in FOUND.elementType.names[2:]]]))
 
     def scanned(texts: list) -> list[pa.Array]:
         index = _index(fixed, similarity)
-        return [pa.array([[dict(zip(("licence", "dice", "first_line", "last_line"), x)) for x in licences(t, index)] for t in texts], kind)]
+        return [pa.array([[dict(zip(FOUND.elementType.names, x)) for x in spans(t, index)] for t in texts], kind)]
 
     return adding(docs, text, [T.StructField(found, FOUND)], scanned)

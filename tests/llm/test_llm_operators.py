@@ -137,6 +137,16 @@ def test_licences_pruning_changes_nothing():
     assert [x[0] for x in licences.licences(text, index)] == ["MIT", "MIT"]
 
 
+@pytest.mark.parametrize("text", [
+    "Copyright 2020 Foo Inc. Licensed under the MIT License.", "Licensed under the MIT License. See LICENSE for details.",
+    "words of all kinds go here " * 200 + "Licensed under the MIT License. " + "and go on without any line break " * 200,
+    "İ" * 5 + " x\ny Licensed under\nthe MIT License, z",
+])
+def test_licences_inside_lines(text):
+    found, = licences.spans(text, licences.Index(licences.TEMPLATES, 0.8))
+    assert found[:2] == ("MIT", 1.0) and re.fullmatch(r"Licensed under\sthe MIT License", text[found[4] : found[5]])
+
+
 def test_licences_odd_rows(odd):
     rows = licences.scan(odd).collect()
     assert len(rows) == len(ODD) and not any(r["licences"] for r in rows)
