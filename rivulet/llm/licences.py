@@ -14,6 +14,30 @@ from rivulet.llm.common import adding
 
 SIMILARITY = 0.8
 
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+    "conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+    "following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+    "the following disclaimer in the documentation and/or other materials provided with the distribution."
+)
+_NEITHER = (
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived "
+    "from this software without specific prior written permission."
+)
+_BSD_END = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT "
+    "NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL "
+    "THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES "
+    "(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS "
+    "INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE "
+    "OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_GNU = (
+    "This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {title} Public License as "
+    "published by the Free Software Foundation, {version}. This {what} is distributed in the hope that it will be useful, but WITHOUT "
+    "ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {title} Public "
+    "License for more details."
+)
 # What licences ask their users to state, and short notices of them.
 TEMPLATES: dict[str, list[str]] = {
     "Apache-2.0": [
@@ -49,12 +73,11 @@ TEMPLATES: dict[str, list[str]] = {
         "This work is licensed under the GNU General Public License, version 2.",
         "Licensed under the GNU General Public License, version 2.",
     ],
-    "BSD": [
-        "Licensed under the BSD License.",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
-        "conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the "
-        "following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
-        "the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "BSD": ["Licensed under the BSD License."],
+    "BSD-2-Clause": ["Licensed under the BSD 2-Clause License.", _BSD, _BSD + " " + _BSD_END],
+    "BSD-3-Clause": [
+        "Licensed under the BSD 3-Clause License.", "Licensed under the 3-clause BSD License.", _BSD + " " + _NEITHER,
+        _BSD + " " + _NEITHER + " " + _BSD_END,
     ],
     "ISC": [
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
@@ -64,6 +87,12 @@ TEMPLATES: dict[str, list[str]] = {
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed "
         "with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
     ],
+    "Unlicense": [
+        "This is free and unencumbered software released into the public domain.",
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, "
+        "sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or "
+        "non-commercial, and by any means.",
+    ],
     "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
     "CC-BY-SA-4.0": [
         "Licensed under CC BY-SA 4.0.",
@@ -75,6 +104,31 @@ TEMPLATES: dict[str, list[str]] = {
     ],
     "CC0-1.0": ["Licensed under CC0 1.0.", "To the extent possible under law, the author has waived all copyright to this work."],
 }
+
+for _name, _title, _version in [
+    ("GPL-2.0", "General", "2"), ("GPL-3.0", "General", "3"), ("LGPL-2.0", "Library General", "2"), ("LGPL-2.1", "Lesser General", "2.1"),
+    ("LGPL-3.0", "Lesser General", "3"), ("AGPL-3.0", "Affero General", "3"),
+]:
+    _texts = TEMPLATES.setdefault(_name, [])
+    _texts += [
+        text for text in (
+            f"This work is licensed under the GNU {_title} Public License, version {_version}.",
+            f"Licensed under the GNU {_title} Public License, version {_version}.",
+            *[_GNU.format(what=what, title=_title, version=version) for what in ("program", "library") for version in (
+                f"either version {_version} of the License, or (at your option) any later version", f"version {_version} of the License")],
+        ) if text not in _texts
+    ]
+for _version in ("1.0", "2.0", "2.5", "3.0", "4.0"):
+    for _code, _title in [
+        ("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-NC", "Attribution-NonCommercial"), ("BY-ND", "Attribution-NoDerivatives"),
+        ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"), ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
+    ]:
+        _texts = TEMPLATES.setdefault(f"CC-{_code}-{_version}", [])
+        _kind = "International" if _version == "4.0" else "Unported" if _version == "3.0" else "Generic"
+        _texts += [text for text in (
+            f"Licensed under CC {_code} {_version}.", f"This work is licensed under a Creative Commons {_title} {_version} {_kind} License.",
+            *([] if _version == "4.0" else [f"This work is licensed under a Creative Commons {_title} {_version} License."]),
+        ) if text not in _texts]
 TOKEN = re.compile(r"[a-z]+|[0-9]+")
 
 
@@ -95,7 +149,7 @@ def dice(a: Counter, b: Counter) -> float:
 
 
 #: Words that tell a licence from one with nearly the same text.
-VARIANT = set("lesser library affero sharealike sa noncommercial nc noderivatives noderivs nd neither".split())
+VARIANT = set("lesser affero sharealike sa noncommercial nc noderivatives noderivs nd neither".split())
 #: Words after which a number is a version.
 BEFORE_VERSION = set("version v by sa nc nd attribution sharealike noncommercial noderivatives noderivs zero gpl lgpl agpl cc0".split())
 
@@ -104,6 +158,8 @@ def marks(words: list[str]) -> frozenset[str]:
     """The words of a text that tell versions and variants apart; '2.0' and '2' are the same version."""
     found = VARIANT.intersection(words)
     for i, word in enumerate(words[:-1]):
+        if word == "library" and words[i + 1] == "general":
+            found.add(word)
         number = words[i + 1]
         if word in BEFORE_VERSION and number.isdigit() and len(number) < 3:
             minor = words[i + 2] if i + 2 < len(words) and words[i + 2] in ("1", "5") else ""

@@ -147,6 +147,30 @@ def test_licences_inside_lines(text):
     assert found[:2] == ("MIT", 1.0) and re.fullmatch(r"Licensed under\sthe MIT License", text[found[4] : found[5]])
 
 
+GNU = (
+    "This {0} is free software; you can redistribute it and/or modify it under the terms of the GNU {1} Public License as published by the "
+    "Free Software Foundation; either version {2} of the License, or (at your option) any later version.\n\nThis {0} is distributed in the hope "
+    "that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. "
+    "See the GNU {1} Public License for more details.")
+
+
+@pytest.mark.parametrize("text, name", [
+    (GNU.format("program", "General", "2"), "GPL-2.0"), (GNU.format("program", "General", "3"), "GPL-3.0"),
+    (GNU.format("library", "Lesser General", "2.1"), "LGPL-2.1"), (GNU.format("program", "Lesser General", "3"), "LGPL-3.0"),
+    (GNU.format("library", "Library General", "2"), "LGPL-2.0"), (GNU.format("program", "Affero General", "3"), "AGPL-3.0"),
+    ("Licensed under the GNU Lesser General Public License, version 3.", "LGPL-3.0"), ("Licensed under the GNU General Public License, version 3.0.", "GPL-3.0"),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License.", "CC-BY-SA-3.0"),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0"),
+    ("Licensed under CC BY 4.0.", "CC-BY-4.0"), ("Licensed under CC BY-NC-SA 4.0.", "CC-BY-NC-SA-4.0"), ("Licensed under CC BY-NC-ND 2.5.", "CC-BY-NC-ND-2.5"),
+    (licences._BSD + " Neither the name of Foo Inc. nor the names of its staff may be used to endorse or promote products derived "
+     "from this software without specific prior written permission. " + licences._BSD_END, "BSD-3-Clause"),
+    (licences._BSD + "\n" + licences._BSD_END, "BSD-2-Clause"),
+])
+def test_licences_that_are_alike(text, name):
+    index = licences.Index(licences.TEMPLATES, 0.8)
+    assert [x[0] for x in licences.spans("Some words of mine. " + text + " More words of mine.", index)] == [name]
+
+
 def test_licences_odd_rows(odd):
     rows = licences.scan(odd).collect()
     assert len(rows) == len(ODD) and not any(r["licences"] for r in rows)
