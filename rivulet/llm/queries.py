@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rivulet.llm import bpe, html_text, kdtree, lattice, licences, line_dedup, mixing, quality, secrets, simhash
+from rivulet.llm import (
+    bpe, collocations, html_text, infill, kdtree, lattice, licences, line_dedup, mixing, quality, secrets, simhash, weighted,
+)
 from rivulet.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,3 +118,55 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_lattice")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return lattice.near_duplicates(read(spark, folder, "embeddings", "vec_id", "embedding"))
+
+
+#: The cuts follow from digests; texts come back from their new form, so their digest is that of the text.
+INFILL_SQL = """WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+c AS (SELECT *, ('0x' || substr(h, 1, 8))::BIGINT % (n + 1) AS a, ('0x' || substr(h, 9, 8))::BIGINT % (n + 1) AS b,
+  ('0x' || substr(h, 17, 8))::BIGINT % 100 AS c, ('0x' || substr(h, 25, 8))::BIGINT % 100 AS d FROM d),
+f AS (SELECT doc_id, t, n, least(a, b) AS x, greatest(a, b) AS y,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR c >= 90 THEN 'plain' WHEN d < 20 THEN 'spm' ELSE 'psm' END AS form FROM c),
+p AS (SELECT *, substr(t, 1, x) AS pre, substr(t, x + 1, y - x) AS mid, substr(t, y + 1) AS suf FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN x END AS prefix_chars, CASE WHEN form <> 'plain' THEN y - x END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM p"""
+
+
+@query("op11_infill", INFILL_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    cut = infill.transform(read(spark, folder, "documents", "doc_id", "text").select("doc_id", "text"))
+    return cut.select(
+        "doc_id", "n", "form", F.col("prefix_units").alias("prefix_chars"), F.col("middle_units").alias("middle_chars"),
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(infill.restored(), 256).alias("restored_sha256"),
+    )
+
+
+@query("op12_fingerprints")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return weighted.along(read(spark, folder, "documents", "doc_id", "text"))
+
+
+COLLOCATIONS_SQL = r"""WITH t AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM t),
+o AS (SELECT lang, unnest(ws) AS w1, unnest(ws[2:]) AS w2, unnest(ws[3:]) AS w3 FROM w),
+u AS (SELECT lang, w1, count(*) AS f FROM o WHERE w1 IS NOT NULL GROUP BY ALL),
+b AS (SELECT lang, w1, w2, count(*) AS f FROM o WHERE w2 IS NOT NULL GROUP BY ALL),
+c AS (SELECT lang, w1, w2, w3, count(*) AS f FROM o WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM u GROUP BY lang),
+longer AS (SELECT lang, w1, w2, max(f) AS f FROM (SELECT lang, w1, w2, f FROM c UNION ALL SELECT lang, w2, w3, f FROM c) GROUP BY ALL),
+two AS (SELECT b.lang, b.w1 || ' ' || b.w2 AS phrase, b.f AS a, x.f AS l, y.f AS r, 1 AS k FROM b JOIN u x ON x.lang = b.lang AND x.w1 = b.w1
+  JOIN u y ON y.lang = b.lang AND y.w1 = b.w2 LEFT JOIN longer g ON g.lang = b.lang AND g.w1 = b.w1 AND g.w2 = b.w2
+  WHERE b.f >= 10 AND 100 * coalesce(g.f, 0) < 50 * b.f),
+three AS (SELECT c.lang, c.w1 || ' ' || c.w2 || ' ' || c.w3 AS phrase, c.f AS a, x.f AS l, y.f AS r, 1 AS k FROM c
+    JOIN u x ON x.lang = c.lang AND x.w1 = c.w1 JOIN b y ON y.lang = c.lang AND y.w1 = c.w2 AND y.w2 = c.w3
+  UNION ALL SELECT c.lang, c.w1 || ' ' || c.w2 || ' ' || c.w3, c.f, x.f, y.f, 2 FROM c
+    JOIN b x ON x.lang = c.lang AND x.w1 = c.w1 AND x.w2 = c.w2 JOIN u y ON y.lang = c.lang AND y.w1 = c.w3),
+s AS (SELECT *, ((1000000::HUGEINT * a * a) // (l::HUGEINT * r))::BIGINT AS score FROM (FROM two UNION ALL FROM three)),
+best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS "rank" FROM best)
+SELECT lang, "rank", phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE "rank" <= 2000"""
+
+
+@query("op13_collocations", COLLOCATIONS_SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(read(spark, folder, "documents", "lang", "text"))
