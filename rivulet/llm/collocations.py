@@ -25,7 +25,7 @@ from rivulet.llm.words import ODD, U, mixed, word_hashes
 from rivulet.operators.ordered import latest_per_key, top_per_group
 
 #: Bytes of text that a task counts at once.
-BLOCK = 8 << 20
+BLOCK = 4 << 20
 #: Frequent runs are marked in a table of two to the power of this many bits, whatever the corpus.
 BITS = 27
 
@@ -84,7 +84,7 @@ def _counted(data: bytes, skip: int, first: int, last: int, lang: str, bits: np.
             totals = np.bincount(here, minlength=len(found)) - np.bincount(here[at < skip - count + 1], minlength=len(found))
             some = np.flatnonzero(totals)
             yield count, phrases.take(pa.array(some)), totals[some]
-        run = np.full(len(codes) - count + 1, -1)
+        run = np.full(max(0, n - count + 1), -1)
         run[at] = here
         if bits is not None and count < last:
             if count > 1:
@@ -113,25 +113,21 @@ def _blocks(text: bytes, most: int, overlap: int) -> Iterator[tuple[bytes, int]]
     Blocks end between pieces; a piece that is longer than a block is cut
     between words, and its next block repeats `overlap` of them.
     """
-    skip = 0
-    while len(text) > most:
-        end = text.rfind(b"\n", 0, most)
-        if end > 0:
-            yield text[:end], skip
-            text, skip = text[end:], 0
-            continue
-        end = text.rfind(b" ", 0, most)
-        if end <= 0 or len(text[:end].split()) <= skip:  # a word longer than a block
-            ends = [at for at in (text.find(b"\n", most), text.find(b" ", most)) if at >= 0]
-            if not ends:
-                break
-            end = min(ends)
-        last = text[:end].rsplit(None, overlap)[-overlap:] if overlap else []
-        if len(text[:end].split(None, overlap)) <= overlap:
-            last = text[:end].split()
-        yield text[:end], skip
-        text, skip = b" ".join([*last, text[end:]]), len(last)
-    yield text, skip
+    begin, carried = 0, []
+    while begin < len(text):
+        end, limit = len(text), begin + most
+        if limit < len(text):
+            end = text.rfind(b"\n", begin + 1, limit)
+            if end < 0:
+                end = text.rfind(b" ", begin + 1, limit)
+            if end < 0:  # a word longer than a block
+                end = min((at for at in (text.find(b"\n", limit), text.find(b" ", limit)) if at >= 0), default=len(text))
+        block = b" ".join([*carried, text[begin:end]])
+        yield block, len(carried)
+        carried = []
+        if overlap and text[end : end + 1] == b" ":
+            carried = block[block.rfind(b"\n") + 1 :].rsplit(None, overlap)[-overlap:]
+        begin = end
 
 
 def _block_counts(docs: DataFrame, first: int, last: int, least: int, bits=None, most: int = BLOCK) -> DataFrame:
