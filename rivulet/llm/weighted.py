@@ -11,25 +11,26 @@ the smaller weights over the sum of the larger ones.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from rivulet.llm.common import adding
-from rivulet.llm.words import ODD, U, mixed, word_hashes
+from rivulet.llm.words import ODD, U, mixed
 
 #: Samples of a fingerprint, and words of a term.
 SAMPLES, WORDS = 128, 1
 #: Bytes of a text that are parted into words at once, terms that arrive at once, terms that are drawn for at once,
 #: and terms whose numbers a worker keeps.
-BLOCK, TERMS, DRAWN, KEPT = 1 << 20, 1024, 64, 1 << 16
+BLOCK, TERMS, DRAWN, KEPT = 1 << 20, 1024, 64, 1 << 17
 
 #: Exponential quantiles; sums of two are gamma numbers of shape two. A table, so that all machines draw alike.
 _EXPONENTIAL = (-np.log((np.arange(1 << 16) + 0.5) / (1 << 16))).astype(np.float32)
-_LOW = U(0xFFFF)
 
 
 def _blocks(data: bytes) -> Iterator[bytes]:
@@ -47,96 +48,95 @@ def _blocks(data: bytes) -> Iterator[bytes]:
     yield data[begin:]
 
 
-def terms(text: str, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the text's runs of so many words, ascending, and how often each occurs. Shorter texts are one run."""
-    parts, carried = [], np.empty(0, np.uint64)
-    for block in _blocks(text.encode("utf-8", "surrogatepass")):
-        hashes = np.concatenate([carried, word_hashes(block)])
-        runs = _runs(hashes, words)
-        parts.append(np.unique(runs, return_counts=True))
-        carried = hashes[len(runs):]
-    if len(parts) == 1:
-        found, counts = parts[0]
-    else:
-        every = np.concatenate([p[0] for p in parts])
-        found, where = np.unique(every, return_inverse=True)
-        counts = np.bincount(where, np.concatenate([p[1] for p in parts]), len(found)).astype(np.int64)
-    if not len(found) and len(carried):
-        return _runs(carried, len(carried)), np.ones(1, np.int64)
-    return found, counts
-
-
-def _runs(hashes: np.ndarray, words: int) -> np.ndarray:
-    count = len(hashes) - words + 1
-    if count < 1:
-        return np.empty(0, np.uint64)
-    runs = hashes[:count]
-    for i in range(1, words):
-        runs = mixed(runs * ODD[0] + hashes[i : count + i])
-    return runs
+def terms(text: str, words: int = WORDS) -> dict[bytes, int]:
+    """The text's runs of so many words, joined by spaces, and how often each occurs. Shorter texts are one run.
+
+    White space parts words; A-Z count as a-z.
+    """
+    found: Counter[bytes] = Counter()
+    carried: list[bytes] = []
+    for block in _blocks(text.encode("utf-8", "surrogatepass").lower()):
+        carried += block.split()
+        if words > 1:
+            found.update(map(b" ".join, zip(*[carried[i:] for i in range(words)])))
+            carried = carried[max(0, len(carried) - words + 1):]
+        else:
+            found.update(carried)
+            carried = []
+    if not found and carried:
+        found[b" ".join(carried)] = 1
+    return found
 
 
 class Sampler:
-    """Draws samples of weighted terms. The numbers of the terms seen last are kept, in a table of bounded size."""
+    """Draws samples of weighted terms. The numbers of the terms used most are kept, in a table of bounded size."""
 
     def __init__(self, samples: int = SAMPLES, kept: int = KEPT):
         self.salts = mixed(np.arange(1, samples + 1, dtype=np.uint64) * ODD[0])
         self.columns = np.arange(samples)
         self.kept = kept
-        self.rows: dict[int, int] = {}
-        self.uses = np.zeros(kept, np.int64)
+        self.places: dict[bytes, int] = {}
+        self.uses, self.names = np.zeros(kept, np.int64), np.zeros(kept, np.uint64)
         self.rate, self.shift, self.start = (np.empty((kept, samples), np.float32) for _ in range(3))
 
-    def _rows(self, hashes: np.ndarray) -> np.ndarray:
+    def _rows(self, names: list[bytes]) -> np.ndarray:
         """Where the table has the numbers of these terms, after drawing for those that it lacks."""
-        names = hashes.tolist()
-        at = np.array([self.rows.get(name, -1) for name in names], np.int64)
+        places = self.places
+        at = np.array([places.get(name, -1) for name in names], np.int64)
         new = np.flatnonzero(at < 0)
-        if len(self.rows) + len(new) > self.kept:
-            self._forget()
-            return self._rows(hashes)
-        begin = len(self.rows)
-        at[new] = np.arange(begin, begin + len(new))
-        for i in new.tolist():
-            self.rows[names[i]] = len(self.rows)
-        for some in range(0, len(new), DRAWN):
-            self._fill(begin + some, hashes[new[some : some + DRAWN]])
-        self.uses[begin : begin + len(new)] = 0
+        if len(new):
+            begin, end = len(places), len(places) + len(new)
+            if end > self.kept:
+                self._forget()
+                return self._rows(names)
+            at[new] = np.arange(begin, end)
+            for row, i in enumerate(new.tolist(), begin):
+                places[names[i]] = row
+            self.names[begin:end] = [xxhash.xxh64_intdigest(names[i]) for i in new.tolist()]
+            self.uses[begin:end] = 0
+            for some in range(begin, end, DRAWN):
+                self._fill(some, min(some + DRAWN, end))
         self.uses[at] += 1
         return at
 
     def _forget(self) -> None:
         """Leave the half of the table that was used most."""
-        names, size = list(self.rows), self.kept // 2
+        names, size = list(self.places), self.kept // 2
         left = np.sort(np.argsort(-self.uses[: len(names)], kind="stable")[:size])
-        for table in (self.rate, self.shift, self.start):
+        for table in (self.rate, self.shift, self.start, self.names):
             table[: len(left)] = table[left]
         self.uses[: len(left)] = self.uses[left] // 2
-        self.rows = {names[row]: i for i, row in enumerate(left.tolist())}
-
-    def _fill(self, row: int, hashes: np.ndarray) -> None:
-        bits = mixed(hashes[:, None] ^ self.salts)
-        of = lambda shift: _EXPONENTIAL.take(((bits >> U(shift)) & _LOW).view(np.int64))
-        rate, lead = of(0) + of(16), np.log(of(32).astype(np.float64) + of(48)).astype(np.float32)
-        shift = ((bits * ODD[0]) >> U(40)).astype(np.float32) / np.float32(1 << 24)
-        rows = slice(row, row + len(hashes))
-        self.rate[rows], self.shift[rows], self.start[rows] = rate, shift, lead - rate * (np.float32(1) - shift)
-
-    def draw(self, hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """The samples in 16 bits each, never 0; all 0 if there are no terms. Of equal arrivals the smaller hash counts."""
+        self.places = {names[row]: i for i, row in enumerate(left.tolist())}
+
+    def _fill(self, begin: int, end: int) -> None:
+        """Draw the gamma numbers, as sums of exponential ones, and the uniform number of some rows."""
+        bits = mixed(self.names[begin:end, None] ^ self.salts)
+        parts = _EXPONENTIAL.take(bits.view(np.uint16).reshape(*bits.shape, 4))
+        rate = parts[..., 0] + parts[..., 1]
+        # in double precision, so that machines whose logarithms differ in the last place still round alike
+        lead = np.log(parts[..., 2].astype(np.float64) + parts[..., 3])
+        bits *= ODD[0]
+        bits >>= U(40)
+        shift = bits.astype(np.float32)
+        shift *= np.float32(1 / (1 << 24))
+        self.rate[begin:end], self.shift[begin:end] = rate, shift
+        self.start[begin:end] = lead.astype(np.float32) - rate * (np.float32(1) - shift)
+
+    def draw(self, weights: dict[bytes, int]) -> np.ndarray:
+        """The samples in 16 bits each, never 0; all 0 if there are no terms. Of equal arrivals the first term in order counts."""
         best = np.full(len(self.salts), np.inf, np.float32)
         chosen = np.zeros(len(self.salts), np.uint64)
-        step = min(TERMS, self.kept // 2)
-        for at in range(0, len(hashes), step):
-            part, rows = hashes[at : at + step], self._rows(hashes[at : at + step])
+        terms, step = sorted(weights), min(TERMS, self.kept // 2)
+        for at in range(0, len(terms), step):
+            part = terms[at : at + step]
+            rows = self._rows(part)
             arrival = self.start[rows]
-            level = np.zeros(0)
-            often = np.flatnonzero(counts[at : at + step] > 1)
+            counts = np.array([weights[x] for x in part], np.float64)
+            often = np.flatnonzero(counts > 1)
+            level = np.zeros((0, len(self.salts)))
             if len(often):
-                weight = np.log(counts[at : at + step][often, None]).astype(np.float32)
-                rate = self.rate[rows[often]]
-                level = np.floor(weight / rate + self.shift[rows[often]])
-                arrival[often] -= rate * level
+                level = np.floor(np.log(counts[often, None]).astype(np.float32) / self.rate[rows[often]] + self.shift[rows[often]])
+                arrival[often] -= self.rate[rows[often]] * level
             first = arrival.argmin(axis=0)
             earlier = arrival[first, self.columns]
             sooner = np.flatnonzero(earlier < best)
@@ -144,16 +144,16 @@ class Sampler:
             best[sooner] = earlier[sooner]
             levels = np.zeros(len(sooner), np.uint64)
             if len(often):
-                place = np.searchsorted(often, first)
-                has = np.flatnonzero(often[np.minimum(place, len(often) - 1)] == first)
+                place = np.minimum(np.searchsorted(often, first), len(often) - 1)
+                has = np.flatnonzero(often[place] == first)
                 levels[has] = level[place[has], sooner[has]].astype(np.uint64)
-            chosen[sooner] = mixed(part[first] + levels * ODD[0])
-        if not len(hashes):
+            chosen[sooner] = mixed(self.names[rows[first]] + levels * ODD[0])
+        if not terms:
             return np.zeros(len(self.salts), np.uint16)
         return np.maximum(chosen >> U(48), U(1)).astype(np.uint16)
 
     def sign(self, text: str | None, words: int = WORDS) -> np.ndarray:
-        return self.draw(*terms(text or "", words))
+        return self.draw(terms(text or "", words))
 
 
 def written(samples: np.ndarray) -> str:
