@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rivulet.operators.ordered import by_position, latest_per_key, scan, top_per_group
+from rivulet.operators.ordered import latest_per_key, scan, top_per_group
 
 # Operation codes of a change-table log (fixed values).
 DELETED, INSERTED, BEFORE, AFTER = 1, 2, 3, 4
@@ -48,12 +48,12 @@ def change_events(old: DataFrame, new: DataFrame, keys: Sequence[str], include_b
 
 
 def pair_updates(log: DataFrame, table: str = "table", lsn: str = "lsn", seq: str = "seq", operation: str = "operation",
-                 segment: Column | None = None) -> DataFrame:
+                 ranges: int | None = None) -> DataFrame:
     """Envelopes from a change log, where an update is a `before` row followed by its `after` row."""
     values = [c for c in log.columns if c not in (table, lsn, seq, operation)]
     row = F.struct(*values)
     old = F.when(F.col(operation) == BEFORE, row)
-    seen = scan(log, [table], [lsn, seq], previous={"__old": old}, segment=by_position(lsn) if segment is None else segment)
+    seen = scan(log, [table], [lsn, seq], previous={"__old": old}, ranges=ranges)
     code = F.col(operation)
     return seen.where(code != BEFORE).select(
         table, lsn, seq,

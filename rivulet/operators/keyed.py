@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from rivulet.operators.ordered import latest_per_key, scan
 
@@ -24,10 +24,10 @@ def latest(df: DataFrame, key: str = "key", order: Sequence[str] = ("offset",),
 
 
 def on_change(df: DataFrame, key: Sequence[str], order: str, cols: Sequence[str], emit_first: bool = True,
-              segment: Column | None = None) -> DataFrame:
+              ranges: int | None = None) -> DataFrame:
     """Observations whose watched columns differ from the key's previous observation."""
     watched = F.struct(*cols)
-    seen = scan(df, list(key), [order], previous={"__before": watched}, segment=segment)
+    seen = scan(df, list(key), [order], previous={"__before": watched}, ranges=ranges)
     first = F.col("__before").isNull()
     changed = ~first & ~F.col("__before").eqNullSafe(watched)
     return seen.where(changed | first if emit_first else changed).drop("__before")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rivulet.operators.ordered import by_position, latest_per_key, scan, top_per_group
+from rivulet.operators.ordered import latest_per_key, scan, top_per_group
 
 # Names that mark topics and groups of the replication itself (fixed values).
 INTERNAL_SUFFIXES = (".heartbeats", ".checkpoints.internal", ".offset-syncs.internal")
@@ -86,7 +86,7 @@ PARTITION = ("cluster", "topic", "partition")
 
 
 def translate(offsets: DataFrame, mappings: DataFrame, by: Sequence[str] = PARTITION, keep: int | None = None,
-              segment_rows: int = 1_000_000) -> DataFrame:
+              ranges: int | None = None) -> DataFrame:
     """Target offsets of source offsets (column `offset` -> `target_offset`).
 
     An exact mapping counts; between two mappings the offset is interpolated,
@@ -94,22 +94,22 @@ def translate(offsets: DataFrame, mappings: DataFrame, by: Sequence[str] = PARTI
     kept. Without mappings the result is null. `keep` uses only the newest
     mappings of each partition.
 
-    Offsets and mappings share one ordered scan per direction, split by offset,
-    so neither a hot partition nor the pairs of offset and mapping pile up.
+    Offsets and mappings lie in one order, through one exchange; each range of
+    it is walked up and down for the neighbours, so neither a hot partition nor
+    the pairs of offset and mapping pile up.
     """
     by = list(by)
-    known = mappings.groupBy(*by, "source_offset").agg(F.max("target_offset").alias("target_offset"))
+    known = mappings
     if keep is not None:
-        known = top_per_group(known, by, [F.desc("source_offset")], keep).drop("rank")
-    marks = known.select(*by, F.col("source_offset").alias("offset"), F.col("source_offset").alias("__source"),
-                         F.col("target_offset").alias("__target"), F.lit(0).alias("__asked"))
+        newest = mappings.groupBy(*by, "source_offset").agg(F.max("target_offset").alias("target_offset"))
+        known = top_per_group(newest, by, [F.desc("source_offset")], keep).drop("rank")
+    point = F.struct(F.col("source_offset").alias("source"), F.col("target_offset").alias("target"))
+    # of several mappings of one offset the highest counts: it is the nearest to the offsets asked for, going either way
+    marks = known.select(*by, F.col("source_offset").alias("offset"), point.alias("__point"), F.lit(0).alias("__asked"))
     both = offsets.withColumn("__asked", F.lit(1)).unionByName(marks, allowMissingColumns=True)
-    # at one offset the mapping comes before the offsets asked for, in both directions
-    both = both.withColumns({"__up": F.col("offset") * 2 + F.col("__asked"), "__down": F.col("offset") * 2 - F.col("__asked")})
-    segment = by_position("offset", segment_rows)
-    point = {"source": F.col("__source"), "target": F.col("__target")}
-    lower = scan(both, by, ["__up"], latest={f"__low_{n}": c for n, c in point.items()}, segment=segment)
-    found = scan(lower, by, ["__down"], latest={f"__high_{n}": c for n, c in point.items()}, segment=segment, descending=True)
+    found = scan(both, by, ["offset", "__asked", "__point"], latest={"__low": F.col("__point")}, following={"__high": F.col("__point")}, ranges=ranges)
+    found = found.select("*", F.col("__low.source").alias("__low_source"), F.col("__low.target").alias("__low_target"),
+                         F.col("__high.source").alias("__high_source"), F.col("__high.target").alias("__high_target"))
 
     at, low_source, low, high_source, high = (
         F.col(c) for c in ("offset", "__low_source", "__low_target", "__high_source", "__high_target"))
@@ -137,9 +137,8 @@ def lag(ends: DataFrame, commits: DataFrame) -> DataFrame:
     return commits.join(ends, ["topic", "partition"]).withColumn("lag", F.col("end_offset") - F.col("offset"))
 
 
-def heartbeat_gaps(df: DataFrame, ts: str = "timestamp", received: str | None = None, segment_ms: int = 86_400_000) -> DataFrame:
+def heartbeat_gaps(df: DataFrame, ts: str = "timestamp", received: str | None = None, ranges: int | None = None) -> DataFrame:
     """Heartbeats with the gap to the one before and, if known, their latency (all in milliseconds)."""
-    seen = scan(df, ["source_cluster", "target_cluster"], [ts], previous={"__before": F.col(ts)},
-                segment=by_position(ts, segment_ms))
+    seen = scan(df, ["source_cluster", "target_cluster"], [ts], previous={"__before": F.col(ts)}, ranges=ranges)
     out = seen.withColumn("gap_ms", F.col(ts) - F.col("__before")).drop("__before")
     return out.withColumn("latency_ms", F.col(received) - F.col(ts)) if received else out

@@ -16,31 +16,45 @@ def skewed(spark, n=600, seed=1):
     return spark.createDataFrame(rows, "k string, at long, v string, n int").repartition(7)
 
 
-@pytest.mark.parametrize("width", [1, 50, 10_000])
-@pytest.mark.parametrize("descending", [False, True])
-def test_scan_equals_window(spark, width, descending):
-    df = skewed(spark)
-    got = O.scan(df, ["k"], ["at"], running={"total": F.col("n")}, previous={"before": F.col("v")}, latest={"known": F.col("v")},
-                 highest={"peak": F.col("n")}, segment=O.by_position("at", width), descending=descending)
-    w = Window.partitionBy("k").orderBy(F.desc("at") if descending else F.asc("at"))
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    want = df.select("*", F.sum("n").over(upto).alias("total"), F.lag("v").over(w).alias("before"),
-                     F.last("v", ignorenulls=True).over(upto).alias("known"), F.max("n").over(upto).alias("peak"))
+@pytest.mark.parametrize("ranges", [1, 40])
+def test_scan_equals_window(spark, ranges):
+    df = skewed(spark).withColumns({"share": F.col("n") / 4, "cost": F.col("n").cast("decimal(9,2)"), "pair": F.struct("v", "n")})
+    got = O.scan(df, ["k"], ["at"], running={"total": F.col("n"), "shares": F.col("share"), "costs": F.col("cost")},
+                 previous={"before": F.col("v"), "pair_before": F.col("pair")}, latest={"known": F.col("v")},
+                 following={"ahead": F.col("v")}, highest={"peak": F.when(F.col("n") > 2, F.col("n"))}, runs={"run": F.col("v")}, ranges=ranges)
+    w = Window.partitionBy("k").orderBy("at")
+    upto, onward = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
+    rows = df.withColumns({"number": F.row_number().over(w), "changed": F.coalesce(F.lag("v").over(w) != F.col("v"), F.lit(False))})
+    want = rows.select(*df.columns, F.sum("n").over(upto).alias("total"), F.sum("share").over(upto).alias("shares"), F.sum("cost").over(upto).alias("costs"),
+                       F.lag("v").over(w).alias("before"), F.lag("pair").over(w).alias("pair_before"),
+                       F.last("v", ignorenulls=True).over(upto).alias("known"), F.first("v", ignorenulls=True).over(onward).alias("ahead"),
+                       F.max(F.when(F.col("n") > 2, F.col("n"))).over(upto).alias("peak"),
+                       F.max(F.when(F.col("changed") | (F.col("number") == 1), F.col("number"))).over(upto).cast("long").alias("run"))
+    assert [f.dataType for f in got.select(want.columns).schema] == [f.dataType for f in want.schema]
     assert sorted(got.select(want.columns).collect(), key=str) == sorted(want.collect(), key=str)
 
 
 def test_null_group(spark):
     df = spark.createDataFrame([(None, i) for i in range(10)], "k string, at long")
-    assert sorted(r.n for r in O.numbered(df, ["k"], ["at"], segment=O.by_position("at", 3)).collect()) == list(range(1, 11))
+    assert sorted(r.n for r in O.numbered(df, ["k"], ["at"], ranges=4).collect()) == list(range(1, 11))
+    assert O.numbered(df.limit(0), ["k"], ["at"]).count() == 0
+    assert sorted(r.n for r in O.numbered(df, [], ["at"], ranges=4).collect()) == list(range(1, 11))
+
+
+def test_scan_moves_its_input_once(spark):
+    """Positions far apart make no more summary rows than there are ranges, and both steps read one exchange."""
+    df = spark.range(20_000).select(F.lit("hot").alias("k"), (F.col("id") * 10_000_000).alias("at"))
+    got = O.numbered(df, ["k"], ["at"], ranges=8)
+    assert got.where("n <> at / 10000000 + 1").count() == 0
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("ReusedExchange") == 1 and plan.count("Exchange rangepartitioning(") == 1
 
 
-def test_quantile_segments_balance_and_order(spark):
+def test_quantile_cuts_balance(spark):
     df = spark.createDataFrame([("hot", f"t{i:05d}", i) for i in range(2000)], "k string, t string, at long")
-    segment = O.by_quantiles(df, ["t", "at"], 8)
-    sizes = [r["count"] for r in df.groupBy(segment.alias("s")).count().collect()]
+    sizes = [r["count"] for r in df.groupBy(O.by_quantiles(df, ["t", "at"], 8).alias("s")).count().collect()]
     assert len(sizes) == 8 and max(sizes) < 400
-    got = O.numbered(df, ["k"], ["t", "at"], segment=segment)
-    assert got.where("n <> at + 1").count() == 0
 
 
 @pytest.mark.parametrize("n", [3, 1500])
@@ -89,7 +103,7 @@ def greedy(rows, max_messages, max_bytes, max_age, on_key):
 
 
 @pytest.mark.parametrize("max_bytes,max_age,on_key", [(40, None, False), (40, "20 seconds", True), (None, "9 seconds", False), (None, None, True), (7, None, True)])
-@pytest.mark.parametrize("block", [6, 1000])
+@pytest.mark.parametrize("block", [1, 30])
 def test_batches_match_a_walk(spark, max_bytes, max_age, on_key, block):
     rng = random.Random(5)
     base, rows = datetime(2024, 1, 1), []
@@ -98,7 +112,7 @@ def test_batches_match_a_walk(spark, max_bytes, max_age, on_key, block):
             rows.append((partition, i * 2, rng.choice([b"a", b"bb", None]), b"v" * rng.randint(1, 15), base + timedelta(seconds=i + rng.randint(-3, 3))))
     df = spark.createDataFrame(rows, "topic string, offset long, key binary, value binary, timestamp timestamp").repartition(5)
     got = B.assign_batches(df, max_messages=6, max_bytes=max_bytes, max_age=max_age, flush_on_key_change=on_key,
-                           partition_by=["topic"], segment=O.by_position("offset", 37), rows_per_block=block)
+                           partition_by=["topic"], ranges=block)
     age = timedelta(seconds=int(max_age.split()[0])) if max_age else None
     for partition in ("hot", "cold", "one"):
         own = sorted((r for r in rows if r[0] == partition), key=lambda r: r[1])
@@ -107,19 +121,28 @@ def test_batches_match_a_walk(spark, max_bytes, max_age, on_key, block):
         assert found == want, partition
 
 
-def test_many_blocks_and_ranges(spark, monkeypatch):
-    monkeypatch.setattr(B, "BLOCKS_PER_RANGE", 4)
+def test_many_ranges(spark):
     df = spark.range(900).select(F.lit("t").alias("topic"), F.col("id").alias("offset"), F.lit(None).cast("binary").alias("key"),
                                  F.repeat(F.lit("v"), (F.col("id") % 11 + 1).cast("int")).cast("binary").alias("value"), F.current_timestamp().alias("timestamp"))
-    got = B.assign_batches(df, max_messages=5, max_bytes=24, partition_by=["topic"], rows_per_block=7).orderBy("offset").collect()
+    got = B.assign_batches(df, max_messages=5, max_bytes=24, partition_by=["topic"], ranges=50).orderBy("offset").collect()
     rows = [(None, b"v" * (i % 11 + 1), i) for i in range(900)]
     assert [r.batch_start for r in got] == greedy(rows, 5, 24, None, False)
 
 
-def test_changes_with_tiny_segments(spark):
+@pytest.mark.parametrize("size", [1, 10, 40])
+def test_batches_without_a_message_cap(spark, size):
+    """Batches longer than a range, and sizes that never let chains of batches meet."""
+    df = spark.range(700).select(F.lit("t").alias("topic"), F.col("id").alias("offset"), F.lit(None).cast("binary").alias("key"),
+                                 F.repeat(F.lit("v"), F.lit(size)).cast("binary").alias("value"), F.current_timestamp().alias("timestamp"))
+    got = B.assign_batches(df, max_messages=None, max_bytes=370, partition_by=["topic"], ranges=30).orderBy("offset").collect()
+    rows = [(None, b"v" * size, i) for i in range(700)]
+    assert [r.batch_start for r in got] == greedy(rows, 1 << 40, 370, None, False)
+
+
+def test_changes_with_many_ranges(spark):
     df = skewed(spark)
     one = K.on_change(df, ["k"], "at", ["v"])
-    many = K.on_change(df, ["k"], "at", ["v"], segment=O.by_position("at", 10))
+    many = K.on_change(df, ["k"], "at", ["v"], ranges=60)
     assert sorted(one.collect(), key=str) == sorted(many.collect(), key=str)
 
 
@@ -143,8 +166,8 @@ def test_translation_matches_brute_force(spark):
     rows = [("dc", "t", p, s, t) for p, m in marks.items() for s, t in m.items()]
     mappings = spark.createDataFrame(rows, "cluster string, topic string, partition int, source_offset long, target_offset long")
     offsets = spark.createDataFrame([("dc", "t", p, o) for p in (0, 1, 2) for o in range(-5, 1010, 7)], "cluster string, topic string, partition int, offset long")
-    for rows_per_segment in (20, 1_000_000):
-        for r in M.translate(offsets, mappings, segment_rows=rows_per_segment).collect():
+    for ranges in (1, 40):
+        for r in M.translate(offsets, mappings, ranges=ranges).collect():
             assert r.target_offset == translated(r.offset, marks.get(r.partition, {})), r
 
 
@@ -220,7 +243,7 @@ def test_apply_undoes_diff(spark):
 def test_pairs_across_segments(spark):
     log = [("t", lsn, seq, op, seq) for seq, (lsn, op) in enumerate([(1, 2), (2, 3), (2, 4), (5, 3), (6, 4), (9, 1)])]
     df = spark.createDataFrame(log, "table string, lsn long, seq long, operation int, v long")
-    got = [(r.op, r.before and r.before.v, r.after and r.after.v) for r in C.pair_updates(df, segment=O.by_position("lsn", 2)).orderBy("seq").collect()]
+    got = [(r.op, r.before and r.before.v, r.after and r.after.v) for r in C.pair_updates(df, ranges=5).orderBy("seq").collect()]
     assert got == [("c", None, 0), ("u", 1, 2), ("u", 3, 4), ("d", 5, None)]
 
 
