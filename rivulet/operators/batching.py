@@ -278,6 +278,25 @@ def gzipped(payload: pd.Series) -> pd.Series:
     return payload.map(lambda data: None if data is None else gzip.compress(bytes(data), mtime=0))
 
 
+def record_text(format: str = "json-array", include_metadata: bool = False) -> Column:
+    """What one record adds to its batch."""
+    if format == "raw":
+        return as_text("value")
+    return _with_metadata() if include_metadata else _json_value()
+
+
+def joined_texts(texts: Column, format: str, separator: str) -> Column:
+    """A batch's payload from its records' texts in order."""
+    filled = F.transform(texts, lambda t: F.coalesce(t, F.lit("")))
+    if format == "json-lines":
+        # lines of null values are empty, but none is written before the first text
+        begun = F.array_position(F.transform(filled, lambda t: t != ""), True)
+        return F.when(begun > 0, F.array_join(F.slice(filled, begun.cast("int"), F.size(filled)), separator)).otherwise("")
+    if format == "raw":
+        return F.array_join(filled, separator)
+    return F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]"))
+
+
 def pack(batched: DataFrame, format: str = "json-array", key_strategy: str = "first", separator: str = "\n",
          include_metadata: bool = False, compression: str = "none",
          partition_by: Sequence[str] = ("topic", "partition"), order_by: str = "offset") -> DataFrame:
@@ -285,12 +304,6 @@ def pack(batched: DataFrame, format: str = "json-array", key_strategy: str = "fi
 
     A batch is bounded by its caps, so gathering its records is bounded too.
     """
-    if format == "raw":
-        text = as_text("value")
-    elif include_metadata:
-        text = _with_metadata()
-    else:
-        text = _json_value()
     # keys and texts apart, so that a query of either does not make the other
     key_text, at = as_text("key"), F.col(order_by)
     known = F.when(key_text.isNotNull(), at)
@@ -300,26 +313,17 @@ def pack(batched: DataFrame, format: str = "json-array", key_strategy: str = "fi
         key = F.first(F.lit(None).cast("string"))
     else:
         key = F.max_by(key_text, known) if key_strategy == "last" else F.min_by(key_text, known)
+    item = F.struct(at.alias("at"), record_text(format, include_metadata).alias("text"))
     groups = batched.groupBy(*partition_by, "batch_start").agg(
         key.alias("__keys"),
-        F.array_sort(F.collect_list(F.struct(at.alias("at"), text.alias("text")))).alias("items"),
+        F.array_sort(F.collect_list(item)).alias("items"),
         F.count(F.lit(1)).alias("message_count"),
         F.sum(payload_size()).alias("total_bytes"),
     )
-    texts = F.transform("items", lambda i: i["text"])
-    filled = F.transform(texts, lambda t: F.coalesce(t, F.lit("")))
-    if format == "json-lines":
-        # lines of null values are empty, but none is written before the first text
-        begun = F.array_position(F.transform(filled, lambda t: t != ""), True)
-        joined = F.when(begun > 0, F.array_join(F.slice(filled, begun.cast("int"), F.size(filled)), separator)).otherwise("")
-    elif format == "raw":
-        joined = F.array_join(filled, separator)
-    else:
-        joined = F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]"))
     key = F.col("__keys")
     if key_strategy == "concat":
         key = F.when(F.size(key) > 0, F.array_join(F.transform(key, lambda k: k["key"]), separator))
-    value = joined.cast("binary")
+    value = joined_texts(F.transform("items", lambda i: i["text"]), format, separator).cast("binary")
     zipped = compression == "gzip"
     return groups.select(
         *partition_by, "batch_start",

@@ -84,3 +84,28 @@ def stream_upsert(spark, sf):
         Q.apply_stream(updates, f"{folder}/table", "upsert", ["key"], ["offset"], updates.schema, f"{folder}/checkpoint")
 
     return VersionedTable(spark, f"{_replayed(spark, sf, run)}/table").read()
+
+
+@query("stream_batches", f"""WITH RECURSIVE {RECORDS},
+n AS (SELECT topic, "partition", "offset", key, value, strlen(key) + strlen(value) AS size, floor(number / 400) AS bucket,
+      row_number() OVER (PARTITION BY topic, "partition" ORDER BY "offset") AS n FROM (SELECT * REPLACE (floor(number / 400)::INT::VARCHAR AS key) FROM records)),
+walk AS (SELECT topic, "partition", n, size AS filled, bucket, 1 AS held, n AS batch FROM n WHERE n = 1
+  UNION ALL SELECT n.topic, n."partition", n.n,
+    CASE WHEN w.held >= 9 OR w.filled + n.size > 700 OR n.bucket <> w.bucket THEN n.size ELSE w.filled + n.size END, n.bucket,
+    CASE WHEN w.held >= 9 OR w.filled + n.size > 700 OR n.bucket <> w.bucket THEN 1 ELSE w.held + 1 END,
+    CASE WHEN w.held >= 9 OR w.filled + n.size > 700 OR n.bucket <> w.bucket THEN n.n ELSE w.batch END
+  FROM walk w JOIN n ON n.topic = w.topic AND n."partition" = w."partition" AND n.n = w.n + 1),
+b AS (SELECT n.topic, n."partition", batch, min("offset") AS first_offset, any_value(key) AS key, string_agg(value, chr(10) ORDER BY "offset") AS value,
+  count(*) AS message_count, CAST(sum(size) AS BIGINT) AS total_bytes FROM walk JOIN n USING (topic, "partition", n) GROUP BY 1, 2, 3)
+SELECT topic, "partition", first_offset, key, md5(value) AS digest, message_count, total_bytes FROM b
+QUALIFY message_count = 9 OR batch < max(batch) OVER (PARTITION BY topic, "partition")""")
+def stream_batches(spark, sf):
+    """The batches that have closed; each partition's last one waits for more records."""
+    def build(stream):
+        amount = F.get_json_object(F.col("value").cast("string"), "$.value").cast("double")
+        keyed = stream.withColumn("key", F.floor(amount / 400).cast("string").cast("binary"))
+        return Q.stream_batches(keyed, "json-lines", max_messages=9, max_bytes=700, flush_on_key_change=True)
+
+    out = _appended(spark, sf, build)
+    return out.select("topic", "partition", "first_offset", F.col("key").cast("string").alias("key"),
+                      F.md5("value").alias("digest"), "message_count", "total_bytes")

@@ -6,7 +6,11 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Operators with list state and timers need this store.
+STATE_STORE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+
 DEFAULTS = {
+    **STATE_STORE,
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",

@@ -1,5 +1,6 @@
 """Write modes, files, captured messages, time series, graphs and streams on small cases."""
 
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -261,3 +262,54 @@ def test_timed_batches_close_by_age_while_records_keep_coming(spark, tmp_path):
 def test_heartbeat_stream(spark):
     assert Q.heartbeats(spark, "a", "b").isStreaming
     assert Gen.generate(spark, value="${sequence}", rate=1).isStreaming
+
+
+def _stream_parts(spark, tmp_path, parts):
+    """A stream that reads one of the parts, lists of (topic, offset, key, value), per micro-batch."""
+    names = "topic string, partition int, offset long, key binary, value binary, timestamp timestamp"
+    for rows in parts:
+        made = [(topic, 0, at, key, value, datetime(2024, 1, 1)) for topic, at, key, value in rows]
+        spark.createDataFrame(made, names).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    return I.stream_files(spark, "parquet", f"{tmp_path}/in", names, max_files=1)
+
+
+def test_stream_batches_in_all_rules_and_bounded_memory(spark, tmp_path, monkeypatch):
+    """A backlog far beyond what a task sorts in memory, and batches that span micro-batches, equal a walk over all records."""
+    monkeypatch.setattr(Q, "SORTED", 50)
+    monkeypatch.setattr(Q, "PIECE", 7)
+    rng = random.Random(2)
+    rows = [("hot", i, rng.choice([b"a", b"b", None]) if i % 40 > 30 else b"a", b"v" * rng.randint(1, 12)) for i in range(700)]
+    rows += [("cold", i, b"k", b"w") for i in range(5)]
+    parts = [[r for r in rows if low <= r[1] < high] for low, high in ((0, 3), (3, 430), (430, 700))]
+    parts = [rng.sample(p, len(p)) for p in parts]
+    build = lambda stream: Q.stream_batches(stream, "raw", "concat", ",", max_messages=8, max_bytes=60, flush_on_key_change=True)
+    Q.run_available(build(_stream_parts(spark, tmp_path, parts)), f"{tmp_path}/out", f"{tmp_path}/c", state_partitions=2)
+    got = {(r.topic, r.first_offset): (bytes(r.key).decode() if r.key is not None else None, bytes(r.value).decode(), r.message_count, r.total_bytes)
+           for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    want = {}
+    for topic in ("hot", "cold"):
+        held, size, last = [], 0, None
+        close = lambda: want.update({(topic, held[0][1]): (
+            ",".join(k.decode() for _, _, k, _ in held if k is not None) or None, ",".join(v.decode() for *_, v in held), len(held), size)})
+        for row in sorted(r for r in rows if r[0] == topic) if topic == "cold" else sorted((r for r in rows if r[0] == topic), key=lambda r: r[1]):
+            own = len(row[2] or b"") + len(row[3])
+            if held and (size + own > 60 or (None not in (last, row[2]) and last != row[2])):
+                close()
+                held, size = [], 0
+            held.append(row)
+            size, last = size + own, row[2]
+            if len(held) == 8:
+                close()
+                held, size = [], 0
+    assert got == want
+
+
+def test_stream_changes_beyond_memory(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(Q, "SORTED", 40)
+    monkeypatch.setattr(Q, "PIECE", 9)
+    rng = random.Random(4)
+    rows = [("t", i, None, rng.choice([b"x", b"y"])) for i in range(500)]
+    stream = _stream_parts(spark, tmp_path, [rng.sample(rows[:300], 300), rng.sample(rows[300:], 200)])
+    Q.run_available(Q.on_change_stream(stream, ["topic"], "offset", ["value"]), f"{tmp_path}/out", f"{tmp_path}/c", state_partitions=1)
+    got = sorted(r.offset for r in spark.read.parquet(f"{tmp_path}/out").collect())
+    assert got == [i for i in range(500) if i == 0 or rows[i][3] != rows[i - 1][3]]
