@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from collections.abc import Sequence
 
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+
+from rivulet.operators.ordered import scan
 from rivulet.records import as_number, is_typed, number_at, parsed, payload_size, text_at
 
 
@@ -48,6 +52,30 @@ def partials(df: DataFrame, field: str | None = None, group_by: str | None = Non
     )
 
 
+def session_partials(df: DataFrame, gap: str, field: str | None = None, group_by: str | None = None, time_col: str = "timestamp",
+                     watermark: str | None = None, ranges: int | None = None) -> DataFrame:
+    """Mergeable state per group and session. A session takes records that come at most `gap` after the one before;
+    its window ends `gap` after its last record. Records without a time belong to none.
+
+    On a stream Spark's session windows merge as records come, and close behind
+    the watermark. A batch is cut in one ordered scan, so a group with many
+    records is spread over tasks.
+    """
+    staged = _inputs(df, field, group_by).where(F.col(time_col).isNotNull())
+    group, number = F.col("__group").alias("group"), F.col("__number")
+    sums = [F.count(F.lit(1)).alias("n"), F.sum(number).alias("total"), F.min(number).alias("least"), F.max(number).alias("most")]
+    if df.isStreaming:
+        staged = staged.withWatermark(time_col, watermark) if watermark else staged
+        return staged.groupBy(group, F.session_window(time_col, gap).alias("session")).agg(*sums)
+    width = int(pd.Timedelta(gap).total_seconds() * 1_000_000)
+    at = F.col(time_col).cast("timestamp")
+    narrow = staged.select(group, number, at.alias("at"), F.unix_micros(at).alias("__micros"))
+    cut = scan(narrow, ["group"], ["at"], runs={"__run": (F.col("__micros"), width)}, ranges=ranges)
+    ended = cut.groupBy("group", "__run").agg(*sums, F.min("at").alias("begin"), F.max("at").alias("end"))
+    session = F.struct(F.col("begin").alias("start"), F.timestamp_add("MICROSECOND", F.lit(width), "end").alias("end"))
+    return ended.select("group", session.alias("session"), "n", "total", "least", "most")
+
+
 def merge_partials(*states: DataFrame) -> DataFrame:
     """Combine partial states of the same groups."""
     union = states[0]
@@ -75,35 +103,62 @@ def finish(state: DataFrame, op: str = "count") -> DataFrame:
     out = [F.col("group"), F.lit(op).alias("operation"), result.alias("result"), F.col("n").alias("count")]
     if "window" in state.columns:
         out.append(F.col("window.end").alias("window_end"))
+    if "session" in state.columns:
+        out += [F.col("session.start").alias("window_start"), F.col("session.end").alias("window_end")]
     return state.select(*out)
 
 
 def aggregate(df: DataFrame, op: str = "count", field: str | None = None, group_by: str | None = None,
               window: str | None = None, slide: str | None = None, time_col: str = "timestamp",
-              watermark: str | None = None) -> DataFrame:
-    """`count`, `sum`, `avg`, `min` or `max` of a payload field per group and event-time window.
+              watermark: str | None = None, session: str | None = None) -> DataFrame:
+    """`count`, `sum`, `avg`, `min` or `max` of a payload field per group and event-time window, or session with that gap.
 
     Every record counts, numeric or not. Groups without a number have a null
     minimum and maximum.
     """
+    if session:
+        return finish(session_partials(df, session, field, group_by, time_col, watermark), op)
     return finish(partials(df, field, group_by, window, slide, time_col, watermark), op)
 
 
-def balances(transfers: DataFrame, accounts: DataFrame | None = None) -> DataFrame:
+#: What two transfers of one id must agree in to be the same.
+_CONTENT = ("debit_account_id", "credit_account_id", "amount", "ledger")
+
+
+def _sound(transfers: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Transfers that can post: id, content and their order."""
+    ledger = F.coalesce(F.col("ledger"), F.lit(1)) if "ledger" in transfers.columns else F.lit(1)
+    return transfers.withColumn("__reason", _rejection(transfers)).where("__reason = ''").select(
+        F.col("id").cast("string").alias("id"), F.col("debit_account_id").cast("string").alias("debit_account_id"),
+        F.col("credit_account_id").cast("string").alias("credit_account_id"),
+        F.col("amount").try_cast("decimal(38,0)").alias("amount"), ledger.cast("int").alias("ledger"),
+        *[F.col(c).alias(f"__order_{i}") for i, c in enumerate(order)])
+
+
+def _shared_ids(sound: DataFrame) -> DataFrame:
+    """Ids of several transfers. Only ids and counts move, after they were summed up where they are."""
+    return sound.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id")
+
+
+def _firsts(shared: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The first transfer of every id by order, then by content."""
+    own = Window.partitionBy("id").orderBy(*[f"__order_{i}" for i in range(len(order))], *_CONTENT)
+    return shared.withColumn("__r", F.row_number().over(own)).where("__r = 1").select("id", *_CONTENT)
+
+
+def balances(transfers: DataFrame, accounts: DataFrame | None = None, order: Sequence[str] = ()) -> DataFrame:
     """Posted debits and credits per account.
 
     Transfers need an id, both accounts and an unsigned whole amount; the others
-    are left to `invalid_transfers`. An id posts once: of several transfers with
-    one id the least by accounts, amount and ledger counts. Ledger and code
-    default to 1. Ids stay text, amounts are exact decimals.
+    are left to `invalid_transfers`. An id posts once: its first transfer by
+    `order` (for instance the offset), or without an order and between equals the
+    least by accounts, amount and ledger; later ones are replays, or rejected if
+    they differ. Ledger and code default to 1. Ids stay text, amounts are exact
+    decimals.
     """
-    ledger = F.coalesce(F.col("ledger"), F.lit(1)) if "ledger" in transfers.columns else F.lit(1)
-    fields = F.struct(
-        F.col("debit_account_id").cast("string").alias("debit_account_id"), F.col("credit_account_id").cast("string").alias("credit_account_id"),
-        F.col("amount").try_cast("decimal(38,0)").alias("amount"), ledger.cast("int").alias("ledger"),
-    )
-    sound = transfers.withColumn("__reason", _rejection(transfers)).where("__reason = ''")
-    complete = sound.groupBy(F.col("id").cast("string").alias("id")).agg(F.min(fields).alias("t")).select("id", "t.*")
+    sound = _sound(transfers, order)
+    shared = _shared_ids(sound)
+    complete = sound.join(shared, "id", "left_anti").select("id", *_CONTENT).unionByName(_firsts(sound.join(shared, "id", "left_semi"), order))
     ledger, amount = F.col("ledger"), F.col("amount")
     none = F.lit(0).cast("decimal(38,0)")
     legs = F.array(
@@ -146,9 +201,25 @@ def _rejection(transfers: DataFrame) -> Column:
     return F.concat_ws(",", *missing, wrong)
 
 
-def invalid_transfers(transfers: DataFrame) -> DataFrame:
-    """Transfers the ledger rejects, with every reason."""
-    return transfers.withColumn("reason", _rejection(transfers)).where("reason <> ''")
+def invalid_transfers(transfers: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
+    """Transfers the ledger rejects, with every reason.
+
+    With an `order`, also those whose id was taken before, by a transfer with
+    other accounts, another amount or ledger; an equal one is a replay and none.
+    """
+    rejected = transfers.withColumn("reason", _rejection(transfers)).where("reason <> ''")
+    if order is None:
+        return rejected
+    sound = _sound(transfers, order)
+    shared = sound.join(_shared_ids(sound), "id", "left_semi")
+    first = _firsts(shared, order).select(F.col("id").alias("__id"), *[F.col(c).alias(f"__first_{c}") for c in _CONTENT])
+    ledger = F.coalesce(F.col("ledger"), F.lit(1)) if "ledger" in transfers.columns else F.lit(1)
+    own = {c: F.col(c).cast("string") for c in _CONTENT[:2]} | {"amount": F.col("amount").try_cast("decimal(38,0)"), "ledger": ledger.cast("int")}
+    differs = F.lit(False)
+    for c in _CONTENT:
+        differs |= own[c] != F.col(f"__first_{c}")
+    taken = transfers.withColumn("reason", _rejection(transfers)).where("reason = ''").join(first, F.col("id").cast("string") == F.col("__id"))
+    return rejected.unionByName(taken.where(differs).withColumn("reason", F.lit("id taken by another transfer")).select(*transfers.columns, "reason"))
 
 
 def replication_metrics(df: DataFrame) -> DataFrame:

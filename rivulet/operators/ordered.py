@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-RANGE, FIRST, LAST = "__range", "__first", "__last"
+RANGE, FIRST, LAST = "__range", "__scan_first", "__scan_last"
 
 
 @dataclass(frozen=True)
@@ -33,6 +33,12 @@ class _Plan:
     latest: tuple[str, ...]
     highest: tuple[str, ...]
     runs: tuple[str, ...]
+    gaps: dict[str, int | None]
+
+
+def _apart(before, now, gap: int | None) -> bool:
+    """Whether a run ends between two values of neighbouring rows."""
+    return before is not None and now is not None and (before != now if gap is None else now - before > gap)
 
 
 def _shifted(column: pa.Array, before: pa.Array | None) -> pa.Array:
@@ -107,7 +113,9 @@ class _Walk:
             found[f"highest {c}"] = both.take(pa.array(places[np.searchsorted(ranks, best[1:])], mask=best[1:] == 0))
         for c in plan.runs:
             before = _shifted(column[c], self.ends.get(f"run {c}"))
-            changed = pc.fill_null(pc.not_equal(column[c], before), False).to_numpy(zero_copy_only=False)
+            gap = plan.gaps[c]
+            changed = pc.not_equal(column[c], before) if gap is None else pc.greater(pc.subtract(column[c], before), gap)
+            changed = pc.fill_null(changed, False).to_numpy(zero_copy_only=False)
             mark = np.maximum.accumulate(np.where(starts | changed, index, -1))
             value = np.where(mark >= 0, number[np.maximum(mark, 0)], self.run[c])
             found[f"run {c}"] = pa.array(value)
@@ -143,24 +151,28 @@ def scan(
     latest: Mapping[str, Column] | None = None,
     following: Mapping[str, Column] | None = None,
     highest: Mapping[str, Column] | None = None,
-    runs: Mapping[str, Column] | None = None,
+    runs: Mapping[str, Column | tuple[Column, int]] | None = None,
     ranges: int | None = None,
     keep_ranges: bool = False,
 ) -> DataFrame:
     """Add ordered results per group: `running` sums up to and including the row, the `previous` row's value,
     the `latest` non-null value up to the row, the `following` one from the row on, the `highest` value up to
-    the row, and for `runs` the row number at which the value last changed (between two non-null values).
+    the row, and for `runs` the row number at which the value last changed (between two non-null values), or
+    for a column and a gap, last grew by more than the gap.
 
     `order` must be unique in a group. Rows go to `ranges` ranges (by default as many as the session's shuffle
     partitions); memory does not depend on a range's rows, and what the ranges inherit is one row each. With
     `keep_ranges`, the result keeps `__range` and stays in order within it.
     """
-    kinds = {"running": running, "previous": previous, "latest": latest, "highest": highest, "run": runs, "following": following}
+    spaced = {name: run if isinstance(run, tuple) else (run, None) for name, run in (runs or {}).items()}
+    plain = {name: column for name, (column, _) in spaced.items()}
+    kinds = {"running": running, "previous": previous, "latest": latest, "highest": highest, "run": plain, "following": following}
     inputs = {f"__{kind}_{name}": (kind, name, column) for kind, part in kinds.items() for name, column in (part or {}).items()}
     kind_of = {c: kind for c, (kind, _, _) in inputs.items()}
     of = lambda kind: tuple(c for c, k in kind_of.items() if k == kind)
     forward = of("following")
-    plan = _Plan(tuple(by), of("running"), of("previous"), of("latest"), of("highest"), of("run"))
+    plan = _Plan(tuple(by), of("running"), of("previous"), of("latest"), of("highest"), of("run"),
+                 {f"__run_{name}": gap for name, (_, gap) in spaced.items()})
     count = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # a given number of ranges: every step below sees the same ones, through one exchange
     rows = (
@@ -174,7 +186,7 @@ def scan(
     for c in plan.runs:
         types[c] = T.LongType()
     results = [c for c, (kind, _, _) in inputs.items() if kind != "following"]
-    local = T.StructType([*rows.schema, T.StructField("__number", T.LongType()), T.StructField(FIRST, T.BooleanType()),
+    local = T.StructType([*rows.schema, T.StructField("__scan_number", T.LongType()), T.StructField(FIRST, T.BooleanType()),
                           *[T.StructField(f"{c}_local", types[c]) for c in results]])
     local_arrow = to_arrow_schema(local)
 
@@ -217,7 +229,7 @@ def scan(
         made += [ahead.get(c, pa.nulls(1, summary_arrow.field(c).type)) for c in forward]
         yield pa.RecordBatch.from_arrays([a.cast(f.type) for a, f in zip(made, summary_arrow)], schema=summary_arrow)
 
-    carry = T.StructType([T.StructField(RANGE, T.IntegerType()), T.StructField("__before", T.LongType()),
+    carry = T.StructType([T.StructField(RANGE, T.IntegerType()), T.StructField("__scan_before", T.LongType()),
                           *[T.StructField(f"{c}_carried", types[c]) for c in results],
                           *[T.StructField(f"{c}_carried", value[c]) for c in forward]])
     carry_arrow = to_arrow_schema(carry)
@@ -235,12 +247,12 @@ def scan(
         for i in range(size):
             goes_on = owner is not None and owner == key("first", i)
             if goes_on:
-                out["__before"][i] = state["number"]
+                out["__scan_before"][i] = state["number"]
                 for c in results:
                     out[f"{c}_carried"][i] = state[c]
                 for c in plan.runs:
                     before, now = state[f"last {c}"], listed[f"first {c}"][i]
-                    if before is not None and now is not None and before != now:
+                    if _apart(before, now, plan.gaps[c]):
                         out[f"{c}_carried"][i] = state["number"] + 1
             single = goes_on and listed["groups"][i] == 1
             new = {c: listed[c][i] for c in ("number", *plan.running, *plan.latest, *plan.highest, *plan.runs)}
@@ -286,7 +298,7 @@ def scan(
         if keep_ranges:
             out = out.sortWithinPartitions(*by, *order)
     out = out.join(F.broadcast(carried), RANGE, "left")
-    first, number = F.col(FIRST), F.col("__number")
+    first, number = F.col(FIRST), F.col("__scan_number")
     made = {}
     for c, (kind, name, _) in inputs.items():
         own, inherited = F.col(f"{c}_local"), F.when(first, F.col(f"{c}_carried"))
@@ -299,7 +311,7 @@ def scan(
         elif kind == "highest":
             made[name] = F.greatest(own, inherited)
         elif kind == "run":
-            made[name] = F.when(own == 1, F.coalesce(inherited, own)).otherwise(own + F.coalesce(F.when(first, F.col("__before")), F.lit(0)))
+            made[name] = F.when(own == 1, F.coalesce(inherited, own)).otherwise(own + F.coalesce(F.when(first, F.col("__scan_before")), F.lit(0)))
         else:
             made[name] = F.coalesce(own, F.when(F.col(LAST), F.col(f"{c}_carried")))
     kept = [F.col(f"`{c}`") for c in df.columns if c not in made]
@@ -314,7 +326,7 @@ def _backward(rows: DataFrame, by: tuple[str, ...], columns: tuple[str, ...], re
     """Add `<column>_local`, the first non-null value from the row on in its group and range, and `__last`, whether that
     is the range's last group. The rows are sorted again where they are, the other way round."""
     schema = T.StructType([*rows.schema, T.StructField(LAST, T.BooleanType()), *[T.StructField(f"{c}_local", rows.schema[c].dataType) for c in columns]])
-    names, plan = schema.names, _Plan(by, (), (), columns, (), ())
+    names, plan = schema.names, _Plan(by, (), (), columns, (), (), {})
 
     def walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         walk = _Walk(plan)

@@ -73,6 +73,20 @@ def agg_merge(spark, sf):
     return _rounded(A.finish(A.merge_partials(*parts), "avg"))
 
 
+SESSIONS = """WITH p AS (SELECT event_type, ts, value, lag(ts) OVER w AS before FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)),
+s AS (SELECT *, count(*) FILTER (before IS NULL OR ts - before > INTERVAL 4 MINUTE) OVER (PARTITION BY event_type ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k
+  FROM (SELECT * FROM p ORDER BY ts)),
+w AS (SELECT event_type AS "group", round(sum(value), 4) AS result, count(*) AS count, min(ts) AS window_start, max(ts) + INTERVAL 4 MINUTE AS window_end
+  FROM s GROUP BY event_type, k)
+SELECT "group", 'sum' AS operation, result, count, window_start, window_end FROM w"""
+
+
+@query("session_window", SESSIONS)
+def session_window(spark, sf):
+    out = A.aggregate(records(spark, sf), "sum", "value", "type", session="4 minutes")
+    return out.withColumns({"result": F.round("result", 4), **{c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}})
+
+
 @query("ledger_balance", """WITH given AS (
   SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey AS id, CAST(l_suppkey AS VARCHAR) AS debtor,
          CAST(1000000 + l_partkey AS VARCHAR) AS creditor, CAST(round(l_extendedprice * 100) AS BIGINT) AS amount FROM lineitem),
@@ -111,6 +125,34 @@ def ledger_rejects(spark, sf):
     return A.invalid_transfers(transfers).select("id", "reason")
 
 
+_TAKEN = """WITH t AS (SELECT l_orderkey || '-' || l_partkey % 3 AS id, l_orderkey * 10 + l_linenumber AS seq, CAST(l_suppkey % 4 AS VARCHAR) AS debtor,
+  CAST(100 + l_partkey % 3 AS VARCHAR) AS creditor, CAST(l_quantity AS BIGINT) // 20 AS amount FROM lineitem),
+f AS (SELECT *, first_value(struct_pack(a := debtor, b := creditor, c := amount)) OVER (PARTITION BY id ORDER BY seq, debtor, creditor, amount) AS first,
+  row_number() OVER (PARTITION BY id ORDER BY seq, debtor, creditor, amount) AS r FROM t)"""
+
+
+def _taken(spark, sf):
+    """Transfers many of which share their id with others, some with the same content."""
+    return table(spark, sf, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", F.col("l_partkey") % 3).alias("id"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"),
+        (F.col("l_suppkey") % 4).alias("debit_account_id"), (100 + F.col("l_partkey") % 3).alias("credit_account_id"),
+        F.floor(F.col("l_quantity").cast("long") / 20).cast("decimal(38,0)").alias("amount"))
+
+
+@query("ledger_first", f"""{_TAKEN}, legs AS (SELECT debtor AS account, amount AS debit, 0 AS credit FROM f WHERE r = 1
+  UNION ALL SELECT creditor, 0, amount FROM f WHERE r = 1)
+SELECT account, CAST(sum(debit) AS BIGINT) AS debits_posted, CAST(sum(credit) AS BIGINT) AS credits_posted, count(*) AS legs FROM legs GROUP BY account""")
+def ledger_first(spark, sf):
+    out = A.balances(_taken(spark, sf), order=["seq"])
+    return out.select("account", *[F.col(c).cast("long").alias(c) for c in ("debits_posted", "credits_posted")], "legs")
+
+
+@query("ledger_taken", f"""{_TAKEN} SELECT id, seq, 'id taken by another transfer' AS reason FROM f
+WHERE first <> struct_pack(a := debtor, b := creditor, c := amount)""")
+def ledger_taken(spark, sf):
+    return A.invalid_transfers(_taken(spark, sf), order=["seq"]).select("id", "seq", "reason")
+
+
 @query("replication_metrics", f"""WITH {RECORDS}
 SELECT topic, "partition", count(*) AS records, CAST(sum(strlen(key) + strlen(value)) AS BIGINT) AS bytes,
        max("offset") AS last_offset FROM records GROUP BY topic, "partition\"""")

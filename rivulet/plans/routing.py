@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from rivulet.operators import routing as R
+from rivulet.operators import errors as E, routing as R
 from rivulet.plans.inputs import RECORDS, plain, records, table
 from rivulet.plans.registry import query
 
@@ -100,6 +100,24 @@ def dead_letter(spark, sf):
     return out.select("offset", "left", F.col("original_key").cast("string").alias("key"), "error", "error_type")
 
 
+@query("error_channel", """SELECT event_id AS "offset", CASE WHEN value < 60 THEN 'dead-letter' WHEN event_type = 'click' THEN 'clicks' ELSE 'others' END AS topic,
+  CASE WHEN value < 20 THEN 'not json' WHEN value < 60 THEN '{"n":' || event_id || '}' ELSE event_type END AS value,
+  CASE WHEN value < 20 THEN 'payload is not JSON' WHEN value < 60 THEN 'condition cannot be decided' END AS error
+FROM events WHERE value < 20 OR event_id % 7 <> 3""")
+def error_channel(spark, sf):
+    events = table(spark, sf, "events")
+    payload = (
+        F.when(F.col("value") < 20, "not json")
+        .when(F.col("value") < 60, F.concat(F.lit('{"n":'), "event_id", F.lit("}")))
+        .otherwise(F.concat(F.lit('{"n":'), "event_id", F.lit(',"type":"'), "event_type", F.lit('"}')))
+    )
+    rows = events.select(F.lit("in").alias("topic"), F.col("event_id").alias("offset"), payload.cast("binary").alias("value"))
+    kept = E.filter_checked(E.checked(rows), F.try_variant_get(F.col("json"), "$.n", "bigint") % 7 != 3)
+    kind = F.try_variant_get(F.col("json"), "$.type", "string")
+    sent = E.map_checked(E.route_checked(kept, kind == "click", "clicks", "others"), kind)
+    return E.settled(sent).select("offset", "topic", F.col("value").cast("string").alias("value"), "error")
+
+
 @query("topic_map", """SELECT o_orderkey, 'raw.tpch/' || o_orderstatus || '/' || o_orderpriority || '.v1' AS topic FROM orders""")
 def topic_map(spark, sf):
     orders = table(spark, sf, "orders")

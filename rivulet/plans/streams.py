@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rivulet.operators import aggregation as A, keyed as K
+from rivulet.plans.aggregates import SESSIONS
 from rivulet.plans.inputs import RECORDS, plain, records, scratch, table
 from rivulet.plans.registry import query
 from rivulet.sinks.tables import VersionedTable
@@ -56,6 +57,13 @@ def stream_window(spark, sf):
     return out.withColumns({"result": F.round("result", 4), "window_end": F.col("window_end").cast("timestamp_ntz")})
 
 
+@query("stream_sessions", f"""{SESSIONS} WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""")
+def stream_sessions(spark, sf):
+    """Sessions that the watermark has closed."""
+    out = _appended(spark, sf, lambda stream: A.aggregate(stream, "sum", "value", "type", session="4 minutes", watermark="10 minutes"))
+    return out.withColumns({"result": F.round("result", 4), **{c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}})
+
+
 @query("stream_dedupe", f'WITH {RECORDS} SELECT topic, "partition", "offset" FROM records')
 def stream_dedupe(spark, sf):
     def build(stream):

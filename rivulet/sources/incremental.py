@@ -8,11 +8,11 @@ aggregate over the rows it returned and is stored only after they are written.
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime, timedelta
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from rivulet.operators.ordered import top_per_group
 
@@ -75,6 +75,27 @@ def mark(rows: DataFrame, *cols: str, group_col: str | None = None) -> DataFrame
     return rows.groupBy(group_col).agg(top) if group_col else rows.agg(top)
 
 
+def observed(rows: DataFrame, *cols: str) -> tuple[DataFrame, Callable[[], Any]]:
+    """The rows, and a function that gives the cursor after them once they have been written.
+
+    The cursor is taken from the rows as they pass, not by another read: what
+    comes into the table meanwhile lies behind it and is read the next time.
+    """
+    seen = Observation()
+    top = F.max(F.struct(*cols)) if len(cols) > 1 else F.max(cols[0])
+    return rows.observe(seen, top.alias("mark")), lambda: seen.get["mark"]
+
+
+def write_marked(rows: DataFrame, write: Callable[[DataFrame], None], store: str, source: str, *cols: str) -> Any:
+    """Write rows and save the cursor after them, from one pass. A failed write leaves the cursor where it was."""
+    passing, cursor = observed(rows, *cols)
+    write(passing)
+    value = cursor()
+    if value is not None:
+        save_mark(rows.sparkSession, store, source, value)
+    return value
+
+
 def initial_mark(store: DataFrame | None, source: str, now: datetime, lookback_seconds: int) -> datetime:
     """The stored mark of a source, or `now` minus the lookback on the first run."""
     row = None if store is None else store.where(F.col("source") == source).agg(F.max("mark").alias("m")).first()
@@ -147,6 +168,30 @@ _INTEGER = re.compile(r"[+-]?[0-9]+")
 _NUMBER = re.compile(r"[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?")
 
 
+def _resolved(name: str, schema: T.StructType) -> tuple[Column, T.DataType] | None:
+    """The column at a dotted path and its type; names agree as Spark's do, without regard to case."""
+    kind: T.DataType = schema
+    steps = []
+    whole = next((f for f in schema.fields if f.name.lower() == name.lower()), None)
+    for step in [name] if whole else name.split("."):
+        found = [f for f in kind.fields if f.name.lower() == step.lower()] if isinstance(kind, T.StructType) else []
+        found = [f for f in found if f.name == step] or found
+        if len(found) != 1:
+            return None
+        steps.append(found[0].name)
+        kind = found[0].dataType
+    return F.col(".".join(f"`{step}`" for step in steps)), kind
+
+
+def _number(value: int | float) -> Column:
+    """A number as a literal; whole ones beyond 64 bits as decimals, beyond 38 digits as doubles."""
+    if isinstance(value, float) or -(1 << 63) <= value < 1 << 63:
+        return F.lit(value)
+    if abs(value) < 10**38:
+        return F.lit(str(value)).cast("decimal(38,0)")
+    return F.lit(str(value)).cast("double")
+
+
 def literal(text: str) -> Any:
     """A filter value: integer, else double, else boolean, else text."""
     if _INTEGER.fullmatch(text):
@@ -160,20 +205,25 @@ def predicate(text: str, schema: T.StructType) -> Column | None:
     """`field:op:value` as a filter; anything else filters nothing.
 
     A value of another kind than the column matches nothing: a number only
-    compares with numbers, text only with text, dates and times.
+    compares with numbers, text only with text, dates and times. Dotted names
+    lead into structs; a name that the schema lacks matches nothing.
     """
     parts = text.split(":", 2)
     if len(parts) < 3 or parts[1].strip().lower() not in _COMPARE:
         return None
-    name, value = parts[0].strip(), literal(parts[2].strip())
-    kind = next((f.dataType for f in schema.fields if f.name == name), None)  # nested fields compare as they are
+    field, value = _resolved(parts[0].strip(), schema), literal(parts[2].strip())
+    if field is None:
+        return F.lit(False)
+    column, kind = field
     number, truth = isinstance(value, (int, float)) and not isinstance(value, bool), isinstance(value, bool)
-    if isinstance(kind, T.NumericType) != number and kind is not None or isinstance(kind, T.BooleanType) != truth and kind is not None:
+    if isinstance(kind, T.NumericType) != number or isinstance(kind, T.BooleanType) != truth:
+        return F.lit(False)
+    if not number and not truth and not isinstance(kind, (T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)):
         return F.lit(False)
-    given = F.lit(value)
+    given = _number(value) if number else F.lit(value)
     if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         given = given.try_cast(kind)
-    return _COMPARE[parts[1].strip().lower()](F.col(name), given)
+    return _COMPARE[parts[1].strip().lower()](column, given)
 
 
 def query(df: DataFrame, where: str | None = None, order_by: str | None = None, descending: bool = False,
