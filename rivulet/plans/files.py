@@ -10,7 +10,7 @@ from rivulet.operators import writes as W
 from rivulet.plans.inputs import RECORDS, plain, records, scratch, table
 from rivulet.plans.registry import query
 from rivulet.sinks import files as S, tables as B
-from rivulet.sources import files as I, frames as M, generate as G, incremental as C
+from rivulet.sources import delimited as L, files as I, frames as M, generate as G, incremental as C
 
 _CUSTOMER = "c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment"
 _AS_TEXT = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in _CUSTOMER.split(", "))
@@ -24,6 +24,16 @@ def csv_scan(spark, sf):
     return I.read_csv(spark, f"{folder};{folder}-missing", delimiter=";", trim=True, key_field="c_custkey").drop("source_file")
 
 
+@query("csv_split", """SELECT CAST(doc_id AS VARCHAR) AS doc_id, '"' || source || '", ' || lang AS origin, replace(text, '.', '"' || chr(13) || chr(10)) AS text FROM documents""")
+def csv_split(spark, sf):
+    """Quotes and line breaks in most values, read in byte ranges."""
+    folder = scratch(spark)
+    docs = table(spark, sf, "documents").select(
+        "doc_id", F.concat(F.lit('"'), "source", F.lit('", '), "lang").alias("origin"), F.replace(F.col("text"), F.lit("."), F.lit('"\r\n')).alias("text"))
+    docs.write.csv(folder, header=True, quote='"', escape='"', quoteAll=True, lineSep="\n", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return L.read_large_csv(spark, [folder]).drop("source_file")
+
+
 @query("csv_sink", """SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, '{"source":"' || source || '","n":' || n_chars || '}' AS origin, CAST(NULL AS VARCHAR) AS note FROM documents""")
 def csv_sink(spark, sf):
     folder = scratch(spark)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F, types as T
 
 from rivulet.operators import graph as G, points as P, replication as M, writes as W
 from rivulet.sinks import files as S, tables as B
-from rivulet.sources import files as I, frames as X, generate as Gen, incremental as C, jdbc, script
+from rivulet.sources import delimited as L, files as I, frames as X, generate as Gen, incremental as C, jdbc, script
 from rivulet.streaming import queries as Q
 
 
@@ -313,3 +313,39 @@ def test_stream_changes_beyond_memory(spark, tmp_path, monkeypatch):
     Q.run_available(Q.on_change_stream(stream, ["topic"], "offset", ["value"]), f"{tmp_path}/out", f"{tmp_path}/c", state_partitions=1)
     got = sorted(r.offset for r in spark.read.parquet(f"{tmp_path}/out").collect())
     assert got == [i for i in range(500) if i == 0 or rows[i][3] != rows[i - 1][3]]
+
+
+@pytest.mark.parametrize("size", ["64b", "1000b", "8m"])
+def test_large_csv_equals_whole_file_parse(spark, tmp_path, size):
+    rng = random.Random(9)
+    for name, header in (("a", "id,text,note"), ("b", "id,note")):
+        lines = [header]
+        for i in range(120):
+            text = "".join(rng.choice(["x", "é", '""', "\n", "\r\n", ",", " ", "line"]) for _ in range(rng.choice([0, 3, 40, 200])))
+            lines.append(f'{i},"{text}",plain {i}' if name == "a" else f'{i},"{text}"')
+            lines += [""] if rng.random() < 0.1 else []
+        (tmp_path / f"{name}.csv").write_bytes("\n".join(lines).encode() + (b"\n" if name == "a" else b""))
+    names = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"]
+    for name in names:
+        spark.conf.set(name, size)
+    try:
+        got = L.read_large_csv(spark, [str(tmp_path)]).select("id", "text", "note", "source_file").collect()
+        tasks = L._lines(spark, [str(tmp_path)]).rdd.getNumPartitions()
+    finally:
+        for name in names:
+            spark.conf.unset(name)
+    want = I.read_csv(spark, str(tmp_path)).select("id", "text", "note", "source_file").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, want), key=str) and len(got) == 240
+    assert size != "64b" or tasks > 100
+
+
+def test_large_csv_cases(spark, tmp_path):
+    (tmp_path / "bare.csv").write_bytes('Ä;"x;y"\n\nB;25\n'.encode("latin-1"))
+    bare = L.read_large_csv(spark, [f"{tmp_path}/bare.csv"], delimiter=";", header=False, encoding="iso-8859-1")
+    assert sorted(tuple(r)[:2] for r in bare.collect()) == [("B", "25"), ("Ä", "x;y")] and bare.columns == ["field_0", "field_1", "source_file"]
+    blank = L.read_large_csv(spark, [f"{tmp_path}/bare.csv"], delimiter=";", header=False, encoding="iso-8859-1", skip_blank=False)
+    assert sorted(map(str, (r.field_0 for r in blank.collect()))) == ["B", "None", "Ä"]
+    (tmp_path / "open.csv").write_text('id,text\n1,"never\nended\n')
+    assert [(r.id, r.text.rstrip()) for r in L.read_large_csv(spark, [f"{tmp_path}/open.csv"]).collect()] == [("1", "never\nended")]
+    (tmp_path / "empty.csv").write_text("")
+    assert L.read_large_csv(spark, [f"{tmp_path}/empty.csv"]).count() == 0
