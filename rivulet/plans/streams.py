@@ -12,7 +12,7 @@ from rivulet.operators import aggregation as A, keyed as K
 from rivulet.plans.aggregates import SESSIONS
 from rivulet.plans.inputs import RECORDS, plain, records, scratch, table
 from rivulet.plans.registry import query
-from rivulet.sinks.tables import VersionedTable
+from rivulet.sinks.tables import BucketedTable, VersionedTable
 from rivulet.sources import files as I
 from rivulet.streaming import queries as Q
 
@@ -117,3 +117,16 @@ def stream_batches(spark, sf):
     out = _appended(spark, sf, build)
     return out.select("topic", "partition", "first_offset", F.col("key").cast("string").alias("key"),
                       F.md5("value").alias("digest"), "message_count", "total_bytes")
+
+
+@query("stream_bucketed", f"""WITH {RECORDS}
+SELECT key, max_by(topic, "offset") AS topic, max("offset") AS "offset" FROM records GROUP BY key""")
+def stream_bucketed(spark, sf):
+    schema = "key string, topic string, offset long"
+
+    def run(stream, folder):
+        updates = stream.select(F.col("key").cast("string").alias("key"), "topic", "offset")
+        Q.apply_stream(updates, f"{folder}/table", "upsert", ["key"], ["offset"], updates.schema, f"{folder}/checkpoint", buckets=8)
+
+    table = f"{_replayed(spark, sf, run)}/table"
+    return BucketedTable(spark, table, ["key"], spark.createDataFrame([], schema).schema, 8).read()

@@ -64,6 +64,86 @@ class VersionedTable:
         self.commit(write_mode(current, updates, mode, pk, order), batch, writer, 0 if last is None else last.version)
 
 
+class BucketedTable(VersionedTable):
+    """A versioned table in buckets of its key: a batch reads and writes only the buckets that its updates touch.
+
+    A version is a manifest: the folders that make up each bucket. Inserts add
+    folders to buckets, other modes replace the folders of the touched ones, and
+    all other buckets keep theirs. Folders that no kept version names go with
+    `expire`. The key, its bucket count and the schema stay as they were first.
+    """
+
+    _MANIFEST = "bucket int, folder string"
+
+    def __init__(self, spark: SparkSession, path: str, pk: Sequence[str], schema: T.StructType, buckets: int = 64):
+        super().__init__(spark, path)
+        self.pk, self.schema, self.buckets = list(pk), schema, buckets
+
+    def _bucket(self):
+        return F.pmod(F.xxhash64(*[F.col(c).cast(self.schema[c].dataType).cast("string") for c in self.pk]), F.lit(self.buckets)).cast("int")
+
+    def _parts(self, folder: str) -> list[tuple[int, str]]:
+        return [tuple(r) for r in self.spark.read.schema(self._MANIFEST).parquet(f"{self.path}/{folder}").collect()]
+
+    def _rows(self, parts: Sequence[tuple[int, str]]) -> DataFrame:
+        if not parts:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/{folder}/bucket={bucket}" for bucket, folder in sorted(parts)])
+
+    def read(self) -> DataFrame | None:
+        last = self._last()
+        return None if last is None else self._rows(self._parts(last.folder))
+
+    def apply(self, updates: DataFrame, mode: str, pk: Sequence[str] = (), order: Sequence[str] = ("offset",), schema: T.StructType | None = None,
+              batch: int | None = None, writer: str = "") -> None:
+        """Run a write mode against the buckets it touches; a batch that this writer has applied is skipped."""
+        if pk and list(pk) != self.pk:
+            raise ValueError(f"the table's key is {self.pk}")
+        if batch is not None and self.applied(batch, writer):
+            return
+        last = self._last()
+        parts = [] if last is None else self._parts(last.folder)
+        if mode == "insert":
+            kept, made = parts, write_mode(self._rows([]), updates, mode, self.pk, order)
+        else:
+            # bucket numbers only, as many as there are buckets at most
+            touched = {r.b for r in updates.select(self._bucket().alias("b")).distinct().collect()}
+            kept = [p for p in parts if p[0] not in touched]
+            made = write_mode(self._rows([p for p in parts if p[0] in touched]), updates, mode, self.pk, order)
+        folder = f"b{uuid.uuid4().hex}"
+        # rebalancing splits a bucket that outgrows a task, and joins small ones
+        rows = made.select(*self.schema.names).withColumn("bucket", self._bucket()).hint("rebalance", "bucket")
+        rows.write.partitionBy("bucket").parquet(f"{self.path}/{folder}")
+        written = self.spark.read.schema(T.StructType([*self.schema, T.StructField("bucket", T.IntegerType())])).parquet(f"{self.path}/{folder}")
+        kept = kept + [(r.bucket, folder) for r in written.select("bucket").distinct().collect()]
+        manifest = self.spark.createDataFrame(sorted(kept), self._MANIFEST).coalesce(1)
+        self.commit(manifest, batch, writer, 0 if last is None else last.version)
+
+    def expire(self, keep: int = 2) -> list[str]:
+        """Delete the folders that only versions before the last `keep` name; returns them. The log keeps all batches.
+
+        Run it while no reader needs the older versions.
+        """
+        log = self._log()
+        versions = [] if log is None else log.orderBy(F.desc("version")).select("folder").collect()
+        alive = {row.folder for row in versions[:keep]}
+        for row in versions[:keep]:
+            alive |= {name for bucket, folder in self._parts(row.folder) for name in (folder, f"{folder}/bucket={bucket}")}
+        jvm = self.spark.sparkContext._jvm
+        at = lambda name: jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
+        files = at("").getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        listed = lambda name: sorted(f.getPath().getName() for f in files.listStatus(at(name)))
+        gone = []
+        for name in listed(""):
+            if name[0] in "bv" and name not in alive:
+                gone.append(name)
+            elif name[0] == "b":
+                gone += [f"{name}/{part}" for part in listed(name) if part.startswith("bucket=") and f"{name}/{part}" not in alive]
+        for name in gone:
+            files.delete(at(name), True)
+        return gone
+
+
 def load(df: DataFrame, path: str, disposition: str = "append") -> None:
     """Bulk load: `truncate` replaces the table's content, `append` adds to it."""
     modes = {"truncate": "overwrite", "append": "append"}

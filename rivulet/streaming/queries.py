@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from rivulet.operators.batching import joined_texts, record_text
 from rivulet.records import as_text, payload_size
 from rivulet.session import STATE_STORE
-from rivulet.sinks.tables import VersionedTable
+from rivulet.sinks.tables import BucketedTable, VersionedTable
 
 
 def run_available(df: DataFrame, sink: Callable[[DataFrame, int], None] | str, checkpoint: str, mode: str = "append",
@@ -41,16 +41,19 @@ def run_available(df: DataFrame, sink: Callable[[DataFrame, int], None] | str, c
 
 
 def apply_stream(df: DataFrame, table: str, mode: str, pk: Sequence[str], order: Sequence[str], schema: T.StructType,
-                 checkpoint: str) -> None:
+                 checkpoint: str, buckets: int | None = None) -> None:
     """Keep a versioned table up to date from a stream; replayed batches are recognised.
 
+    With `buckets`, a micro-batch rewrites only the key buckets it touches.
+
     The query's id, which its checkpoint keeps, tells its batches from those of other queries.
     """
     spark = df.sparkSession
 
     def write(batch: DataFrame, batch_id: int) -> None:
         writer = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or checkpoint
-        VersionedTable(spark, table).apply(batch, mode, pk, order, schema, batch_id, writer)
+        target = VersionedTable(spark, table) if buckets is None else BucketedTable(spark, table, pk, schema, buckets)
+        target.apply(batch, mode, pk, order, schema, batch_id, writer)
 
     run_available(df, write, checkpoint)
 

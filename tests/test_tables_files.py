@@ -349,3 +349,28 @@ def test_large_csv_cases(spark, tmp_path):
     assert [(r.id, r.text.rstrip()) for r in L.read_large_csv(spark, [f"{tmp_path}/open.csv"]).collect()] == [("1", "never\nended")]
     (tmp_path / "empty.csv").write_text("")
     assert L.read_large_csv(spark, [f"{tmp_path}/empty.csv"]).count() == 0
+
+
+def test_bucketed_table_rewrites_what_it_touches(spark, tmp_path):
+    schema = spark.createDataFrame([], "id long, v string, offset long").schema
+    path = f"{tmp_path}/t"
+    table = B.BucketedTable(spark, path, ["id"], schema, 16)
+    frame = lambda rows: spark.createDataFrame(rows, schema)
+    written = lambda: sum(f.stat().st_size for f in tmp_path.rglob("b*/**/*.parquet"))
+    table.apply(frame([(i, "a" * 50, 0) for i in range(4000)]), "upsert", order=["offset"], batch=0, writer="w")
+    first = written()
+    table.apply(frame([(7, "new", 1), (7, "newer", 2)]), "upsert", order=["offset"], batch=1, writer="w")
+    assert written() - first < first / 8
+    table.apply(frame([(7, "again", 9)]), "upsert", order=["offset"], batch=1, writer="w")  # a replay
+    table.apply(frame([(5, None, 3), (None, "x", 4)]), "delete")
+    table.apply(frame([(9000, "z", 5), (8, "twice", 6)]), "insert")
+    got = {(r.id, r.v) for r in table.read().collect()}
+    assert got == {(i, "a" * 50) for i in range(4000) if i not in (5, 7)} | {(7, "newer"), (9000, "z"), (8, "twice")}
+    with pytest.raises(RuntimeError):
+        B.BucketedTable.commit(table, spark.createDataFrame([(0, "b0")], B.BucketedTable._MANIFEST), after=1)
+    before = written()
+    assert table.expire(1) and written() < before and {(r.id, r.v) for r in table.read().collect()} == got
+    assert table.applied(1, "w") and not table.applied(2, "w")
+    with pytest.raises(ValueError):
+        table.apply(frame([]), "upsert", ["v"])
+    assert B.BucketedTable(spark, f"{tmp_path}/none", ["id"], schema).read() is None
