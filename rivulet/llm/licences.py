@@ -252,16 +252,18 @@ def spans(text: str | None, index: Index) -> list[tuple[str, float, int, int, in
     if not finds:
         return []
     places = [(m.start(), m.end()) for m in TOKEN.finditer(lower)]
-    chosen: list[tuple] = []
+    chosen: list[tuple] = []  # by first word; they do not overlap
     for value, _, begin, end, template in sorted(finds):
-        if all(end < b or e < begin for *_, b, e in chosen):
+        at = bisect_left(chosen, (end + 1,))
+        if at == 0 or chosen[at - 1][1] < begin:
             # a clause that comes next belongs to another variant
             if marks(words[begin : end + 1]) != index.marks[template] or ("neither" in words[end + 1 : end + 7] and "neither" not in index.marks[template]):
                 continue
-            chosen.append((index.all[template][1], -value, begin, end))
+            chosen.insert(at, (begin, end, index.all[template][1], -value))
+    breaks = [at for at, c in enumerate(text) if c == "\n"]
     return [
-        (name, value, text.count("\n", 0, places[begin][0]), text.count("\n", 0, places[end][0]), places[begin][0], places[end][1])
-        for name, value, begin, end in sorted(chosen, key=lambda x: x[2])
+        (name, value, bisect_left(breaks, places[begin][0]), bisect_left(breaks, places[end][0]), places[begin][0], places[end][1])
+        for begin, end, name, value in chosen
     ]
 
 
