@@ -60,13 +60,13 @@ class Tree:
         return self.high @ np.maximum(query, 0) + self.low @ np.minimum(query, 0)
 
     def search(self, query: np.ndarray, own: int, k: int, floor: float) -> list[tuple[int, int]]:
-        """(score, id) of the k best points other than the query's own, best first, smaller ids first in ties.
+        """(score, row) of the k best points other than the query's own, best first, smaller ids first in ties.
 
         Points below `floor`, a k-th score known from elsewhere, may be missing.
         """
         bound = self.bounds(query)
         waiting, kth = [(-bound[0], 0)], floor
-        scores, names = np.empty(0, self.points.dtype), np.empty(0, np.int64)
+        scores, best_rows = np.empty(0, self.points.dtype), np.empty(0, np.int64)
         while waiting:
             best, node = heapq.heappop(waiting)
             if -best < kth:
@@ -80,12 +80,12 @@ class Tree:
             score = self.points[rows] @ query
             fits = (score >= kth) & (self.ids[rows] != own)
             if fits.any():
-                scores, names = np.concatenate([scores, score[fits]]), np.concatenate([names, self.ids[rows][fits]])
-                order = np.lexsort((names, -scores))[:k]
-                scores, names = scores[order], names[order]
+                scores, best_rows = np.concatenate([scores, score[fits]]), np.concatenate([best_rows, rows[fits]])
+                order = np.lexsort((self.ids[best_rows], -scores))[:k]
+                scores, best_rows = scores[order], best_rows[order]
                 if len(scores) == k:
                     kth = max(kth, scores[-1])
-        return [(int(s), int(i)) for s, i in zip(scores, names)]
+        return [(int(s), int(i)) for s, i in zip(scores, best_rows)]
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -94,7 +94,7 @@ def _matrix(column: pd.Series) -> np.ndarray:
 
 def _search(k: int, leaf: int):
     def run(shard: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        found = {"query_id": [], "vec_id": [], "score": []}
+        found = {"query_id": [], "vec_id": [], "score": [], "copies": []}
         if len(shard) and len(queries):
             points, asked = _matrix(shard["v"]), _matrix(queries["q"])
             largest = float(np.abs(points).max(initial=0)) * float(np.abs(asked).max(initial=0)) * points.shape[1]
@@ -103,14 +103,16 @@ def _search(k: int, leaf: int):
             elif largest >= 2.0**63:
                 points, asked = points.astype(object), asked.astype(object)
             tree = Tree(points, shard["vec_id"].to_numpy(), leaf)
+            copies = shard["copies"].to_numpy()
             floors = queries["floor"].to_numpy(dtype=object)
             for query, own, floor in zip(asked, queries["query_id"], floors):
                 floor = -math.inf if floor is None or floor != floor else floor
-                for score, name in tree.search(query, own, k, floor):
+                for score, row in tree.search(query, own, k, floor):
                     found["query_id"].append(own)
-                    found["vec_id"].append(name)
+                    found["vec_id"].append(tree.ids[row])
                     found["score"].append(score)
-        return pd.DataFrame(found).astype({"query_id": "int64", "vec_id": "int64", "score": "int64"})
+                    found["copies"].append(copies[row])
+        return pd.DataFrame(found).astype(dict.fromkeys(found, "int64"))
 
     return run
 
@@ -124,8 +126,8 @@ def top_k(
     Vectors and queries are arrays of longs; those that are null, have a null
     key or differ in length from the other side take no part. Ties go to the
     smaller id. A vector with the query's own id is not among its results.
-    Rows that repeat both id and vector count once. Scores beyond 64 bits
-    fail. Queries with fewer than k other vectors get all of them. Other
+    Rows that repeat both id and vector are that many results; they are searched
+    once. A query row that is repeated asks once. Scores beyond 64 bits fail. Queries with fewer than k other vectors get all of them. Other
     columns are not read; empty tables give no rows.
 
     Vectors are dealt evenly over shards by a hash, so no key makes one large.
@@ -134,14 +136,14 @@ def top_k(
     """
     rows = vectors.select(F.col(key).cast("long").alias("vec_id"), F.col(vector).alias("v")).where("vec_id is not null and v is not null")
     asked = queries.select(F.col(query_key).cast("long").alias("query_id"), F.col(vector).alias("q")).where("query_id is not null and q is not null")
-    rows, asked = stored(rows.distinct()), stored(asked.distinct())
+    rows, asked = stored(rows.groupBy("vec_id", "v").agg(F.count("*").alias("copies"))), stored(asked.distinct())
     dealt = F.xxhash64("vec_id", "v")
     sizes = rows.groupBy(F.size("v").alias("dims")).count().withColumn("shards", F.ceil(F.col("count") / shard).cast("int"))
     blocks = parts(asked.count(), block)
     own_block = F.pmod(F.xxhash64("query_id", "q"), F.lit(blocks)).cast("int")
     sizes = sizes.select("dims", "shards")
     points = rows.withColumn("dims", F.size("v")).join(sizes, "dims").select(
-        "dims", "vec_id", "v", F.pmod(dealt, F.col("shards")).cast("int").alias("shard")
+        "dims", "vec_id", "v", "copies", F.pmod(dealt, F.col("shards")).cast("int").alias("shard")
     )
     questions = asked.withColumn("dims", F.size("q")).join(sizes, "dims").select("dims", "shards", "query_id", "q", own_block.alias("block"))
     block_numbers = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
@@ -149,7 +151,7 @@ def top_k(
     def searched(some: DataFrame, against: DataFrame) -> DataFrame:
         by = ["dims", "shard", "block"]
         return some.withColumn("block", block_numbers).groupBy(*by).cogroup(against.groupBy(*by)).applyInPandas(
-            _search(k, leaf), "query_id long, vec_id long, score long"
+            _search(k, leaf), "query_id long, vec_id long, score long, copies long"
         )
 
     first = stored(searched(
@@ -164,4 +166,6 @@ def top_k(
     ).select("dims", "shard", "block", "query_id", "q", "floor")
     found = first.union(searched(points.where("shard > 0"), others))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    # the k best without copies hold the k best with them
+    found = found.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.least("copies", F.lit(k)))))
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rivulet.llm import collocations, infill, weighted
+from rivulet.llm import collocations, infill, kdtree, licences, weighted
 
 ODD = [None, "", " ", "a", "é", "日本語 テキスト 😀", "a<P>b", "x <S> y", "tail <", "<P", ">S<", "one two\nthree\tfour  five", "\n\n", "a" * 5000]
 
@@ -248,3 +248,22 @@ def test_least_counts_are_exact(spark):
     frame = spark.createDataFrame(rows, "text string, lang string").repartition(7)
     got = collocations.collocations(frame).select("phrase", "a", F.col("l"), F.col("r")).collect()
     assert [tuple(r) for r in got] == [("red fox", 10, 10, 19)]
+
+
+def test_repeated_rows_are_results_each(spark):
+    rows = [(1, [3, 1]), (1, [3, 1]), (1, [3, 1]), (2, [2, 2]), (3, [1, 0]), (3, [0, 5]), (100, [1, 1]), (100, [1, 1])]
+    df = spark.createDataFrame(rows, "vec_id long, v array<long>")
+    asked = df.where("vec_id = 100").selectExpr("vec_id AS query_id", "v")
+    got = [(r["rank"], r.vec_id, r.score) for r in kdtree.top_k(df, asked, 5, shard=2, leaf=1).orderBy("rank").collect()]
+    assert got == [(1, 3, 5), (2, 1, 4), (3, 1, 4), (4, 1, 4), (5, 2, 4)]
+
+
+def test_many_notices_in_one_text_are_found_in_proportion():
+    index = licences._index(tuple((n, tuple(t)) for n, t in licences.TEMPLATES.items()), licences.SIMILARITY)
+    lines = ["words between them" if i % 2 else "Licensed under the MIT License." for i in range(3000)]
+    found = licences.spans("\n".join(lines), index)
+    assert [(name, first, last) for name, _, first, last, *_ in found] == [("MIT", i, i) for i in range(0, 3000, 2)]
+    rng = random.Random(12)
+    text = "\n".join(rng.choice(["Licensed under the MIT License.", "a b c", "", "Licensed under the Apache License, Version 2.0"]) for _ in range(400))
+    for _, _, first, last, begin, end in licences.spans(text, index):
+        assert text.count("\n", 0, begin) == first and text.count("\n", 0, end - 1) == last
