@@ -141,7 +141,7 @@ def _shared_ids(sound: DataFrame) -> DataFrame:
 
 
 def _firsts(shared: DataFrame, order: Sequence[str]) -> DataFrame:
-    """The first transfer of every id by order, then by content."""
+    """The first transfer of every id by order, then by content; each map task passes on one per id."""
     own = Window.partitionBy("id").orderBy(*[f"__order_{i}" for i in range(len(order))], *_CONTENT)
     return shared.withColumn("__r", F.row_number().over(own)).where("__r = 1").select("id", *_CONTENT)
 
@@ -157,8 +157,7 @@ def balances(transfers: DataFrame, accounts: DataFrame | None = None, order: Seq
     decimals.
     """
     sound = _sound(transfers, order)
-    shared = _shared_ids(sound)
-    complete = sound.join(shared, "id", "left_anti").select("id", *_CONTENT).unionByName(_firsts(sound.join(shared, "id", "left_semi"), order))
+    complete = _firsts(sound, order)
     ledger, amount = F.col("ledger"), F.col("amount")
     none = F.lit(0).cast("decimal(38,0)")
     legs = F.array(
