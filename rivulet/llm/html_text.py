@@ -4,9 +4,9 @@ A page is read once as a stream of events into lines: the text between two
 block tags, with the number of tags met on the way. The text-to-tag ratios of
 the lines, smoothed by a Gaussian, are clustered into high and low by an
 iterated threshold; the container that holds most of the high text, with the
-headings and paragraphs beside it, is the content region. Containers named
-like what stands around an article are left out unless they hold the article
-or most of the high text.
+headings and paragraphs beside it, is the content region. High text in an
+`article` or `main` counts double. Containers named like what stands around an
+article are left out unless they hold most of the high text.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ from rivulet.llm.common import adding
 SIGMA = 1.0
 #: A container is taken over its parent while it holds this share of the high text.
 SHARE = 0.9
+#: How much more high text in an article or main element counts than other high text.
+HINT = 2
 
 # Elements of the markup language by their role.
 INLINE = set(
@@ -31,10 +33,12 @@ INLINE = set(
 )
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 UNSEEN = set(
-    "head title script style noscript template svg math iframe object audio video canvas map form button select option "
+    "head title script style noscript template svg math iframe object audio video canvas map button select option "
     "textarea input fieldset datalist dialog nav menu aside footer".split()
 )
 CONTENT = {"article", "main"}
+#: Text in these is named for itself: a name marks them only if all of its words do ('social-sciences' does not).
+TEXT = {"p", "blockquote", "pre", "h1", "h2", "h3", "h4", "h5", "h6"}
 #: Start tags that end an open element of the same kind.
 ENDS = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 SCOPE = {"ul", "ol", "dl", "table", "div", "section", "article", "main", "body", "blockquote", "td", "th", "aside", "nav", "header", "footer", "form"}
@@ -42,9 +46,11 @@ SCOPE = {"ul", "ol", "dl", "table", "div", "section", "article", "main", "body",
 AROUND = set(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu "
     "breadcrumb breadcrumbs sidebar aside complementary footer contentinfo masthead cookie cookies consent gdpr notice notices alert "
-    "popup modal overlay comment comments reply replies disqus share sharing social related recommended newsletter subscribe "
+    "popup modal overlay comment comments reply replies disqus discussion discussions teaser teasers share sharing social related recommended newsletter subscribe "
     "subscription signup login search pagination pager toolbar widget hidden".split()
 )
+#: Words that name readers' words; containers named so hold no article beside them.
+READERS = set("comment comments reply replies disqus discussion discussions".split())
 WORD = re.compile(r"[a-z]+")
 #: Names that only say how the page looks ('has-sidebar', 'comments-open') mark nothing.
 LOOKS = re.compile(r"(has|no|with|without|show|hide|hides|overflow)[-_].*|.*[-_](open|opened|closed|on|off|enabled|disabled|page|layout|left|right)")
@@ -61,6 +67,8 @@ class _Lines(HTMLParser):
         self.parents: list[int] = [-1]  # of each container; 0 is the page
         self.kinds: list[str] = [""]
         self.marked: list[bool] = [False]
+        self.readers: list[bool] = [False]
+        self.classes: list[str | None] = [None]
         self.text: list[str] = []
         self.tags = 0
         self.lines: list[tuple[str, int, int, bool]] = []  # text, tags, container, mostly links
@@ -84,10 +92,11 @@ class _Lines(HTMLParser):
         if tag == "a":
             self.linking = True
         # an inline element that stands around the article is marked like any other
-        marked = tag not in CONTENT and tag not in ("html", "body") and any(
-            not AROUND.isdisjoint(WORD.findall(part)) and not LOOKS.fullmatch(part)
-            for name, value in attrs if value and name in ("class", "id", "role") for part in value.lower().split()
-        )
+        names = [] if tag in ("html", "body") else [
+            set(WORD.findall(part)) for name, value in attrs if value and name in ("class", "id", "role")
+            for part in value.lower().split() if not LOOKS.fullmatch(part)
+        ]
+        marked = tag == "form" or any(words and (words <= AROUND if tag in TEXT else words & AROUND) for words in names)
         if tag in VOID:
             if tag not in INLINE:
                 self.end_line()
@@ -108,6 +117,8 @@ class _Lines(HTMLParser):
         self.parents.append(parent)
         self.kinds.append(tag)
         self.marked.append(marked)
+        self.readers.append(marked and any(words & READERS for words in names))
+        self.classes.append(dict(attrs).get("class"))
         self.open.append((tag, len(self.parents) - 1, out))
 
     def handle_startendtag(self, tag, attrs):
@@ -170,35 +181,36 @@ def _weights(lines: list[tuple], content: np.ndarray, parents: list[int]) -> lis
 
 
 def _seen(page: _Lines) -> list[tuple]:
-    """The lines outside of marked containers; those that hold the article or most of the high text count as unmarked."""
+    """The lines outside of marked containers; those that hold most of the high text count as unmarked.
+
+    High text in an article counts double, unless a mark concerns the article
+    itself. Containers of readers' words are unmarked only if they hold nearly
+    all of it, and no article stands outside of them.
+    """
     lines, parents = page.lines, page.parents
     if not any(page.marked):
         return lines
-    weight = _weights(lines, _chosen(lines), parents)
-    under = list(page.marked)  # in a marked container
+    content = _chosen(lines)
+    hinted = [False] * len(parents)  # in an unmarked article
+    said = list(page.readers)  # in a container of readers' words
     for container, parent in enumerate(parents):  # parents come first
-        under[container] = under[container] or (parent >= 0 and under[parent])
-    holds: set[int] = set()  # containers with lines of an article
-    plain = False  # an article that no mark concerns
-    for _, _, container, _ in lines:
-        path, inside = container, False
-        while path >= 0:
-            if inside:
-                holds.add(path)
-            if page.kinds[path] in CONTENT:
-                inside = True
-                plain = plain or not under[path]
-            path = parents[path]
+        article = page.kinds[container] in CONTENT or (parent >= 0 and hinted[parent])
+        hinted[container] = article and not page.marked[container]
+        said[container] = said[container] or (parent >= 0 and said[parent])
+    article = any(hinted[line[2]] and not said[line[2]] for line in lines)
+    weight = _weights(lines, content, parents)
+    double = _weights([line for line in lines if hinted[line[2]]], content[[hinted[line[2]] for line in lines]], parents)
+    weight = [plain + (HINT - 1) * more for plain, more in zip(weight, double)]
     left_out = [False] * len(parents)
     for container, parent in enumerate(parents):
-        article = container in holds and not plain
-        marked = page.marked[container] and not article and 2 * weight[container] <= weight[0]
+        most = 0.5 if not page.readers[container] else 1.0 if article else SHARE
+        marked = page.marked[container] and weight[container] <= most * weight[0]
         left_out[container] = marked or (parent >= 0 and left_out[parent])
     return [line for line in lines if not left_out[line[2]]]
 
 
-def _widened(lines: list[tuple], content: np.ndarray, parents: list[int], kinds: list[str], top: int) -> range:
-    """The lines of a container and of the content beside it, upwards while all that stands beside it is content."""
+def _widened(lines: list[tuple], content: np.ndarray, parents: list[int], kinds: list[str], top: int, limit: int) -> range:
+    """The lines of a container and of the content beside it, up to `limit` while all that stands beside it is content."""
     def child(container: int, ancestor: int) -> int | None:
         """The ancestor's child that holds the container, or the ancestor itself."""
         before = container
@@ -208,7 +220,8 @@ def _widened(lines: list[tuple], content: np.ndarray, parents: list[int], kinds:
 
     held = [i for i, line in enumerate(lines) if child(line[2], top) is not None]
     first, last = held[0], held[-1]
-    while top and (top := parents[top]) >= 0:
+    while top != limit:
+        top = parents[top]
         groups: dict[tuple, list[int]] = {}
         for i, line in enumerate(lines):
             unit = child(line[2], top)
@@ -232,17 +245,46 @@ def _widened(lines: list[tuple], content: np.ndarray, parents: list[int], kinds:
     return range(first, last + 1)
 
 
-def _region(lines: list[tuple], parents: list[int], kinds: list[str]) -> list[str]:
-    """The texts of the content region."""
-    held: set[int] = set()  # in any article
+def _region(lines: list[tuple], parents: list[int], kinds: list[str], classes: list[str | None]) -> list[str]:
+    """The texts of the content region.
+
+    At the page, and in each article or main element, the heaviest article
+    inside is set against the high text outside of all articles; what loses is
+    left out. Articles of one class side by side are one.
+    """
+    within = [-1] * len(parents)  # the next article or main around each container
     for container, parent in enumerate(parents):  # parents come first
-        if kinds[container] in CONTENT or parent in held:
-            held.add(container)
-    marked = [text for text, _, container, _ in lines if container in held]
-    if marked:
-        return marked
-    # the page marks no article: go down while one child holds nearly all of the high text
+        if parent >= 0:
+            within[container] = parent if kinds[parent] in CONTENT else within[parent]
     content = _chosen(lines)
+    limit = -1
+    while True:
+        inner = {c for c, kind in enumerate(kinds) if kind in CONTENT and within[c] == limit}
+        outside = np.array([line[2] not in inner and (line[2] == limit or within[line[2]] == limit) for line in lines])
+        # the low lines of an article are its own as well, but for links
+        own = sum(len(line[0]) for line, out, chosen in zip(lines, outside, content) if out and (chosen or (limit >= 0 and not line[3])))
+        weight = _weights(lines, content, parents)
+        alike: dict[tuple, set[int]] = {}
+        for c in inner:
+            alike.setdefault((parents[c], classes[c]), set()).add(c)
+        best = max(alike.values(), key=lambda group: sum(weight[c] for c in group), default=set())
+        held = sum(weight[c] for c in best)
+        # articles inside of an article are as a rule about it, or comments
+        if held == 0 or (1 if limit >= 0 and kinds[limit] == "article" else HINT) * held < own:
+            break
+        rest = [not _under(line[2], inner - best, parents) for line in lines]
+        lines, content = [line for line, keep in zip(lines, rest) if keep], content[rest]
+        if limit >= 0 and kinds[limit] == "main" and len(best) == 1:  # a headline may stand beside the article
+            return [lines[i][0] for i in _widened(lines, content, parents, kinds, *best, limit)]
+        keep = [_under(line[2], best, parents) for line in lines]
+        lines, content = [line for line, k in zip(lines, keep) if k], content[keep]
+        if len(best) > 1:
+            return [line[0] for line in lines]
+        limit, = best
+    if limit >= 0:
+        return [line[0] for line in lines if not _under(line[2], inner, parents)]
+    lines, content = [line for line, out in zip(lines, outside) if out], content[outside]
+    # the page marks no article: go down while one child holds nearly all of the high text
     weight = _weights(lines, content, parents)
     children: list[list[int]] = [[] for _ in parents]
     for child, parent in enumerate(parents):
@@ -255,7 +297,14 @@ def _region(lines: list[tuple], parents: list[int], kinds: list[str]) -> list[st
         if weight[best] < SHARE * weight[top] or not children[best]:
             break
         top = best
-    return [lines[i][0] for i in _widened(lines, content, parents, kinds, top)]
+    return [lines[i][0] for i in _widened(lines, content, parents, kinds, top, 0)]
+
+
+def _under(container: int, tops: set[int], parents: list[int]) -> bool:
+    """Whether the container is one of some others, or inside of one."""
+    while container >= 0 and container not in tops:
+        container = parents[container]
+    return container >= 0
 
 
 def main_text(html: str | None) -> str:
@@ -272,7 +321,7 @@ def main_text(html: str | None) -> str:
     if not page.lines:
         return ""
     seen = _seen(page)
-    return "\n".join(_region(seen, page.parents, page.kinds)) if seen else ""
+    return "\n".join(_region(seen, page.parents, page.kinds, page.classes)) if seen else ""
 
 
 def extract(pages: DataFrame, html: str = "html", text: str = "text") -> DataFrame:

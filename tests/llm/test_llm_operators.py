@@ -385,6 +385,38 @@ def test_pages_of_several_blocks():
     assert html_text.main_text(f"<article>{long}</article><article><p>Short.</p></article><p>Out</p>") == f"{body}\nShort."
 
 
+TEXT = "\n".join(LINES)
+COMMENT = "<p>I have read all of this and I liked it very much, thank you for it.</p>"
+
+
+@pytest.mark.parametrize("page", [
+    f"<div class='entry-content'>{STORY}</div><div id=comments class=comments-area><article class=comment-body>{COMMENT}</article></div>",
+    f"<div class='entry-content'>{STORY}</div><div id=comments><article>{COMMENT}</article></div>",
+    f"<div class='entry-content'>{STORY}</div><div><article class=card><p>Another story.</p></article><article class=card><p>A third.</p></article></div>",
+    f"<article>{STORY}</article><article class=comment-item>{COMMENT}</article>",
+    f"<article>{STORY}<article>{COMMENT}</article></article>",
+    f"<article>{STORY}</article><section id=comments>{COMMENT * 9}</section>",
+    f"<main>{STORY}<section id=discussion>{COMMENT}</section></main>",
+    f"<main><article>{STORY}</article><article class=teaser><p>Another story.</p></article></main>",
+    f"<form id=aspnetForm><input name=state><div>{STORY}</div><button>Go</button></form>",
+    f"<article>{STORY}<form><p>Your address</p><input></form></article>",
+    f"<article>{STORY.replace('<p>', '<p class=social-sciences>')}<p class='share'>Share this</p></article>",
+])
+def test_pages_whose_articles_are_not_the_story(page):
+    assert html_text.main_text(f"<body><nav>Home</nav>{page}<footer>End</footer></body>") == TEXT
+
+
+def test_page_clusters_decide(monkeypatch):
+    page = f"<body><div><p><a>One</a> <a>Two</a></p></div><div>{STORY}</div></body>"
+    assert html_text.main_text(page) == TEXT
+    monkeypatch.setattr(html_text, "high", lambda values: np.zeros(len(values), bool))
+    assert html_text.main_text(page) != TEXT
+
+
+def test_page_headline_beside_its_article():
+    assert html_text.main_text(f"<body><main><h1>Title</h1><article>{STORY}</article></main></body>") == "Title\n" + TEXT
+
+
 def test_page_methods(odd):
     flat = html_text.smoothed(np.ones(7))
     assert np.allclose(flat, 1)
