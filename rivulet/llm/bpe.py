@@ -21,8 +21,10 @@ from pyspark.sql import DataFrame, types as T
 
 from rivulet.llm.common import adding
 
-#: Words that a Python worker remembers in each of two generations, and the longest such word.
-REMEMBERED, LONGEST = 500_000, 64
+#: Bytes of words and ids that a Python worker remembers in each of two generations, and the longest such word.
+REMEMBERED, LONGEST = 40 << 20, 64
+#: Bytes that an entry takes beside its characters and ids: two headers and a place in the table.
+ENTRY = 240
 
 # The end-of-word mark of the vocabulary format, and rules of letter case.
 WORD_END = "</w>"
@@ -73,6 +75,7 @@ class Vocabulary:
             self.strings[i] = symbol
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.room = REMEMBERED
 
     def merged(self, word: str) -> list[int]:
         """Ids of one word."""
@@ -123,8 +126,9 @@ class Vocabulary:
             else:
                 packed = b"".join([self.known.get(w) or self._word(w) for w in parts])
         if len(word) <= LONGEST:
-            if len(self.known) >= REMEMBERED:  # words in use move on, the others are forgotten
-                self.known, self.older = {}, self.known
+            if self.room <= 0:  # words in use move on, the others are forgotten
+                self.known, self.older, self.room = {}, self.known, REMEMBERED
+            self.room -= ENTRY + len(word) + len(packed)
             self.known[word] = packed
         return packed
 
