@@ -73,7 +73,7 @@ def _lines(docs: DataFrame, key: str, text: str, depth: int) -> DataFrame:
 
 
 def _generalised(lines: DataFrame, known: DataFrame, depth: int, constant: float) -> DataFrame:
-    """`h`, `template` of the lines that have variable fields besides those with digits.
+    """`h`, `template` of the lines that have variable fields besides those with digits; a line without a text has none.
 
     Each line tries as fields: each place, each pair of places (lines below
     `PAIRED` tokens), and its rarest places together, two or more. Of the
@@ -82,14 +82,12 @@ def _generalised(lines: DataFrame, known: DataFrame, depth: int, constant: float
     """
     crowded = stored(known.groupBy("leaf").agg(F.count("*").alias("n")).where("n > 1").select("leaf"))
     wanted = F.broadcast(crowded) if crowded.count() <= SENT else crowded
-    # lines that still hold digits have too few constants to be generalised
-    open_ = F.floor(_words(F.col("line")) * round((1 - constant) * 10_000) / 10_000) - _fields(F.col("line"))
-    texts = stored(
-        lines.where(~F.col("line").rlike("[0-9]")).join(wanted, "leaf", "left_semi")
-        .select("leaf", "h", "line", open_.cast("int").alias("room"), _fields(F.col("line")).alias("had"))
-        .where("room > 0 or had > 0").groupBy("leaf", "h").agg(*[F.first(c).alias(c) for c in ("line", "room", "had")])
-    )
-    tokens = texts.select("leaf", "h", "room", "had", _words(F.col("line")).alias("words"), F.posexplode(F.split("line", " ")).alias("place", "token"))
+    distinct = lines.where("line IS NOT NULL").join(wanted, "leaf", "left_semi").groupBy("leaf", "h").agg(F.first("line").alias("line"))
+    # once per distinct line, and not per token below
+    texts = stored(distinct.select("leaf", "h", "line", _words(F.col("line")).alias("words"), _fields(F.col("line")).alias("had")))
+    open_ = F.floor(F.col("words") * round((1 - constant) * 10_000) / 10_000) - F.col("had")
+    texts = texts.withColumn("room", open_.cast("int")).where("room > 0 or had > 0")
+    tokens = texts.select("leaf", "h", "room", "had", "words", F.posexplode(F.split("line", " ")).alias("place", "token"))
     tokens = tokens.where(F.col("place") >= depth)
     support = tokens.groupBy("leaf", "place", "token").agg(F.count("*").alias("n"))
     # a pattern's hash is the exclusive or over its places, so that a field changes it by `delta`
@@ -137,11 +135,12 @@ def _generalised(lines: DataFrame, known: DataFrame, depth: int, constant: float
 def duplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", depth: int = DEPTH, constant: float = CONSTANT) -> DataFrame:
     """`rid`, `drop` (sorted line numbers from 0): what each document loses, for those that lose a line."""
     lines = _lines(docs, key, text, depth)
-    places = stored(lines.drop("line"))
+    # lines that still hold digits have too few constants to be generalised; the others' texts are kept for that
+    places = stored(lines.withColumn("line", F.when(~F.col("line").rlike("[0-9]"), F.col("line"))))
     # null keys come after all others
     first = F.struct(F.col("key").isNull().alias("null"), F.col("key").alias("key"), F.col("rid").alias("rid"), F.col("pos").alias("pos"))
     known = stored(places.groupBy("leaf", "h").agg(F.min(first).alias("first"), F.min("rid").alias("low"), F.max("rid").alias("high")))
-    wider = stored(_generalised(lines, known, depth, constant))
+    wider = stored(_generalised(places, known, depth, constant))
     # each side has one row per line; a line without further fields is its own template
     templated = stored(known.join(wider, "h", "left").select("h", F.coalesce("template", "h").alias("template"), "first", "low", "high"))
     spread = templated.groupBy("template").agg(F.min("first").alias("first"), F.min("low").alias("low"), F.max("high").alias("high"))
@@ -149,7 +148,7 @@ def duplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", de
     gone = stored(templated.select("h", "template").join(recurring, "template").select(
         "h", F.col("first.rid").alias("first_rid"), F.col("first.pos").alias("first_pos")
     ))
-    dropped = places.join(gone, "h").where((F.col("rid") != F.col("first_rid")) | (F.col("pos") != F.col("first_pos")))
+    dropped = places.drop("line").join(gone, "h").where((F.col("rid") != F.col("first_rid")) | (F.col("pos") != F.col("first_pos")))
     return dropped.groupBy("rid").agg(F.array_sort(F.collect_set("pos")).alias("drop"))
 
 
