@@ -21,7 +21,7 @@ WORDED = 0.75
 #: Lines below this number of tokens have all pairs of places tried as fields.
 PAIRED = 15
 FIELD = "<*>"
-#: Leaves up to this number (eight bytes each) are sent to all tasks; more meet the lines in a shuffle.
+#: Places of lines up to this number (44 bytes each) are sent to all tasks; more meet the documents in a shuffle.
 SENT = 1_000_000
 
 
@@ -72,17 +72,28 @@ def _lines(docs: DataFrame, key: str, text: str, depth: int) -> DataFrame:
     return cut.select("*", _digest(F.col("line")).alias("h"), F.xxhash64(_leaf(F.col("line"), depth)).alias("leaf"))
 
 
-def _generalised(lines: DataFrame, known: DataFrame, depth: int, constant: float) -> DataFrame:
-    """`h`, `template` of the lines that have variable fields besides those with digits; a line without a text has none.
+def _texts(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
+    """`leaf`, `h`, `line` of the lines at some places; only documents that hold one are parted again, and only its lines masked."""
+    at = wanted.groupBy("rid").agg(F.collect_list(F.struct("pos", "leaf", "h")).alias("at"))
+    named = docs.select(_digest(F.col(key), F.col(text)).alias("rid"), F.col(text).alias("text"))
+    found = named.join(F.broadcast(at) if wanted.count() <= SENT else at, "rid")
+    lines = F.transform(F.array(F.split("text", "\n", -1)), lambda cut: F.transform("at", lambda a: F.struct(
+        a["leaf"].alias("leaf"), a["h"].alias("h"), masked(cut[a["pos"]]).alias("line"))))[0]
+    return found.select(F.explode_outer(lines).alias("x")).select("x.*")
+
+
+def _generalised(docs: DataFrame, known: DataFrame, key: str, text: str, depth: int, constant: float) -> DataFrame:
+    """`h`, `template` of the lines that have variable fields besides those with digits.
 
     Each line tries as fields: each place, each pair of places (lines below
     `PAIRED` tokens), and its rarest places together, two or more. Of the
     patterns that several lines of the leaf have, it takes the one with the
     most lines, or one that others took if nobody else takes that.
     """
-    crowded = stored(known.groupBy("leaf").agg(F.count("*").alias("n")).where("n > 1").select("leaf"))
-    wanted = F.broadcast(crowded) if crowded.count() <= SENT else crowded
-    distinct = lines.where("line IS NOT NULL").join(wanted, "leaf", "left_semi").groupBy("leaf", "h").agg(F.first("line").alias("line"))
+    crowded = known.groupBy("leaf").agg(F.count("*").alias("n")).where("n > 1").select("leaf")
+    # lines that still hold digits have too few constants to be generalised
+    wanted = stored(known.where(~F.col("digits")).join(crowded, "leaf", "left_semi").select("leaf", "h", F.col("first.rid").alias("rid"), F.col("first.pos").alias("pos")))
+    distinct = _texts(docs, wanted, key, text).groupBy("leaf", "h").agg(F.first("line").alias("line"))  # repeated documents
     # once per distinct line, and not per token below
     texts = stored(distinct.select("leaf", "h", "line", _words(F.col("line")).alias("words"), _fields(F.col("line")).alias("had")))
     open_ = F.floor(F.col("words") * round((1 - constant) * 10_000) / 10_000) - F.col("had")
@@ -135,12 +146,11 @@ def _generalised(lines: DataFrame, known: DataFrame, depth: int, constant: float
 def duplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", depth: int = DEPTH, constant: float = CONSTANT) -> DataFrame:
     """`rid`, `drop` (sorted line numbers from 0): what each document loses, for those that lose a line."""
     lines = _lines(docs, key, text, depth)
-    # lines that still hold digits have too few constants to be generalised; the others' texts are kept for that
-    places = stored(lines.withColumn("line", F.when(~F.col("line").rlike("[0-9]"), F.col("line"))))
+    places = stored(lines.withColumn("digits", F.col("line").rlike("[0-9]")).drop("line"))
     # null keys come after all others
     first = F.struct(F.col("key").isNull().alias("null"), F.col("key").alias("key"), F.col("rid").alias("rid"), F.col("pos").alias("pos"))
-    known = stored(places.groupBy("leaf", "h").agg(F.min(first).alias("first"), F.min("rid").alias("low"), F.max("rid").alias("high")))
-    wider = stored(_generalised(places, known, depth, constant))
+    known = stored(places.groupBy("leaf", "h", "digits").agg(F.min(first).alias("first"), F.min("rid").alias("low"), F.max("rid").alias("high")))
+    wider = stored(_generalised(docs, known, key, text, depth, constant))
     # each side has one row per line; a line without further fields is its own template
     templated = stored(known.join(wider, "h", "left").select("h", F.coalesce("template", "h").alias("template"), "first", "low", "high"))
     spread = templated.groupBy("template").agg(F.min("first").alias("first"), F.min("low").alias("low"), F.max("high").alias("high"))
@@ -148,7 +158,7 @@ def duplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", de
     gone = stored(templated.select("h", "template").join(recurring, "template").select(
         "h", F.col("first.rid").alias("first_rid"), F.col("first.pos").alias("first_pos")
     ))
-    dropped = places.drop("line").join(gone, "h").where((F.col("rid") != F.col("first_rid")) | (F.col("pos") != F.col("first_pos")))
+    dropped = places.join(gone, "h").where((F.col("rid") != F.col("first_rid")) | (F.col("pos") != F.col("first_pos")))
     return dropped.groupBy("rid").agg(F.array_sort(F.collect_set("pos")).alias("drop"))
 
 
