@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -128,7 +128,7 @@ def _recursive(text: str, separators: Sequence[str], size: int, overlap: int, tr
 
 
 def _packer(strategy: str, size: int, overlap: int, trim: bool, least: int, delimiters: str, separator: str,
-            separators: Sequence[str], compat: bool):
+            separators: Sequence[str], compat: bool) -> Callable[[str], list[Piece]]:
     def chunks(text: str) -> list[Piece]:
         if strategy == "words":
             return _word_windows(text, size, size - overlap)
@@ -138,7 +138,7 @@ def _packer(strategy: str, size: int, overlap: int, trim: bool, least: int, deli
             return _packed(_paragraphs(text, separator, trim, least), separator, size, overlap, trim)
         return _recursive(text, separators, size, overlap, trim, least, compat)
 
-    return rows_of(chunks, CHUNK)
+    return chunks
 
 
 def chunk(df: DataFrame, text_col: str = "text", strategy: str = "fixed-size", size: int = 1000, overlap: int = 200,
@@ -164,7 +164,7 @@ def chunk(df: DataFrame, text_col: str = "text", strategy: str = "fixed-size", s
         staged = df.withColumn("__chunks", _char_windows(text, size, size - overlap, trim))
     else:
         packer = _packer("words" if strategy == "fixed-size" else strategy, size, overlap, trim, min_size, delimiters, separator, separators, compat)
-        staged = df.withColumn("__chunks", packer(text))
+        staged = rows_of(df, kept if skip_empty else df.columns, text, packer, CHUNK, "__chunks")
     found = F.col("__chunks")
     if strategy == "fixed-size":
         found = F.filter(found, lambda c: F.length(c["text"]) >= min_size)

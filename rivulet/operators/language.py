@@ -35,17 +35,15 @@ def _trimmed(pattern: str, text: str) -> Iterator[tuple[str, int, int]]:
             yield own, begin, begin + len(own)
 
 
-def _spans(pattern: str, trim: bool):
-    def whole(text: str):
-        return [(m.group(), *m.span()) for m in re.finditer(pattern, text)]
-
-    return rows_of((lambda text: _trimmed(pattern, text)) if trim else whole, SPAN)
+def _whole(pattern: str, text: str) -> Iterator[tuple[str, int, int]]:
+    return ((m.group(), *m.span()) for m in re.finditer(pattern, text))
 
 
 def _exploded(df: DataFrame, text_col: str, pattern: str, name: str, trim: bool) -> DataFrame:
     kept = [c for c in df.columns if c != text_col]
-    found = _spans(pattern, trim)(F.col(text_col))
-    out = unnest(df, kept, found, "index", "__span")
+    find = _trimmed if trim else _whole
+    found = rows_of(df, kept, F.col(text_col), lambda text: find(pattern, text), SPAN, "__spans")
+    out = unnest(found, kept, "__spans", "index", "__span")
     return out.select(*kept, "index", F.col("__span.text").alias(name), "__span.begin", "__span.end")
 
 
@@ -95,11 +93,10 @@ def pii_spans(df: DataFrame, text_col: str = "text", types: Sequence[str] = tupl
                 rest = compiled.sub(lambda m: "\0" * len(m.group()), rest)
         return sorted(out, key=lambda f: f[1])
 
-    run = rows_of(finds, FIND)
     # texts without digits or @ hold none of these, and never reach Python
     kept = [c for c in df.columns if c != text_col]
     candidates = df.where(F.col(text_col).rlike(_MAY_HOLD_PII))
-    out = unnest(candidates, kept, run(F.col(text_col)), "__at", "__span")
+    out = unnest(rows_of(candidates, kept, F.col(text_col), finds, FIND, "__spans"), kept, "__spans", "__at", "__span")
     return out.select(*kept, "__span.type", F.lit(1.0).alias("score"), "__span.begin", "__span.end")
 
 
@@ -172,7 +169,7 @@ def term_frequencies(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 found.setdefault(m.group(), [0, m.start()])[0] += 1
         return [(term, n, first) for term, (n, first) in found.items()]
 
-    rows = unnest(df, [id_col], rows_of(count, TERM)(F.col(text_col)), "__at", "__term")
+    rows = unnest(rows_of(df, [id_col], F.col(text_col), count, TERM, "__terms"), [id_col], "__terms", "__at", "__term")
     return rows.select(id_col, "__term.*")
 
 
@@ -228,7 +225,7 @@ def summarize(df: DataFrame, n: int = 3, id_col: str = "doc_id", text_col: str =
         return [(index, sentence, -score, rank, begin, end) for rank, (score, index, sentence, begin, end) in enumerate(chosen, 1)]
 
     given = F.struct(F.col(text_col).alias("text"), F.col("__weights.term").alias("terms"), F.col("__weights.weight").alias("weights"))
-    found = unnest(rows, [id_col], rows_of(best, RANKED)(given), "__at", "__best")
+    found = unnest(rows_of(rows, [id_col], given, best, RANKED, "__ranked"), [id_col], "__ranked", "__at", "__best")
     return found.select(id_col, "__best.*")
 
 

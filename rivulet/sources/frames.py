@@ -53,9 +53,9 @@ def split_frames(df: DataFrame, col: str = "value", framing: str = "line", delim
     read = {"line": lines, "delimiter": delimited, "length": prefixed, "raw": lambda data: [data]}[framing]
 
     frame = T.StructType([T.StructField("frame", T.BinaryType())])
-    found = rows_of(lambda data: [(part,) for part in read(data)], frame)
     kept = [c for c in df.columns if c != col]
-    rows = unnest(df, kept, found(F.col(col).cast("binary")), "frame_index", "__frame")
+    found = rows_of(df, kept, F.col(col).cast("binary"), lambda data: ((part,) for part in read(data)), frame, "__frames")
+    rows = unnest(found, kept, "__frames", "frame_index", "__frame")
     return rows.select(*kept, "frame_index", "__frame.frame")
 
 

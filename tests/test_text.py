@@ -4,8 +4,9 @@ import math
 import random
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
+from rivulet.functions.text import HELD, rows_of
 from rivulet.operators import chunking as K, enrichment as N, language as L
 
 
@@ -200,3 +201,42 @@ def test_scores_in_tiles_find_the_same(spark, monkeypatch):
     whole = found()
     monkeypatch.setattr(V, "SCORES", 100)
     assert found() == whole
+
+
+def test_finds_are_held_a_few_at_a_time(spark):
+    class Counted(tuple):
+        alive = 0
+
+        def __new__(cls, values):
+            cls.alive += 1
+            return super().__new__(cls, values)
+
+        def __del__(self):
+            type(self).alive -= 1
+
+    def find(text):
+        for i in range(int(text)):
+            yield Counted((Counted.alive, str(i)))
+
+    fields = T.StructType([T.StructField("alive", T.IntegerType()), T.StructField("text", T.StringType())])
+    # one batch, with rows of many finds, of none and of a few; one column passes through
+    texts = ["1000"] * 300 + ["100000", "", None, "0", "3"]
+    rows = spark.createDataFrame([(i, t, {"k": t}) for i, t in enumerate(texts)], "id int, text string, own map<string,string>").coalesce(1)
+    found = rows_of(rows, ["id", "own"], F.col("text"), find, fields, "found").select(
+        "id", "own", F.size("found").alias("n"), F.array_max("found.alive").alias("most"),
+        (F.col("found.text") == F.transform(F.sequence(F.lit(0), F.size("found") - 1), lambda i: i.cast("string"))).alias("right")).collect()
+    assert [(r.id, r.own["k"], r.n) for r in sorted(found)] == [(i, t, int(t or 0)) for i, t in enumerate(texts)]
+    assert all(r.right for r in found if r.n) and max(r.most or 0 for r in found) < 3 * HELD
+
+
+# column functions hand a whole batch to Python and back, however much is found in it
+STEPS = {
+    "tokens": lambda d: L.tokenize(d),
+}
+
+
+@pytest.mark.parametrize("step", STEPS)
+def test_finds_come_in_batches_of_bounded_size(spark, step):
+    rows = spark.createDataFrame([(1, "One two. Three four!")], "id int, text string")
+    plan = STEPS[step](rows)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "ArrowEvalPython" not in plan
