@@ -231,6 +231,7 @@ def test_finds_are_held_a_few_at_a_time(spark):
 
 # column functions hand a whole batch to Python and back, however much is found in it
 STEPS = {
+    "chunk_sentences": lambda d: K.chunk(d, strategy="sentence", size=500, overlap=0),
     "tokens": lambda d: L.tokenize(d),
 }
 
