@@ -231,6 +231,7 @@ def test_finds_are_held_a_few_at_a_time(spark):
 
 # column functions hand a whole batch to Python and back, however much is found in it
 STEPS = {
+    "summaries": lambda d: L.summarize(d, id_col="id"),
     "term_frequencies": lambda d: L.term_frequencies(d, "id"),
     "chunk_recursive": lambda d: K.chunk(d, strategy="recursive", size=500, overlap=50, compat=True),
     "chunk_sentences": lambda d: K.chunk(d, strategy="sentence", size=500, overlap=0),
