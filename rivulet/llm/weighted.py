@@ -76,13 +76,22 @@ class Sampler:
         self.columns = np.arange(samples)
         self.kept = kept
         self.places: dict[bytes, int] = {}
+        # rows of the terms of the last draws: few, so that terms met again at once are found without a walk through memory
+        self.recent: dict[bytes, int] = {}
+        self.before: dict[bytes, int] = {}
         self.uses, self.names = np.zeros(kept, np.int64), np.zeros(kept, np.uint64)
         self.rate, self.shift, self.start = (np.empty((kept, samples), np.float32) for _ in range(3))
 
-    def _rows(self, names: list[bytes]) -> np.ndarray:
+    def _rows(self, names: list[bytes], again: bool = False) -> np.ndarray:
         """Where the table has the numbers of these terms, after drawing for those that it lacks."""
         places = self.places
-        at = np.array([places.get(name, -1) for name in names], np.int64)
+        if again:
+            known = {**self.before, **self.recent}
+            at = np.array([known.get(name, -1) for name in names], np.int64)
+            for i in np.flatnonzero(at < 0).tolist():
+                at[i] = places.get(names[i], -1)
+        else:
+            at = np.array([places.get(name, -1) for name in names], np.int64)
         new = np.flatnonzero(at < 0)
         if len(new):
             begin, end = len(places), len(places) + len(new)
@@ -97,6 +106,8 @@ class Sampler:
             for some in range(begin, end, DRAWN):
                 self._fill(some, min(some + DRAWN, end))
         self.uses[at] += 1
+        if not again:
+            self.before, self.recent = self.recent, dict(zip(names, at.tolist()))
         return at
 
     def _forget(self) -> None:
@@ -107,11 +118,12 @@ class Sampler:
             table[: len(left)] = table[left]
         self.uses[: len(left)] = self.uses[left] // 2
         self.places = {names[row]: i for i, row in enumerate(left.tolist())}
+        self.recent, self.before = {}, {}
 
     def _fill(self, begin: int, end: int) -> None:
         """Draw the gamma numbers, as sums of exponential ones, and the uniform number of some rows."""
         bits = mixed(self.names[begin:end, None] ^ self.salts)
-        parts = _EXPONENTIAL.take(bits.view(np.uint16).reshape(*bits.shape, 4))
+        parts = _EXPONENTIAL.take(bits.view(np.uint16).reshape(*bits.shape, 4), mode="clip")
         rate = parts[..., 0] + parts[..., 1]
         # in double precision, so that machines whose logarithms differ in the last place still round alike
         lead = np.log(parts[..., 2].astype(np.float64) + parts[..., 3])
@@ -122,21 +134,27 @@ class Sampler:
         self.rate[begin:end], self.shift[begin:end] = rate, shift
         self.start[begin:end] = lead.astype(np.float32) - rate * (np.float32(1) - shift)
 
-    def draw(self, weights: dict[bytes, int]) -> np.ndarray:
-        """The samples in 16 bits each, never 0; all 0 if there are no terms. Of equal arrivals the first term in order counts."""
+    def draw(self, weights: dict[bytes, int], again: bool = False) -> np.ndarray:
+        """The samples in 16 bits each, never 0; all 0 if there are no terms. Of equal arrivals the first term in order counts.
+
+        `again` tells that most terms are those of the two draws before; the samples are the same with and without it.
+        """
         best = np.full(len(self.salts), np.inf, np.float32)
         chosen = np.zeros(len(self.salts), np.uint64)
         terms, step = sorted(weights), min(TERMS, self.kept // 2)
         for at in range(0, len(terms), step):
             part = terms[at : at + step]
-            rows = self._rows(part)
-            arrival = self.start[rows]
+            rows = self._rows(part, again)
+            arrival = self.start.take(rows, axis=0, mode="clip")
             counts = np.array([weights[x] for x in part], np.float64)
             often = np.flatnonzero(counts > 1)
             level = np.zeros((0, len(self.salts)))
             if len(often):
-                level = np.floor(np.log(counts[often, None]).astype(np.float32) / self.rate[rows[often]] + self.shift[rows[often]])
-                arrival[often] -= self.rate[rows[often]] * level
+                rate = self.rate.take(rows[often], axis=0, mode="clip")
+                level = np.log(counts[often, None]).astype(np.float32) / rate
+                level += self.shift.take(rows[often], axis=0, mode="clip")
+                np.floor(level, out=level)
+                arrival[often] -= rate * level
             first = arrival.argmin(axis=0)
             earlier = arrival[first, self.columns]
             sooner = np.flatnonzero(earlier < best)
@@ -152,8 +170,8 @@ class Sampler:
             return np.zeros(len(self.salts), np.uint16)
         return np.maximum(chosen >> U(48), U(1)).astype(np.uint16)
 
-    def sign(self, text: str | None, words: int = WORDS) -> np.ndarray:
-        return self.draw(terms(text or "", words))
+    def sign(self, text: str | None, words: int = WORDS, again: bool = False) -> np.ndarray:
+        return self.draw(terms(text or "", words), again)
 
 
 def written(samples: np.ndarray) -> str:
@@ -205,7 +223,7 @@ def _compared(pairs: Iterable[tuple], schema: pa.Schema, samples: int, words: in
         last, last_sign = following, sampler.sign(following, words)
         half = len(text) // 2
         edited = text[: len(text) - half] + following[:half]
-        edited_sign = sampler.sign(edited, words)
+        edited_sign = sampler.sign(edited, words, again=True)
         digest = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()
         held.append((key, len(text), digest, written(sign), written(edited_sign),
                      float((sign == edited_sign).mean()), float((sign == last_sign).mean())))

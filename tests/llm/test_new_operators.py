@@ -267,3 +267,18 @@ def test_many_notices_in_one_text_are_found_in_proportion():
     text = "\n".join(rng.choice(["Licensed under the MIT License.", "a b c", "", "Licensed under the Apache License, Version 2.0"]) for _ in range(400))
     for _, _, first, last, begin, end in licences.spans(text, index):
         assert text.count("\n", 0, begin) == first and text.count("\n", 0, end - 1) == last
+
+
+def test_terms_met_again_draw_the_same():
+    texts = [" ".join(f"w{(i * 37 + k * k) % 900}" for k in range(250)) for i in range(12)]
+    sampler, plain = weighted.Sampler(64, kept=700), weighted.Sampler(64)
+    for a, b in zip(texts, texts[1:]):
+        sampler.sign(a), sampler.sign(b)
+        # also with terms that neither text has, and once the table has forgotten some
+        for text in (a[: len(a) // 2] + b[: len(b) // 2], f"{a} new {b[:9]}", "", texts[0]):
+            assert (sampler.sign(text, again=True) == plain.sign(text)).all()
+    met = weighted.Sampler(64)
+    met.sign(texts[0]), met.sign(texts[1])
+    # a walk through the large table would miss: it is asked for new terms only
+    met.places.clear()
+    assert (met.sign(texts[0], again=True) == plain.sign(texts[0])).all()
