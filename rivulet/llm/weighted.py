@@ -12,7 +12,8 @@ from __future__ import annotations
 
 import hashlib
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,8 @@ SAMPLES, WORDS = 128, 1
 #: Bytes of a text that are parted into words at once, terms that arrive at once, terms that are drawn for at once,
 #: and terms whose numbers a worker keeps.
 BLOCK, TERMS, DRAWN, KEPT = 1 << 20, 1024, 64, 1 << 17
+#: Words up to which those of a text arrive at once, and how many such texts are read before numbers are drawn.
+SHORT, GROUP = 1 << 15, 16
 
 #: Exponential quantiles; sums of two are gamma numbers of shape two. A table, so that all machines draw alike.
 _EXPONENTIAL = (-np.log((np.arange(1 << 16) + 0.5) / (1 << 16))).astype(np.float32)
@@ -68,14 +71,21 @@ def terms(text: str, words: int = WORDS) -> dict[bytes, int]:
     return found
 
 
+class _Places(dict):
+    """Rows of terms, in order; a term that is asked for gets the next row."""
+
+    def __missing__(self, name: bytes) -> int:
+        self[name] = row = len(self)
+        return row
+
+
 class Sampler:
     """Draws samples of weighted terms. The numbers of the terms used most are kept, in a table of bounded size."""
 
     def __init__(self, samples: int = SAMPLES, kept: int = KEPT):
         self.salts = mixed(np.arange(1, samples + 1, dtype=np.uint64) * ODD[0])
-        self.columns = np.arange(samples)
         self.kept = kept
-        self.places: dict[bytes, int] = {}
+        self.places = _Places()
         # rows of the terms of the last draws: few, so that terms met again at once are found without a walk through memory
         self.recent: dict[bytes, int] = {}
         self.before: dict[bytes, int] = {}
@@ -86,30 +96,35 @@ class Sampler:
         """Where the table has the numbers of these terms, after drawing for those that it lacks."""
         places = self.places
         if again:
-            known = {**self.before, **self.recent}
-            at = np.array([known.get(name, -1) for name in names], np.int64)
-            for i in np.flatnonzero(at < 0).tolist():
-                at[i] = places.get(names[i], -1)
+            found = list(map({**self.before, **self.recent}.get, names))
+            if None in found:
+                found = [places.get(name) if row is None else row for name, row in zip(names, found)]
         else:
-            at = np.array([places.get(name, -1) for name in names], np.int64)
-        new = np.flatnonzero(at < 0)
-        if len(new):
+            found = list(map(places.get, names))
+        if None in found:
+            new = [name for name, row in zip(names, found) if row is None]
             begin, end = len(places), len(places) + len(new)
             if end > self.kept:
                 self._forget()
                 return self._rows(names)
-            at[new] = np.arange(begin, end)
-            for row, i in enumerate(new.tolist(), begin):
-                places[names[i]] = row
-            self.names[begin:end] = [xxhash.xxh64_intdigest(names[i]) for i in new.tolist()]
-            self.uses[begin:end] = 0
-            for some in range(begin, end, DRAWN):
-                self._fill(some, min(some + DRAWN, end))
-        self.uses[at] += 1
+            places.update(zip(new, range(begin, end)))
+            self._add(begin)
+            found = [places[name] if row is None else row for name, row in zip(names, found)]
+        at = np.array(found, np.int64)
         if not again:
-            self.before, self.recent = self.recent, dict(zip(names, at.tolist()))
+            self.uses[at] += 1
+            self.before, self.recent = self.recent, dict(zip(names, found))
         return at
 
+    def _add(self, begin: int) -> None:
+        """Draw for the terms from this row on, which have places only."""
+        end = len(self.places)
+        new = list(islice(reversed(self.places), end - begin))
+        self.names[begin:end] = list(map(xxhash.xxh64_intdigest, reversed(new)))
+        self.uses[begin:end] = 0
+        for some in range(begin, end, DRAWN):
+            self._fill(some, min(some + DRAWN, end))
+
     def _forget(self) -> None:
         """Leave the half of the table that was used most."""
         names, size = list(self.places), self.kept // 2
@@ -117,7 +132,7 @@ class Sampler:
         for table in (self.rate, self.shift, self.start, self.names):
             table[: len(left)] = table[left]
         self.uses[: len(left)] = self.uses[left] // 2
-        self.places = {names[row]: i for i, row in enumerate(left.tolist())}
+        self.places = _Places({names[row]: i for i, row in enumerate(left.tolist())})
         self.recent, self.before = {}, {}
 
     def _fill(self, begin: int, end: int) -> None:
@@ -141,35 +156,93 @@ class Sampler:
         """
         best = np.full(len(self.salts), np.inf, np.float32)
         chosen = np.zeros(len(self.salts), np.uint64)
-        terms, step = sorted(weights), min(TERMS, self.kept // 2)
+        terms, step = list(weights), min(TERMS, self.kept // 2)
+        if len(terms) > step:
+            terms.sort()
         for at in range(0, len(terms), step):
             part = terms[at : at + step]
-            rows = self._rows(part, again)
-            arrival = self.start.take(rows, axis=0, mode="clip")
-            counts = np.array([weights[x] for x in part], np.float64)
-            often = np.flatnonzero(counts > 1)
-            level = np.zeros((0, len(self.salts)))
-            if len(often):
-                rate = self.rate.take(rows[often], axis=0, mode="clip")
-                level = np.log(counts[often, None]).astype(np.float32) / rate
-                level += self.shift.take(rows[often], axis=0, mode="clip")
-                np.floor(level, out=level)
-                arrival[often] -= rate * level
-            first = arrival.argmin(axis=0)
-            earlier = arrival[first, self.columns]
-            sooner = np.flatnonzero(earlier < best)
-            first = first[sooner]
-            best[sooner] = earlier[sooner]
-            levels = np.zeros(len(sooner), np.uint64)
-            if len(often):
-                place = np.minimum(np.searchsorted(often, first), len(often) - 1)
-                has = np.flatnonzero(often[place] == first)
-                levels[has] = level[place[has], sooner[has]].astype(np.uint64)
-            chosen[sooner] = mixed(self.names[rows[first]] + levels * ODD[0])
-        if not terms:
-            return np.zeros(len(self.salts), np.uint16)
+            counts = np.fromiter(map(weights.__getitem__, part), np.float64, len(part))
+            earlier, some = self._first(self._rows(part, again), counts)
+            sooner = earlier < best
+            best[sooner], chosen[sooner] = earlier[sooner], some[sooner]
+        return self._short(chosen) if terms else np.zeros(len(self.salts), np.uint16)
+
+    def _first(self, rows: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """When the first of some terms arrives, for each sample, and what it gives."""
+        arrival = self.start.take(rows, axis=0, mode="clip")
+        often = np.flatnonzero(counts > 1)
+        if len(often):
+            rate = self.rate.take(rows[often], axis=0, mode="clip")
+            level = np.log(counts[often, None]).astype(np.float32) / rate
+            level += self.shift.take(rows[often], axis=0, mode="clip")
+            np.floor(level, out=level)
+            rate *= level
+            arrival[often] -= rate
+        # the least arrivals and then their places, which takes a fraction of what places at once take
+        earlier = arrival.min(axis=0)
+        least = arrival == earlier
+        holds = np.flatnonzero(least.any(axis=1))
+        place, column = least[holds].nonzero()
+        place = holds[place]
+        if len(column) > len(self.salts):
+            names = list(self.places)
+            order = sorted(range(len(place)), key=lambda i: names[rows[place[i]]], reverse=True)
+            place, column = place[order], column[order]
+        first = np.empty(len(self.salts), np.int64)
+        first[column] = place
+        levels = np.zeros(len(self.salts), np.uint64)
+        if len(often):
+            place = np.minimum(np.searchsorted(often, first), len(often) - 1)
+            has = np.flatnonzero(often[place] == first)
+            levels[has] = level[place[has], has].astype(np.uint64)
+        return earlier, mixed(self.names[rows[first]] + levels * ODD[0])
+
+    @staticmethod
+    def _short(chosen: np.ndarray) -> np.ndarray:
         return np.maximum(chosen >> U(48), U(1)).astype(np.uint16)
 
+    def _of(self, rows: np.ndarray) -> np.ndarray:
+        """The samples of a text's words, given by their rows."""
+        if not len(rows):
+            return np.zeros(len(self.salts), np.uint16)
+        return self._short(self._first(*np.unique(rows, return_counts=True))[1])
+
+    def signed(self, group: list[tuple[str, str, bytes, bytes]]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """The samples of short texts, of their edits and of the next texts, as `sign` draws them of single words.
+
+        An edit is given by the bytes of its two parts, which begin the text
+        and the next one: all words but those at the cuts are known from there.
+        """
+        # the next text of one pair is mostly the text of the pair after it
+        room = sum(_room("" if i and text is group[i - 1][1] else text, following) for i, (text, following, _, _) in enumerate(group))
+        if len(self.places) + room > self.kept:
+            self._forget()
+        begin, row, read = len(self.places), self.places.__getitem__, []
+        before = rows_before = None
+        for text, following, head, tail in group:
+            words = rows_before if text is before else self._words(text)
+            after = self._words(following)
+            before, rows_before = following, after
+            left, right = head.lower().split(), tail.lower().split()
+            cut = left[-1:] + right[:1]
+            if len(cut) == 2 and not head[-1:].isspace() and not tail[:1].isspace():
+                cut = [cut[0] + cut[1]]
+            cut += right[1:][-1:]
+            edited = np.concatenate([words[: max(0, len(left) - 1)], after[1 : max(1, len(right) - 1)], np.array(list(map(row, cut)), np.int64)])
+            read.append((words, edited, after))
+        self._add(begin)
+        signs, before, sign_before = [], None, None
+        for words, edited, after in read:
+            sign = sign_before if words is before else self._of(words)
+            before, sign_before = after, self._of(after)
+            signs.append((sign, self._of(edited), sign_before))
+            self.uses[after] += 1
+        return signs
+
+    def _words(self, text: str) -> np.ndarray:
+        words = text.encode("utf-8", "surrogatepass").lower().split()
+        return np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
+
     def sign(self, text: str | None, words: int = WORDS, again: bool = False) -> np.ndarray:
         return self.draw(terms(text or "", words), again)
 
@@ -217,23 +290,56 @@ def _compared(pairs: Iterable[tuple], schema: pa.Schema, samples: int, words: in
     def batch() -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
 
-    for key, text, following in pairs:
-        # the next text of one row is the text of the row after it
-        sign = last_sign if text is last else sampler.sign(text, words)
-        last, last_sign = following, sampler.sign(following, words)
-        half = len(text) // 2
-        edited = text[: len(text) - half] + following[:half]
-        edited_sign = sampler.sign(edited, words, again=True)
-        digest = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()
-        held.append((key, len(text), digest, written(sign), written(edited_sign),
-                     float((sign == edited_sign).mean()), float((sign == last_sign).mean())))
-        if len(held) == 500:
+    # a quarter of the table is room for a group: after forgetting, half of it is free
+    for group, short in _groups(pairs, sampler.kept // 4 if words == 1 else 0):
+        cut = []
+        for _, text, following in group:
+            half = len(text) // 2
+            cut.append([x.encode("utf-8", "surrogatepass") for x in (text[: len(text) - half], following[:half])])
+        if short:
+            signs = sampler.signed([(text, following, *parts) for (_, text, following), parts in zip(group, cut)])
+        else:
+            (_, text, following), = group
+            # the next text of one row is the text of the row after it
+            sign = last_sign if text is last else sampler.sign(text, words)
+            last, last_sign = following, sampler.sign(following, words)
+            half = len(text) // 2
+            signs = [(sign, sampler.sign(text[: len(text) - half] + following[:half], words, again=True), last_sign)]
+        for (key, text, _), parts, (sign, edited_sign, next_sign) in zip(group, cut, signs):
+            digest = hashlib.sha256(b"".join(parts)).hexdigest()
+            held.append((key, len(text), digest, written(sign), written(edited_sign),
+                         float((sign == edited_sign).mean()), float((sign == next_sign).mean())))
+        if len(held) >= 500:
             yield batch()
             held.clear()
     if held:
         yield batch()
 
 
+def _room(text: str, following: str) -> int:
+    """Words of both texts at most, and those at the cuts of an edit."""
+    return (len(text) + len(following)) // 2 + 6
+
+
+def _groups(pairs: Iterable[tuple], most: int) -> Iterator[tuple[list[tuple], bool]]:
+    """Runs of pairs of short texts with so many words at most, and pairs of others alone; and whether they are short."""
+    group: list[tuple] = []
+    total = 0
+    for pair in pairs:
+        room = _room(*pair[1:])
+        short = room <= min(SHORT, most)
+        if group and (not short or len(group) == GROUP or total + room > most):
+            yield group, True
+            group, total = [], 0
+        if short:
+            group.append(pair)
+            total += room
+        else:
+            yield [pair], False
+    if group:
+        yield group, True
+
+
 def _walked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     for batch in batches:
         yield from zip(*[column.to_pylist() for column in batch.columns])

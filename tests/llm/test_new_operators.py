@@ -282,3 +282,32 @@ def test_terms_met_again_draw_the_same():
     # a walk through the large table would miss: it is asked for new terms only
     met.places.clear()
     assert (met.sign(texts[0], again=True) == plain.sign(texts[0])).all()
+
+
+def test_texts_read_in_groups_are_signed_alike(monkeypatch):
+    rng = random.Random(12)
+    texts = ["", " ", "a", "one", "\u00e4\u20ac\U0001f600 x", "No end", " begins", "ends ", "UPPER upper\n\tUpper", "same same same"]
+    texts += [prose(rng, rng.randint(0, 90)) for _ in range(60)] + [" ".join(f"n{rng.randint(0, 400)}" for _ in range(200)) for _ in range(30)]
+    texts.insert(40, " ".join(f"long{i % 700}" for i in range(5000)))
+    rng.shuffle(texts)
+    plain = weighted.Sampler(64)
+    for kept in (40, 3000, weighted.KEPT):
+        sampler, got, grouped = weighted.Sampler(64, kept=kept), [], 0
+        pairs = [(i, *x) for i, x in enumerate(zip(texts, texts[1:]))]
+        for group, short in weighted._groups(pairs, kept // 4):
+            got += [i for i, _, _ in group]
+            if not short:
+                continue
+            grouped += len(group)
+            halves = [(a[: len(a) - len(a) // 2], b[: len(a) // 2]) for _, a, b in group]
+            signs = sampler.signed([(a, b, *[x.encode() for x in h]) for (_, a, b), h in zip(group, halves)])
+            for (_, a, b), h, (x, edited, y) in zip(group, halves, signs):
+                assert (x == plain.sign(a)).all() and (edited == plain.sign("".join(h))).all() and (y == plain.sign(b)).all()
+        assert got == [i for i, _, _ in pairs] and (grouped > 90 or kept < 4000)
+    # of equal arrivals the first term in order counts, wherever the table has it
+    for order in (["b", "a"], ["a", "b"]):
+        tied = weighted.Sampler(64)
+        rows = np.array([tied.places[x.encode()] for x in order])
+        tied._add(0)
+        tied.start[:2] = 1.0
+        assert (tied._of(rows) == tied._short(weighted.mixed(np.full(64, tied.names[tied.places[b"a"]])))).all()
