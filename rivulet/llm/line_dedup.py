@@ -30,15 +30,24 @@ def _digest(*parts: Column) -> Column:
     return F.unhex(F.md5(F.concat_ws("\x01", *[F.coalesce(F.concat(F.lit("="), p.cast("string")), F.lit("0")) for p in parts])))
 
 
-def masked(line: Column) -> Column:
-    """The line with single spaces between tokens, and fields for those with digits."""
+def _masked(rows: DataFrame, raw: str) -> DataFrame:
+    """The rows with `line` instead of a raw line: single spaces between tokens, and fields for those with digits.
+
+    `digits` tells whether it still holds some, as it has too few other tokens.
+
+    Step by step after the explode, so that each step is compiled and done once a line; inside a lambda it is neither.
+    """
+    line, rest = F.col(raw), [c for c in rows.columns if c != raw]
     uneven = F.lit(False)
     for mark in ("  ", "\t", "\r", "\f", "\x0b"):
         uneven |= F.contains(line, F.lit(mark))
-    even = F.trim(F.when(uneven, F.regexp_replace(line, r"[ \t\r\f\x0b]+", " ")).otherwise(line))
-    marked = F.regexp_replace(even, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", FIELD)
-    return F.when(even.rlike("[0-9]"), F.transform(F.array(F.struct(even.alias("even"), marked.alias("marked"))), lambda x: F.when(
-        _within(_fields(x["marked"]), _words(x["marked"]), WORDED), x["marked"]).otherwise(x["even"]))[0]).otherwise(even)
+    even, marked = F.col("even"), F.col("marked")
+    rows = rows.select(*rest, F.trim(F.when(uneven, F.regexp_replace(line, r"[ \t\r\f\x0b]+", " ")).otherwise(line)).alias("even"))
+    fields = F.regexp_replace(even, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", FIELD)
+    rows = rows.select(*rest, "even", F.when(even.rlike("[0-9]"), fields).alias("marked"))
+    alike = marked.isNotNull() & _within(_fields(marked), _words(marked), WORDED)
+    rows = rows.select(*rest, "even", "marked", alike.alias("alike"))
+    return rows.select(*rest, F.when(F.col("alike"), marked).otherwise(even).alias("line"), (marked.isNotNull() & ~F.col("alike")).alias("digits"))
 
 
 def _words(line: Column) -> Column:
@@ -62,13 +71,13 @@ def _leaf(line: Column, depth: int) -> Column:
 
 
 def _lines(docs: DataFrame, key: str, text: str, depth: int) -> DataFrame:
-    """`rid` (of the document), `key`, `pos`, `line`, `h` (the line), `leaf`; lines without tokens are left out."""
+    """`rid` (of the document), `key`, `pos`, `line`, `digits` (it holds some), `h` (the line), `leaf`; lines without tokens are left out."""
     # the digest comes first, or it would be computed for each line of the document; the outer form, because Spark
     # would compute the lines twice to leave out empty arrays, of which there are none
     named = docs.select(_digest(F.col(key), F.col(text)).alias("rid"), F.col(key).alias("key"), F.col(text).alias("text"))
-    cut = named.select(
-        "rid", "key", F.posexplode_outer(F.transform(F.split(F.coalesce("text", F.lit("")), "\n", -1), masked)).alias("pos", "line")
-    ).where("line <> ''")
+    cut = named.select("rid", "key", F.posexplode_outer(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("pos", "raw"))
+    # told by the raw line, or Spark would mask it once more to leave out those that are empty then
+    cut = _masked(cut.where(F.btrim("raw", F.lit(" \t\r\f\x0b")) != ""), "raw")
     return cut.select("*", _digest(F.col("line")).alias("h"), F.xxhash64(_leaf(F.col("line"), depth)).alias("leaf"))
 
 
@@ -78,8 +87,8 @@ def _texts(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame
     named = docs.select(_digest(F.col(key), F.col(text)).alias("rid"), F.col(text).alias("text"))
     found = named.join(F.broadcast(at) if wanted.count() <= SENT else at, "rid")
     lines = F.transform(F.array(F.split("text", "\n", -1)), lambda cut: F.transform("at", lambda a: F.struct(
-        a["leaf"].alias("leaf"), a["h"].alias("h"), masked(cut[a["pos"]]).alias("line"))))[0]
-    return found.select(F.explode_outer(lines).alias("x")).select("x.*")
+        a["leaf"].alias("leaf"), a["h"].alias("h"), cut[a["pos"]].alias("raw"))))[0]
+    return _masked(found.select(F.explode_outer(lines).alias("x")).select("x.*"), "raw")
 
 
 def _generalised(docs: DataFrame, known: DataFrame, key: str, text: str, depth: int, constant: float) -> DataFrame:
@@ -146,7 +155,7 @@ def _generalised(docs: DataFrame, known: DataFrame, key: str, text: str, depth:
 def duplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", depth: int = DEPTH, constant: float = CONSTANT) -> DataFrame:
     """`rid`, `drop` (sorted line numbers from 0): what each document loses, for those that lose a line."""
     lines = _lines(docs, key, text, depth)
-    places = stored(lines.withColumn("digits", F.col("line").rlike("[0-9]")).drop("line"))
+    places = stored(lines.drop("line"))
     # null keys come after all others
     first = F.struct(F.col("key").isNull().alias("null"), F.col("key").alias("key"), F.col("rid").alias("rid"), F.col("pos").alias("pos"))
     known = stored(places.groupBy("leaf", "h", "digits").agg(F.min(first).alias("first"), F.min("rid").alias("low"), F.max("rid").alias("high")))
