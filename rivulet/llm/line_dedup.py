@@ -98,6 +98,11 @@ def _generalised(docs: DataFrame, known: DataFrame, key: str, text: str, depth:
     `PAIRED` tokens), and its rarest places together, two or more. Of the
     patterns that several lines of the leaf have, it takes the one with the
     most lines, or one that others took if nobody else takes that.
+
+    Lines that share a pattern share all tokens that are not its fields. So
+    patterns that leave out one of the line's lone tokens, which no other line
+    of the leaf has at their place, are never built, and only the other tokens
+    are gathered by line again.
     """
     crowded = known.groupBy("leaf").agg(F.count("*").alias("n")).where("n > 1").select("leaf")
     # lines that still hold digits have too few constants to be generalised
@@ -109,39 +114,47 @@ def _generalised(docs: DataFrame, known: DataFrame, key: str, text: str, depth:
     texts = texts.withColumn("room", open_.cast("int")).where("room > 0 or had > 0")
     tokens = texts.select("leaf", "h", "room", "had", "words", F.posexplode(F.split("line", " ")).alias("place", "token"))
     tokens = tokens.where(F.col("place") >= depth)
-    support = tokens.groupBy("leaf", "place", "token").agg(F.count("*").alias("n"))
     # a pattern's hash is the exclusive or over its places, so that a field changes it by `delta`
     digest = F.xxhash64("place", "token")
-    free = F.col("token") != FIELD
-    rows = tokens.join(support, ["leaf", "place", "token"]).select(
-        "leaf", "h", "room", "had", "words", "place", free.alias("free"), "n", digest.alias("x"),
-        F.when(free, digest.bitwiseXOR(F.xxhash64("place", F.lit(FIELD)))).alias("delta"))
+    tokens = tokens.select("*", digest.alias("x"), F.when(F.col("token") != FIELD, digest.bitwiseXOR(F.xxhash64("place", F.lit(FIELD)))).alias("delta"))
+    wholes = tokens.groupBy("leaf", "h").agg(
+        *[F.max(c).alias(c) for c in ("room", "had", "words")],
+        F.bit_xor("x").alias("whole"), F.count("delta").alias("free"), F.coalesce(F.bit_xor("delta"), F.lit(0).cast("long")).alias("deltas"))
+    support = tokens.where(F.col("delta").isNotNull()).select(
+        "leaf", "h", "place", "delta", F.count("*").over(Window.partitionBy("leaf", "x")).alias("n")).where("n > 1")
     line = Window.partitionBy("leaf", "h")
-    rarest = line.orderBy(F.desc("free"), "n", "place")
+    rows = wholes.join(support, ["leaf", "h"], "left").select(
+        "*", (F.col("free") - F.count("delta").over(line)).cast("int").alias("lone"),
+        F.col("whole").bitwiseXOR(F.col("deltas")).bitwiseXOR(F.coalesce(F.bit_xor("delta").over(line), F.lit(0).cast("long"))).alias("base"))
+    rows = rows.where(F.col("lone") <= F.greatest("room", F.lit(0)))
+    rarest = line.orderBy("n", "place")
     before = rarest.rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.select(
-        "*", F.bit_xor("x").over(line).alias("whole"), F.row_number().over(rarest).alias("j"),
+        "*", F.row_number().over(rarest).alias("j"),
         F.bit_xor("delta").over(rarest.rowsBetween(Window.unboundedPreceding, 0)).alias("run"),
-        F.collect_list(F.when((F.col("words") < PAIRED) & (F.col("room") > 1), F.col("delta"))).over(before).alias("others"))
+        F.collect_list(F.when((F.col("words") < PAIRED) & (F.col("room") > 1) & (F.col("lone") == 0), F.col("delta"))).over(before).alias("others"))
 
-    def pattern(when: Column, fields, *deltas: Column) -> Column:
-        sig = F.col("whole")
+    def pattern(when: Column, fields, start: str, *deltas: Column) -> Column:
+        sig = F.col(start)
         for delta in deltas:
             sig = sig.bitwiseXOR(delta)
         return F.when(when, F.struct(F.lit(fields).cast("int").alias("fields"), sig.alias("sig")))
 
-    may = F.col("free") & (F.col("room") > 0)
+    # `base` has the lone tokens as fields, `j` is the row's place among the other tokens of its line
+    lone, some, pairs, most = F.col("lone"), F.col("delta").isNotNull(), F.col("words") < PAIRED, F.col("lone") + F.col("j")
     tried = F.array_compact(F.concat(
         F.array(
-            pattern((F.col("j") == 1) & (F.col("had") > 0), 0),
-            pattern(may, 1, F.col("delta")),
-            pattern(may & (F.col("words") >= PAIRED) & (F.col("j") > 1) & (F.col("j") <= F.col("room")), F.col("j"), F.col("run")),
+            pattern((F.col("j") == 1) & (F.col("had") > 0) & (lone == 0), 0, "whole"),
+            pattern((F.col("j") == 1) & (lone > 0) & (lone <= F.col("room")) & (~pairs | (lone <= 2)), lone, "base"),
+            pattern(some & (lone == 0) & (F.col("room") > 0), 1, "whole", F.col("delta")),
+            pattern(some & ~pairs & (most > 1) & (most <= F.col("room")), most, "base", F.col("run")),
+            pattern(some & pairs & (lone == 1) & (F.col("room") > 1), 2, "base", F.col("delta")),
         ),
-        F.transform("others", lambda other: pattern(may, 2, F.col("delta"), other)),
+        F.transform("others", lambda other: pattern(some, 2, "whole", F.col("delta"), other)),
     ))
-    patterns = stored(rows.select("leaf", "h", F.explode(tried).alias("p")).select("leaf", "h", "p.fields", "p.sig"))
-    shared = patterns.groupBy("leaf", "sig").agg(F.count("*").alias("n")).where("n > 1")
-    choices = stored(patterns.join(shared, ["leaf", "sig"]))
+    # the outer form, or the patterns would be built once more to leave out rows without any
+    patterns = rows.select("leaf", "h", F.explode_outer(tried).alias("p")).where("p is not null").select("leaf", "h", "p.fields", "p.sig")
+    choices = stored(patterns.select("*", F.count("*").over(Window.partitionBy("leaf", "sig")).alias("n")).where("n > 1"))
     best = F.min(F.struct((-F.col("n")).alias("most"), "fields", "sig")).alias("best")
     first = stored(choices.groupBy("leaf", "h").agg(best).select("leaf", "h", "best.sig"))
     taken = stored(first.groupBy("leaf", "sig").agg(F.count("*").alias("takers")))
@@ -160,13 +173,13 @@ def duplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", de
     first = F.struct(F.col("key").isNull().alias("null"), F.col("key").alias("key"), F.col("rid").alias("rid"), F.col("pos").alias("pos"))
     known = stored(places.groupBy("leaf", "h", "digits").agg(F.min(first).alias("first"), F.min("rid").alias("low"), F.max("rid").alias("high")))
     wider = stored(_generalised(docs, known, key, text, depth, constant))
-    # each side has one row per line; a line without further fields is its own template
-    templated = stored(known.join(wider, "h", "left").select("h", F.coalesce("template", "h").alias("template"), "first", "low", "high"))
+    # each side has one row per line; a line without further fields is its own template, and recurs if it does itself
+    place = [F.col("first.rid").alias("first_rid"), F.col("first.pos").alias("first_pos")]
+    own = known.where("low <> high").join(wider, "h", "left_anti").select("h", *place)
+    templated = stored(known.join(wider, "h").select("h", "template", "first", "low", "high"))
     spread = templated.groupBy("template").agg(F.min("first").alias("first"), F.min("low").alias("low"), F.max("high").alias("high"))
-    recurring = stored(spread.where("low <> high").select("template", "first"))
-    gone = stored(templated.select("h", "template").join(recurring, "template").select(
-        "h", F.col("first.rid").alias("first_rid"), F.col("first.pos").alias("first_pos")
-    ))
+    recurring = spread.where("low <> high").select("template", "first")
+    gone = stored(own.unionByName(templated.select("h", "template").join(recurring, "template").select("h", *place)))
     dropped = places.join(gone, "h").where((F.col("rid") != F.col("first_rid")) | (F.col("pos") != F.col("first_pos")))
     return dropped.groupBy("rid").agg(F.array_sort(F.collect_set("pos")).alias("drop"))
 

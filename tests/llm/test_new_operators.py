@@ -324,3 +324,25 @@ def test_lines_are_masked_by_compiled_steps(spark):
     plan = lines._jdf.queryExecution().executedPlan().toString()
     # in a lambda the patterns would be run uncompiled and the spaces told twice; a filter on the result would mask again
     assert "lambda" not in plan and plan.count("<*>, 1)") == 1
+
+
+@pytest.mark.parametrize("words", [12, 20])
+def test_patterns_of_lone_tokens_are_not_built(spark, monkeypatch, words):
+    """Lines of one leaf that agree in little take no patterns; those that agree but for a few places still do."""
+    sizes, real = [], line_dedup.stored
+
+    def stored(df):
+        made = real(df)
+        if {"h", "sig"} <= set(made.columns):
+            sizes.append(made.select("h").distinct().count())
+        return made
+
+    monkeypatch.setattr(line_dedup, "stored", stored)
+    draw = random.Random(words)
+    name = lambda: "".join(draw.choice("abcdefghij") for _ in range(12))
+    apart = [" ".join(["one", "two", "three", *(name() for _ in range(words - 3))]) for _ in range(30)]
+    same = [name() for _ in range(words - 3)]
+    alike = [" ".join(["one", "two", "three", *same[:4], name(), *same[5:]]) for _ in range(4)]
+    got = line_dedup.dedup_lines(documents(spark, apart + alike)).collect()
+    assert sorted(r["doc_id"] for r in got if r["dropped_lines"]) == [31, 32, 33]
+    assert sizes and set(sizes) == {len(alike)}  # lines that patterns were kept of
